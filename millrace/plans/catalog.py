@@ -223,7 +223,7 @@ def upsert_by_key(spark, sf_dir):
 
 @query("table_merge", UPSERT_SQL)
 def table_merge(spark, sf_dir):
-    lines_table = TickTable(spark, scratch_path(spark, "lines"), ("year", "month"))
+    lines_table = TickTable(spark, scratch_path(spark, "lines"), ("year",))
     target, source = (with_partitions(half, "l_shipdate") for half in old_and_new_lines(spark, sf_dir))
     lines_table.overwrite(target)
     lines_table.merge(source, LINE_KEY)

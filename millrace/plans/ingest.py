@@ -96,8 +96,8 @@ def ingest_tick(
         if seen["n"] == 0 and landing.isEmpty():
             return IngestResult(spec.name, EMPTY_LANDING, 0, lower, upper, watermark)
         if seen["n"] > 0:
-            with written(dedup_latest(slice_, spec.keys, spec.ts_col), f"{spec.name}-latest") as latest:
-                store.bronze(spec.name).merge(latest, spec.keys)
+            latest = dedup_latest(slice_, spec.keys, spec.ts_col)
+            store.bronze(spec.name).merge(latest, spec.keys, matching=slice_)
     reached = upper if upper is not None else (from_micros(seen["us"]) if seen["us"] is not None else None)
     if reached is not None:
         write_watermark(store, spec.name, reached, now)

@@ -1,9 +1,8 @@
 """Tables as parquet directories, one per tick.
 
-A write never touches a directory that a reader may be using: it adds ``data/_tick=<n>`` and then one row in
-``state/_tick=<n>`` that lists the directories making up version ``n``. A keyed merge rewrites only those directories
-that hold a matched key, so its cost follows the slice being merged rather than the size of the table.
-There is one writer per table.
+A write never touches a directory that a reader may be using: it adds ``data/_tick=<n>`` and then ``state/<n>.json``,
+which lists the directories making up version ``n``. A keyed merge rewrites only those directories that hold a matched
+key, so its cost follows the slice being merged rather than the size of the table. There is one writer per table.
 """
 
 from __future__ import annotations
@@ -16,10 +15,9 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from millrace.functions.joins import anti_join
-from millrace.session import hadoop_fs
+from millrace.session import hadoop_fs, read_text, write_text
 
 TICK = "_tick"
-STATE_SCHEMA = "version INT, schema STRING, dirs ARRAY<STRING>, note STRING"
 
 
 class TableMissing(Exception):
@@ -62,9 +60,9 @@ class TickTable:
 
     def version(self) -> int | None:
         """The newest committed version, or None."""
-        fs, pattern = hadoop_fs(self.spark, f"{self.root}/state/{TICK}=*/_SUCCESS")
+        fs, pattern = hadoop_fs(self.spark, f"{self.root}/state/*.json")
         found = fs.globStatus(pattern) or []
-        return max((int(s.getPath().getParent().getName().split("=")[1]) for s in found), default=None)
+        return max((int(s.getPath().getName().removesuffix(".json")) for s in found), default=None)
 
     def exists(self) -> bool:
         return self.version() is not None
@@ -73,8 +71,8 @@ class TickTable:
         version = self.version() if version is None else version
         if version is None:
             raise TableMissing(self.root)
-        row = self.spark.read.schema(STATE_SCHEMA).parquet(f"{self.root}/state/{TICK}={version}").first()
-        return TableState(version, StructType.fromJson(json.loads(row["schema"])), tuple(row["dirs"]), row["note"])
+        state = json.loads(read_text(self.spark, f"{self.root}/state/{version}.json"))
+        return TableState(version, StructType.fromJson(state["schema"]), tuple(state["dirs"]), state["note"])
 
     def read(self, version: int | None = None) -> DataFrame:
         """Scan a version (the newest by default) with its recorded schema; no footers are read to plan it."""
@@ -115,12 +113,16 @@ class TickTable:
         state = self.state()
         return self._commit(df, state.dirs, merged_schema(state.schema, df.schema), note)
 
-    def merge(self, source: DataFrame, keys: Sequence[str]) -> int:
-        """Keyed upsert, source wins. ``source`` is unique on ``keys`` and cheap to scan more than once."""
+    def merge(self, source: DataFrame, keys: Sequence[str], matching: DataFrame | None = None) -> int:
+        """Keyed upsert, source wins. ``source`` is unique on ``keys``.
+
+        Its keys are looked up twice before its rows are written; ``matching`` can give a frame with the same keys that
+        is cheaper to scan, where repeated keys do no harm.
+        """
         if not self.exists():
             return self.overwrite(source)
         state = self.state()
-        survivors, kept = self._without(state, source, keys)
+        survivors, kept = self._without(state, source if matching is None else matching, keys)
         rows = source if survivors is None else survivors.unionByName(source, allowMissingColumns=True)
         return self._commit(rows, kept, merged_schema(state.schema, source.schema))
 
@@ -170,8 +172,7 @@ class TickTable:
         fs, pattern = hadoop_fs(self.spark, "/".join([target, *["*=*"] * len(self.partition_by)]))
         added = [s.getPath().toString().split(f"/data/{directory}", 1)[1] for s in fs.globStatus(pattern) or []]
         dirs = [*kept, *sorted(directory + suffix for suffix in added)]
-        row = (version, schema.json(), dirs, note)
-        state = self.spark.createDataFrame([row], STATE_SCHEMA).coalesce(1)
-        state.write.mode("overwrite").parquet(f"{self.root}/state/{directory}")
+        state = {"schema": schema.jsonValue(), "dirs": dirs, "note": note}
+        write_text(self.spark, f"{self.root}/state/{version}.json", json.dumps(state))
         return version
 

@@ -51,8 +51,7 @@ def stream_ingest(
         prepared = with_partitions(with_audit(batch, spec.ts_col, now), spec.ts_col)
         with written(prepared, f"{spec.name}-batch") as slice_:
             if not slice_.isEmpty():
-                with written(dedup_latest(slice_, spec.keys, spec.ts_col), f"{spec.name}-latest") as latest:
-                    table.merge(latest, spec.keys)
+                table.merge(dedup_latest(slice_, spec.keys, spec.ts_col), spec.keys, matching=slice_)
 
     return (
         rows.writeStream.foreachBatch(merge)

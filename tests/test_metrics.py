@@ -1,0 +1,144 @@
+import random
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace import operators as op
+
+
+def brute(rows):
+    """(auc_pr, auc_roc, threshold, f1) by definition."""
+    pos = sum(y for _, y in rows)
+    neg = len(rows) - pos
+    cuts = sorted({s for s, _ in rows}, reverse=True)
+    ap, before, best = 0.0, 0, (-1.0, None)
+    for cut in cuts:
+        tp, n = sum(y for s, y in rows if s >= cut), sum(s >= cut for s, _ in rows)
+        if pos:
+            ap += tp / n * (tp - before) / pos
+        before = tp
+        p, r = tp / n, tp / pos if pos else 0.0
+        f1 = 2 * p * r / (p + r + 1e-9) if p + r else 0.0
+        if f1 >= best[0]:
+            best = (f1, cut)
+    wins = sum((a > b) + 0.5 * (a == b) for a, y in rows if y for b, z in rows if not z)
+    return ap, wins / (pos * neg) if pos and neg else None, best[1], best[0]
+
+
+def check(row, want):
+    assert row.auc_pr == pytest.approx(want[0])
+    assert row.auc_roc == (pytest.approx(want[1]) if want[1] is not None else None)
+    assert (row.threshold, row.f1) == (want[2], pytest.approx(want[3]))
+
+
+@pytest.mark.parametrize("levels", [3, 25, 10_000])
+@pytest.mark.parametrize("per_bucket", [1_000_000, 11])
+def test_ranking_metrics_by_definition(spark, levels, per_bucket):
+    rng = random.Random(levels)
+    groups = {g: [(rng.randint(0, levels) / 7, int(rng.random() < 0.3)) for _ in range(80)] for g in ("a", "b")}
+    # A third of the rows share one score.
+    groups["a"] += [(0.5, i % 2) for i in range(60)]
+    data = [(g, s, y) for g, rows in groups.items() for s, y in rows] + [("a", None, 1), ("b", 0.1, None)]
+    df = spark.createDataFrame(data, "g STRING, s DOUBLE, y INT")
+    got = {r.g: r for r in op.ranking_metrics(df, "s", "y", ["g"], per_bucket).collect()}
+    for g, rows in groups.items():
+        check(got[g], brute(rows))
+    check(op.ranking_metrics(df, "s", "y", rows_per_bucket=per_bucket).first(), brute(groups["a"] + groups["b"]))
+
+
+def test_one_class_only(spark):
+    df = spark.createDataFrame([(0.2, 1), (0.4, 1)], "s DOUBLE, y INT")
+    assert op.ranking_metrics(df, "s", "y").first().auc_roc is None
+    none = op.ranking_metrics(df.withColumn("y", F.lit(0)), "s", "y").first()
+    assert (none.auc_pr, none.auc_roc, none.f1, none.threshold) == (0.0, None, 0.0, 0.2)
+
+
+def test_bucketed_curve_has_no_global_window(spark):
+    df = spark.range(0, 5000, 1, 4).select((F.col("id") * 37 % 1009).alias("s"), (F.col("id") % 3 == 0).cast("int").alias("y"))
+    curve = op.score_curve(df, "s", "y", rows_per_bucket=500)
+    last = curve.orderBy("s" if "s" in curve.columns else "score").first()
+    assert (last.cum_n, last.cum_pos) == (last.all_n, last.all_pos) == (5000, 1667)
+    assert curve.count() == 1009
+    windows = [line for line in curve._jdf.queryExecution().executedPlan().toString().splitlines() if "Window" in line]
+    assert any("[bucket" in line.replace("#", "[").replace("[[", "[") or "bucket#" in line for line in windows)
+
+
+def test_classification_metrics(spark):
+    df = spark.createDataFrame([(0.9, 1), (0.8, 0), (0.5, 1), (0.1, 0), (0.3, 1), (None, 1)], "s DOUBLE, y INT")
+    r = op.classification_metrics(df, "s", "y", 0.5).first()
+    assert (r.tp, r.fp, r.fn, r.tn, r.n) == (2, 1, 1, 1, 5)
+    assert (r.precision, r.recall, r.f1, r.prevalence) == (pytest.approx(2 / 3),) * 3 + (pytest.approx(0.6),)
+    nothing = op.classification_metrics(df, "s", "y", 2.0).first()
+    assert (nothing.precision, nothing.recall, nothing.f1) == (0.0, 0.0, 0.0)
+
+
+def test_best_of_grid_first_wins(spark):
+    df = spark.createDataFrame([(0, 0.4), (1, 0.7), (2, 0.7), (3, None)], "i INT, m DOUBLE")
+    assert op.best_of_grid(df, "m", "i").first().i == 1
+    assert op.best_of_grid(df.filter("m IS NULL"), "m", "i").isEmpty()
+
+
+def test_promotion(spark):
+    rows = [("low_pr", 0.34, 0.9), ("low_roc", 0.9, 0.6), ("none_roc", 0.9, None), ("tie", 0.5, 0.8), ("win", 0.51, 0.8)]
+    metrics = spark.createDataFrame(rows, "name STRING, auc_pr DOUBLE, auc_roc DOUBLE")
+    champion = spark.createDataFrame([(0.5,)], "auc_pr DOUBLE")
+    got = {r.name: r.decision for r in op.promotion_decisions(metrics, champion).collect()}
+    assert got == {
+        "low_pr": "rejected_gate",
+        "low_roc": "rejected_gate",
+        "none_roc": "rejected_gate",
+        "tie": "rejected_champion",
+        "win": "champion",
+    }
+    assert {r.decision for r in op.promotion_decisions(metrics.filter("name = 'tie'"), None).collect()} == {"champion"}
+
+
+@pytest.mark.parametrize("n", [1, 2, 999, 1000])
+@pytest.mark.parametrize("limit", [10_000, 5])
+def test_exact_medians(spark, n, limit):
+    rng = random.Random(n)
+    a = [rng.gauss(0, 100) for _ in range(n)]
+    # More than a third of the rows hold one value.
+    b = [7.25 if rng.random() < 0.4 else rng.random() * 20 for _ in range(n)]
+    c = [rng.random() if rng.random() < 0.5 else None for _ in range(n)]
+    df = spark.createDataFrame(list(zip(a, b, c, strict=True)), "a DOUBLE, b DOUBLE, c DOUBLE").repartition(4)
+    got = op.exact_medians(df, ["a", "b", "c"], max_values=limit)
+    known = [v for v in c if v is not None]
+    want = [statistics.median(a), statistics.median(b), statistics.median(known) if known else None]
+    assert [got["a"], got["b"], got["c"]] == [pytest.approx(w) if w is not None else None for w in want]
+
+
+def test_median_of_nothing(spark):
+    df = spark.createDataFrame([(None,)], "a DOUBLE")
+    assert op.exact_medians(df, ["a"]) == {"a": None} and op.exact_medians(df, []) == {}
+    assert op.mode(df, "a") is None
+
+
+def test_mode_takes_smallest_on_ties(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), ("c",), (None,), (None,), (None,)], "v STRING")
+    assert op.mode(df, "v") == "a"
+
+
+def test_impute_encode_scale_weight(spark):
+    df = spark.createDataFrame([(1.0, "x", 1), (None, None, 0), (4.0, "y", 0), (2.0, "x", 0)], "n DOUBLE, t STRING, y INT")
+    values = op.impute_values(df, ["n"], ["t"])
+    assert values == {"n": 2.0, "t": "x"}
+    assert [(r.n, r.t) for r in op.impute(df, values).collect()][1] == (2.0, "x")
+    assert op.categories(df, "t") == ["x", "y"]
+    codes = op.ordinal_encode(df, "t", "code", ["x"]).collect()
+    assert [r.code for r in codes] == [0, -1, -1, 0]
+    constant = spark.createDataFrame([(3.0,), (3.0,)], "n DOUBLE")
+    assert [r.n for r in op.standardize(constant, ["n"]).collect()] == [0.0, 0.0]
+    spread = [r.n for r in op.standardize(op.impute(df, values), ["n"]).collect()]
+    assert statistics.pstdev(spread) == pytest.approx(1.0) and sum(spread) == pytest.approx(0.0)
+    assert {r.y: r.weight for r in op.class_weights(df, "y").collect()} == {1: 2.0, 0: pytest.approx(2 / 3)}
+
+
+def test_summary_and_trigger(spark):
+    df = spark.createDataFrame([(0.2, 0), (0.8, 1)], "p DOUBLE, c INT")
+    row = op.prediction_summary(df, "p", "c").first()
+    assert tuple(row)[:3] == (2, 1, 1) and row.mean_prob == pytest.approx(0.5)
+    labels = spark.createDataFrame([(1,), (None,), (0,)], "y INT")
+    assert tuple(op.retrain_due(labels, "y", 1, 1).first()) == (2, 1, True)
+    assert tuple(op.retrain_due(labels, "y", 1, 2).first()) == (2, 1, False)

@@ -7,22 +7,42 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from millrace.functions.times import processing_time
 
 
+# Anything but digits, signs, blanks and control characters: no integer can contain it.
+NOT_IN_INTEGERS = r"[^0-9+\-\s\p{Cntrl}]"
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
+
+
+def safe_cast(column: Column, source: DataType, target: str) -> Column:
+    """Cast that turns a malformed value into NULL.
+
+    A failing text-to-integer cast costs an exception per row, a hundred times the cast itself, so obvious misfits are
+    turned away by a pattern first.
+    """
+    kind = StructType.fromDDL(f"c {target}")["c"].dataType.simpleString()
+    if isinstance(source, StringType) and kind in INTEGERS:
+        return F.when(~column.rlike(NOT_IN_INTEGERS), column).try_cast(target)
+    return column.try_cast(target)
+
+
 def cast_columns(df: DataFrame, types: Mapping[str, str], on_error: str = "null") -> DataFrame:
     """Cast the listed columns in one projection; a malformed value becomes NULL, or raises on request."""
     if on_error not in ("null", "raise"):
         raise ValueError(f"on_error must be 'null' or 'raise', not {on_error!r}")
 
-    def typed(name: str) -> Column:
-        if name not in types:
-            return F.col(name)
-        column = F.col(name)
-        return (column.try_cast(types[name]) if on_error == "null" else column.cast(types[name])).alias(name)
+    def typed(field: StructField) -> Column:
+        column = F.col(field.name)
+        if field.name not in types:
+            return column
+        target = types[field.name]
+        typed = safe_cast(column, field.dataType, target) if on_error == "null" else column.cast(target)
+        return typed.alias(field.name)
 
-    return df.select(*[typed(name) for name in df.columns])
+    return df.select(*[typed(field) for field in df.schema.fields])
 
 
 def with_arrival(df: DataFrame, ts_col: str, name: str = "arrival_date") -> DataFrame:

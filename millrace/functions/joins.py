@@ -28,8 +28,12 @@ def spread_null_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.withColumn(SPREAD, F.when(any_null(on), ways).otherwise(F.lit(0)))
 
 
-def anti_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` without a partner in ``right``; NULL keys match nothing and stay."""
+def anti_join(left: DataFrame, right: DataFrame, on: Sequence[str], unique: bool = False) -> DataFrame:
+    """Rows of ``left`` without a partner in ``right``; NULL keys match nothing and stay.
+
+    The keys of ``right`` are made distinct before they are shuffled, so that a key that repeats there without end
+    arrives once per task; ``unique`` says that they are distinct already.
+    """
     keys = list(on)
-    other = right.select(*keys).withColumn(SPREAD, F.lit(0))
-    return spread_null_keys(left, keys).join(other, [*keys, SPREAD], "left_anti").drop(SPREAD)
+    other = right.select(*keys) if unique else right.select(*keys).filter(~any_null(keys)).distinct()
+    return spread_null_keys(left, keys).join(other.withColumn(SPREAD, F.lit(0)), [*keys, SPREAD], "left_anti").drop(SPREAD)

@@ -14,9 +14,12 @@ from millrace.operators.metrics import (
 )
 from millrace.operators.preprocessing import (
     categories,
+    category_counts,
     class_weights,
     impute,
     impute_values,
+    mode,
+    most_frequent,
     ordinal_code,
     ordinal_encode,
     scale_values,
@@ -30,7 +33,7 @@ from millrace.operators.quality import (
     split_by_rules,
     tag_by_rules,
 )
-from millrace.operators.quantiles import exact_medians, mode
+from millrace.operators.quantiles import exact_medians
 from millrace.operators.sessions import session_features
 from millrace.operators.training_set import (
     antileakage,

@@ -40,7 +40,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
 
     ``source`` must be unique on ``keys``. NULL keys match nothing, so their rows are inserted.
     """
-    return anti_join(target, source, keys).unionByName(source, allowMissingColumns=True)
+    return anti_join(target, source, keys, unique=True).unionByName(source, allowMissingColumns=True)
 
 
 def delete_matched(target: DataFrame, keys_df: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -50,7 +50,7 @@ def delete_matched(target: DataFrame, keys_df: DataFrame, on: Sequence[str]) ->
 
 def matched_count(target: DataFrame, keys_df: DataFrame, on: Sequence[str]) -> DataFrame:
     """One row ``n``: rows of ``target`` whose key is in ``keys_df``."""
-    return target.join(keys_df.select(*on), list(on), "left_semi").agg(F.count(F.lit(1)).alias("n"))
+    return target.join(keys_df.select(*on).distinct(), list(on), "left_semi").agg(F.count(F.lit(1)).alias("n"))
 
 
 def left_join_all(base: DataFrame, sides: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:

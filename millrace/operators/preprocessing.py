@@ -7,12 +7,48 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.quantiles import exact_medians, mode
+from millrace.operators.quantiles import exact_medians
 
 # Categories of one column that may be held as model constants.
 MAX_CATEGORIES = 10_000
 
 
+def mode(df: DataFrame, column: str):
+    """Most frequent value, the smallest on ties; None when there is none."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).count()
+    row = counts.orderBy(F.col("count").desc(), F.col(column).asc()).first()
+    return None if row is None else row[column]
+
+
+def category_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, int]]:
+    """Rows per value of each text column, sorted by value, in one pass.
+
+    A column with more values than a model can hold as constants is an error.
+    """
+    if not columns:
+        return {}
+    limit = MAX_CATEGORIES * len(columns) + 1
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "c", "v")
+    rows = long.filter(F.col("v").isNotNull()).groupBy("c", "v").count().limit(limit).collect()
+    found: dict[str, dict[str, int]] = {c: {} for c in columns}
+    for row in sorted(rows, key=lambda r: r["v"]):
+        found[row["c"]][row["v"]] = row["count"]
+    for c, values in found.items():
+        if len(rows) == limit or len(values) > MAX_CATEGORIES:
+            raise ValueError(f"more than {MAX_CATEGORIES} values in {c!r}: not a categorical feature")
+    return found
+
+
+def categories(df: DataFrame, column: str) -> list[str]:
+    """Sorted distinct values of a categorical column."""
+    return list(category_counts(df, [column])[column])
+
+
+def most_frequent(counts: Mapping[str, int]) -> str | None:
+    """The value with the highest count, the smallest on ties."""
+    return min(counts, key=lambda v: (-counts[v], v), default=None)
+
+
 def impute_values(
     df: DataFrame, numeric: Sequence[str] = (), categorical: Sequence[str] = ()
 ) -> dict[str, float | str | None]:
@@ -33,15 +69,6 @@ def impute(df: DataFrame, values: Mapping[str, float | str | None]) -> DataFrame
     return df.select(*[filled(c) if c in values else F.col(c) for c in df.columns])
 
 
-def categories(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct values of a categorical column; more than a model can hold is an error."""
-    known = df.filter(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("c")).distinct()
-    found = [row["c"] for row in known.limit(MAX_CATEGORIES + 1).collect()]
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"{column!r} has more than {MAX_CATEGORIES} categories; it is not a categorical feature")
-    return sorted(found)
-
-
 def ordinal_code(column: str, known: Sequence[str]) -> Column:
     """Position in the sorted categories; -1 for an unseen or missing value."""
     if not known:

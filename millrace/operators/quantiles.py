@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Distinct values of one column that a single task may hold.
-MAX_VALUES = 1_000_000
+MAX_VALUES = 100_000
 # Half-width of the first bracket, as a fraction of the rows; several times the error of the sketch.
 MARGIN = 5e-4
 SKETCH_ACCURACY = 10_000
@@ -142,15 +142,3 @@ def exact_medians(df: DataFrame, columns: Sequence[str], max_values: int = MAX_V
                 raise ValueError(f"no bracket of at most {max_values} values for {sorted(open_)}")
             margin = min(0.5, margin * 4)
     return {c: result[c] for c in names}
-
-
-def mode(df: DataFrame, column: str):
-    """Most frequent value, the smallest on ties; None when there is none."""
-    row = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(column)
-        .count()
-        .orderBy(F.col("count").desc(), F.col(column).asc())
-        .first()
-    )
-    return None if row is None else row[column]

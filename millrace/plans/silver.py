@@ -13,7 +13,7 @@ from millrace.functions.columns import cast_columns
 from millrace.operators.quality import tag_by_rules
 from millrace.plans.store import Store
 from millrace.sources.landing import SourceSpec
-from millrace.sources.tables import TableMissing
+from millrace.sources.tables import TableMissing, partition_of
 
 SKIPPED, UNCHANGED, WRITTEN = "SKIPPED", "UNCHANGED", "WRITTEN"
 
@@ -26,8 +26,8 @@ def refine(bronze: DataFrame, spec: SourceSpec, rules: Mapping[str, str]) -> Dat
 def refine_source(store: Store, spec: SourceSpec, rules: Mapping[str, str]) -> str:
     """Rebuild the silver table of a source; rows are evaluated once and written once.
 
-    The table notes which bronze version, types and rules it was built from. When bronze has only gained directories
-    since then, only those are evaluated and appended.
+    The table notes which bronze version, types and rules it was built from, and evaluates only what bronze has gained
+    since then. A row stays in the month it has in bronze, so where bronze was rewritten those months are replaced.
     """
     bronze, silver = store.bronze(spec.name), store.silver(spec.name)
     try:
@@ -42,11 +42,13 @@ def refine_source(store: Store, spec: SourceSpec, rules: Mapping[str, str]) -> s
         built = {"recipe": None}
     if built == json.loads(note):
         return UNCHANGED
-    added, dropped = bronze.changed_since(built["bronze"]) if built["recipe"] == recipe else (None, ("all",))
-    if dropped:
+    if built["recipe"] != recipe:
         silver.overwrite(refine(bronze.read(version), spec, rules), note)
-    else:
-        silver.append(refine(added, spec, rules), note)
+        return WRITTEN
+    rows, stale = bronze.changed_since(built["bronze"])
+    # A silver partition is is_valid=.../ and then the bronze partition.
+    outdated = [d for d in silver.state().dirs if partition_of(partition_of(d)) in stale]
+    silver.refresh(refine(rows, spec, rules), outdated, note)
     return WRITTEN
 
 

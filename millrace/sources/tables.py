@@ -8,7 +8,8 @@ key, so its cost follows the slice being merged rather than the size of the tabl
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -48,6 +49,11 @@ def partition_dir(row: Row) -> str:
     return "/".join(f"{k}={names[v] if v is None or isinstance(v, bool) else v}" for k, v in row.asDict().items())
 
 
+def partition_of(directory: str) -> str:
+    """The partition part of a directory: what follows its tick."""
+    return directory.partition("/")[2]
+
+
 class TickTable:
     """A parquet table with numbered versions, optionally partitioned."""
 
@@ -86,12 +92,16 @@ class TickTable:
         except TableMissing:
             return self.spark.createDataFrame([], schema)
 
-    def changed_since(self, version: int) -> tuple[DataFrame, tuple[str, ...]]:
-        """(rows in directories added after ``version``, directories dropped since then)."""
+    def changed_since(self, version: int) -> tuple[DataFrame, frozenset[str]]:
+        """(rows to evaluate again, partitions that lost a directory) since ``version``.
+
+        The rows are those of directories added since then, and all rows of a partition that lost a directory.
+        """
         old, new = self.state(version), self.state()
-        added = [d for d in new.dirs if d not in set(old.dirs)]
-        dropped = tuple(d for d in old.dirs if d not in set(new.dirs))
-        return self._scan(new, added).select(*new.schema.names), dropped
+        before, now = set(old.dirs), set(new.dirs)
+        stale = frozenset(partition_of(d) for d in old.dirs if d not in now)
+        again = [d for d in new.dirs if d not in before or partition_of(d) in stale]
+        return self._scan(new, again).select(*new.schema.names), stale
 
     def _scan(self, state: TableState, dirs: Sequence[str]) -> DataFrame:
         schema = StructType([*state.schema.fields, StructField(TICK, IntegerType())])
@@ -134,19 +144,31 @@ class TickTable:
             return state.version
         return self._commit(survivors, kept, state.schema)
 
-    def compact(self) -> int:
-        """Rewrite the current version into one directory per partition."""
-        return self.overwrite(self.read())
+    def refresh(self, df: DataFrame, stale: Iterable[str], note: str = "") -> int:
+        """Drop the directories ``stale`` and add the rows of ``df``."""
+        state, gone = self.state(), set(stale)
+        kept = [d for d in state.dirs if d not in gone]
+        return self._commit(df, kept, merged_schema(state.schema, df.schema), note)
+
+    def compact(self, min_dirs: int = 2) -> int:
+        """Rewrite those partitions that are spread over ``min_dirs`` directories or more; others stay as they are."""
+        state = self.state()
+        spread = Counter(partition_of(d) for d in state.dirs)
+        crowded = [d for d in state.dirs if spread[partition_of(d)] >= min_dirs]
+        if not crowded:
+            return state.version
+        return self.refresh(self._scan(state, crowded).select(*state.schema.names), crowded, state.note)
 
     def _without(
         self, state: TableState, other: DataFrame, keys: Sequence[str]
     ) -> tuple[DataFrame | None, tuple[str, ...]]:
         """(rows to rewrite from directories with a matched key, directories left as they are)."""
         parts = [TICK, *self.partition_by]
+        wanted = other.select(*keys).distinct()
         hits = (
             self._scan(state, state.dirs)
             .select(*dict.fromkeys([*keys, *parts]))
-            .join(other.select(*keys), list(keys), "left_semi")
+            .join(wanted, list(keys), "left_semi")
             .select(*parts)
             .distinct()
         )
@@ -155,7 +177,7 @@ class TickTable:
         touched = tuple(d for d in state.dirs if d in hit)
         if not touched:
             return None, state.dirs
-        survivors = anti_join(self._scan(state, touched).select(*state.schema.names), other, keys)
+        survivors = anti_join(self._scan(state, touched).select(*state.schema.names), wanted, keys, unique=True)
         return survivors, tuple(d for d in state.dirs if d not in hit)
 
     def _commit(self, df: DataFrame, kept: Sequence[str], schema: StructType, note: str = "") -> int:

@@ -23,6 +23,13 @@ def test_cast_turns_malformed_values_into_null(spark):
     assert [tuple(r) for r in rows] == [(7, None), (None, 1.5)]
 
 
+def test_cast_of_text_agrees_with_try_cast(spark):
+    texts = ["7", " 8 ", "+9", "-3", "1.5", "1e3", "abc", "", " ", "99999999999", "--1", "\t4\n", "\x014", "0x1F", None, "٣"]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING").select("t", F.col("t").alias("n"), F.col("t").alias("b"))
+    for r in cast_columns(df, {"n": "INT", "b": "long"}).select("*", F.expr("try_cast(t AS INT)"), F.expr("try_cast(t AS BIGINT)")).collect():
+        assert (r.n, r.b) == (r[3], r[4]), r.t
+
+
 def test_cast_can_raise(spark):
     df = spark.createDataFrame([("abc",)], "a STRING")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):

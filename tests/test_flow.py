@@ -158,7 +158,7 @@ def test_silver_follows_bronze_incrementally(spark, store, landing):
         assert contents(store.silver("sppb").read().select(*whole.columns)) == contents(whole)
     assert len(store.silver("sppb").state().dirs) == 5
     assert silver.refine_source(store, c.SPPB, rules) == silver.UNCHANGED
-    # A correction rewrites part of bronze, so silver is rebuilt.
+    # A correction rewrites part of bronze, so its month is replaced.
     changed = store.bronze("sppb").read().limit(1).withColumn("sppb_total", F.lit("99"))
     store.bronze("sppb").merge(changed, list(c.SPPB.keys))
     silver.refine_source(store, c.SPPB, rules)

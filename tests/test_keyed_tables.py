@@ -61,7 +61,7 @@ def test_table_merge_equals_upsert(spark, tmp_path):
     assert rows(table.read().select("k", "month", "v")) == sorted(expected.values())
     before = table.read().count()
     table.compact()
-    assert table.read().count() == before and len(table.state().dirs) <= 3
+    assert table.read().count() == before and len(table.state().dirs) == 3
 
 
 def test_merge_leaves_unmatched_directories_alone(spark, tmp_path):
@@ -121,10 +121,23 @@ def test_changed_since(spark, tmp_path):
     table = TickTable(spark, str(tmp_path / "t"))
     first = table.overwrite(spark.range(2))
     table.append(spark.range(5, 7))
-    added, dropped = table.changed_since(first)
-    assert rows(added) == [(5,), (6,)] and dropped == ()
-    table.overwrite(spark.range(1))
-    assert table.changed_since(first)[1] == ("_tick=1",)
+    added, stale = table.changed_since(first)
+    assert rows(added) == [(5,), (6,)] and not stale
+    by_month = TickTable(spark, str(tmp_path / "m"), ("month",))
+    first = by_month.overwrite(spark.sql("SELECT * FROM VALUES (1, 1), (2, 1), (3, 2) t(k, month)"))
+    by_month.merge(spark.sql("SELECT 2 AS k, 3 AS month"), ["k"])
+    again, stale = by_month.changed_since(first)
+    assert rows(again) == [(1, 1), (2, 3)] and stale == {"month=1"}
+
+
+def test_compaction_touches_crowded_partitions_only(spark, tmp_path):
+    table = TickTable(spark, str(tmp_path / "t"), ("month",))
+    table.overwrite(spark.sql("SELECT * FROM VALUES (1, 1), (2, 2) t(k, month)"))
+    table.append(spark.sql("SELECT 3 AS k, 2 AS month"))
+    table.compact()
+    assert table.state().dirs == ("_tick=1/month=1", "_tick=3/month=2")
+    assert rows(table.read()) == [(1, 1), (2, 2), (3, 2)]
+    assert table.compact() == 3
 
 
 def test_left_join_all_keeps_base_rows(spark):

@@ -6,7 +6,7 @@ from millrace.functions.columns import (
     with_audit,
     with_partitions,
 )
-from millrace.functions.joins import any_null, anti_join, spread_null_keys
+from millrace.functions.joins import any_null, anti_join, split_null_keys, with_rest
 from millrace.functions.rules import RuleBook
 from millrace.functions.times import from_micros, processing_time, time_literal, to_micros
 
@@ -19,10 +19,11 @@ __all__ = [
     "feature_columns",
     "from_micros",
     "processing_time",
-    "spread_null_keys",
+    "split_null_keys",
     "time_literal",
     "to_micros",
     "with_arrival",
     "with_audit",
     "with_partitions",
+    "with_rest",
 ]

@@ -1,4 +1,4 @@
-"""Join helpers that keep NULL keys from piling up in one task."""
+"""Join helpers that keep rows with a NULL key out of the shuffle."""
 
 from __future__ import annotations
 
@@ -9,31 +9,37 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SPREAD = "_spread"
-SPREAD_WAYS = 1024
-
 
 def any_null(columns: Sequence[str]) -> Column:
     """True where at least one of the columns is NULL."""
     return reduce(or_, [F.col(c).isNull() for c in columns])
 
 
-def spread_null_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Add a join column that scatters rows with a NULL key and is 0 for all others.
+def split_null_keys(df: DataFrame, on: Sequence[str]) -> tuple[DataFrame, DataFrame | None]:
+    """(rows with a full key, rows with a NULL in it); the latter is None where the schema rules it out.
 
-    Such rows match nothing, so an outer or anti join may send them anywhere. Without this column they all hash to
-    one partition. It is a hash of the row, not a random number, so a retried task repeats it.
+    A row with a NULL key matches nothing, so an outer or anti join can pass it by. Sent through the join, all such
+    rows would hash to one partition.
     """
-    ways = F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD_WAYS)).cast("int")
-    return df.withColumn(SPREAD, F.when(any_null(on), ways).otherwise(F.lit(0)))
+    nullable = [f.name for f in df.schema.fields if f.name in on and f.nullable]
+    if not nullable:
+        return df, None
+    return df.filter(~any_null(nullable)), df.filter(any_null(nullable))
+
+
+def with_rest(joined: DataFrame, rest: DataFrame | None) -> DataFrame:
+    """Put back the rows that were passed by a join; columns they lack are NULL."""
+    return joined if rest is None else joined.unionByName(rest, allowMissingColumns=True)
 
 
-def anti_join(left: DataFrame, right: DataFrame, on: Sequence[str], unique: bool = False) -> DataFrame:
+def anti_join(left: DataFrame, right: DataFrame, on: Sequence[str], unique: bool = False, full: bool = False) -> DataFrame:
     """Rows of ``left`` without a partner in ``right``; NULL keys match nothing and stay.
 
     The keys of ``right`` are made distinct before they are shuffled, so that a key that repeats there without end
-    arrives once per task; ``unique`` says that they are distinct already.
+    arrives once per task; ``unique`` says that they are distinct already. ``full`` says that no key of ``left`` is
+    NULL, which saves the second look at it.
     """
     keys = list(on)
-    other = right.select(*keys) if unique else right.select(*keys).filter(~any_null(keys)).distinct()
-    return spread_null_keys(left, keys).join(other.withColumn(SPREAD, F.lit(0)), [*keys, SPREAD], "left_anti").drop(SPREAD)
+    other = right.select(*keys) if unique else right.select(*keys).distinct()
+    known, rest = (left, None) if full else split_null_keys(left, keys)
+    return with_rest(known.join(other, keys, "left_anti"), rest)

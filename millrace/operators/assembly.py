@@ -67,7 +67,7 @@ def assemble(
     if ids is None:
         ids = complete_ids({"_base": base, **sides}, on)
     if already is not None:
-        ids = anti_join(ids, already, on)
+        ids = anti_join(ids, already, on, full=True)
     keys = list(on)
     row = ids.join(base, keys)
     for side in sides.values():
@@ -97,7 +97,7 @@ def overdue_incomplete(
     ids = flags.filter((F.col("first__base") <= cutoff) & reduce(or_, missing.values()))
     ids = ids.select(*on, *[flag.alias(f"missing_{name}") for name, flag in missing.items()])
     if already is not None:
-        ids = anti_join(ids, already, on)
+        ids = anti_join(ids, already, on, full=True)
     return base.join(ids, list(on)).select(
         *base.columns, *[f"missing_{name}" for name in sides], processing_time(now).alias("quarantine_timestamp")
     )

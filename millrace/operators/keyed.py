@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
 
-from millrace.functions.joins import SPREAD, any_null, anti_join, spread_null_keys
+from millrace.functions.joins import anti_join, split_null_keys, with_rest
 
 
 def _other_columns(df: DataFrame, used: Sequence[str]) -> list[str]:
@@ -17,35 +17,33 @@ def _other_columns(df: DataFrame, used: Sequence[str]) -> list[str]:
 
 
 def dedup_latest(
-    df: DataFrame, keys: Sequence[str], order_by: str, tiebreak: Sequence[str] | None = None
+    df: DataFrame, keys: Sequence[str], order_by: str, tiebreak: Sequence[str] | None = None, full: bool = False
 ) -> DataFrame:
     """One row per key: the latest by ``order_by``, ties broken by ``tiebreak`` (default: all other columns).
 
     ``row_number() = 1`` is cut per input partition before the shuffle, so a hot key sends one row per task.
-    Rows with a NULL key equal no other row and are all kept.
+    Rows with a NULL key equal no other row and are all kept; ``full`` says that there are none.
     """
     ties = _other_columns(df, [*keys, order_by]) if tiebreak is None else tiebreak
     order = [F.col(c).desc_nulls_last() for c in (order_by, *ties)]
-    nullable = [f.name for f in df.schema.fields if f.name in keys and f.nullable]
-    if not nullable:
-        ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-        return ranked.filter(F.col("_rank") == 1).drop("_rank")
+    known, rest = (df, None) if full else split_null_keys(df, keys)
     window = Window.partitionBy(*keys).orderBy(*order)
-    known = df.filter(~any_null(nullable)).withColumn("_rank", F.row_number().over(window))
-    return known.filter(F.col("_rank") == 1).drop("_rank").unionByName(df.filter(any_null(nullable)))
+    ranked = known.withColumn("_rank", F.row_number().over(window))
+    return with_rest(ranked.filter(F.col("_rank") == 1).drop("_rank"), rest)
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], full: bool = False) -> DataFrame:
     """Update-all / insert-all: rows of ``target`` whose key is not in ``source``, then all of ``source``.
 
-    ``source`` must be unique on ``keys``. NULL keys match nothing, so their rows are inserted.
+    ``source`` must be unique on ``keys``. NULL keys match nothing, so their rows are inserted; ``full`` says that the
+    target has none.
     """
-    return anti_join(target, source, keys, unique=True).unionByName(source, allowMissingColumns=True)
+    return anti_join(target, source, keys, unique=True, full=full).unionByName(source, allowMissingColumns=True)
 
 
-def delete_matched(target: DataFrame, keys_df: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of ``target`` whose key is not in ``keys_df``."""
-    return anti_join(target, keys_df, on)
+def delete_matched(target: DataFrame, keys_df: DataFrame, on: Sequence[str], full: bool = False) -> DataFrame:
+    """Rows of ``target`` whose key is not in ``keys_df``; ``full`` says that no key of the target is NULL."""
+    return anti_join(target, keys_df, on, full=full)
 
 
 def matched_count(target: DataFrame, keys_df: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -54,9 +52,12 @@ def matched_count(target: DataFrame, keys_df: DataFrame, on: Sequence[str]) -> D
 
 
 def left_join_all(base: DataFrame, sides: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
-    """Left join several sides to ``base`` on one key: each input is shuffled once, NULL keys of the base are spread."""
-    keys = [*on, SPREAD]
-    joined = spread_null_keys(base, on)
+    """Left join several sides to ``base`` on one key.
+
+    Every input is shuffled by that key once, or not at all where it is already partitioned by it or small enough to
+    be broadcast. Base rows with a NULL key take no part in the joins.
+    """
+    known, rest = split_null_keys(base, on)
     for side in sides:
-        joined = joined.join(side.withColumn(SPREAD, F.lit(0)), keys, "left")
-    return joined.drop(SPREAD)
+        known = known.join(side, list(on), "left")
+    return with_rest(known, rest)

@@ -39,44 +39,45 @@ def score_curve(
     no task sees the whole curve. Rows without score or label are left out.
     """
     keys = list(by)
-    rows = df.select(*keys, F.col(score).cast("double").alias("score"), F.col(label).cast("long").alias("label"))
+    # The group as one value: a struct equals another with the same NULLs, so it can be joined on like any other key.
+    group = [F.struct(*keys).alias("g")] if keys else []
+    on = ["g"] if keys else []
+    rows = df.select(*group, F.col(score).cast("double").alias("score"), F.col(label).cast("long").alias("label"))
     rows = rows.filter(F.col("score").isNotNull() & F.col("label").isNotNull())
     edges = _bucket_edges(rows, "score", rows_per_bucket)
-    counts = rows.groupBy(*keys, "score").agg(F.sum("label").alias("pos"), F.count(F.lit(1)).alias("n"))
+    counts = rows.groupBy(*on, "score").agg(F.sum("label").alias("pos"), F.count(F.lit(1)).alias("n"))
+    named = [F.col("g")[key].alias(key) for key in keys]
 
-    descending = F.col("score").desc()
+    whole = Window.partitionBy(*on)
     if not edges:
-        group = Window.partitionBy(*keys)
-        upto = group.orderBy(descending).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        upto = whole.orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return counts.select(
-            *keys, "score", "pos", "n",
+            *named, "score", "pos", "n",
             F.sum("pos").over(upto).alias("cum_pos"), F.sum("n").over(upto).alias("cum_n"),
-            F.sum("pos").over(group).alias("all_pos"), F.sum("n").over(group).alias("all_n"),
+            F.sum("pos").over(whole).alias("all_pos"), F.sum("n").over(whole).alias("all_n"),
         )
 
     splits = [float("-inf"), *edges, float("inf")]
-    cut = Bucketizer(splits=splits, inputCol="score", outputCol="bucket", handleInvalid="keep")
-    bucketed = cut.transform(counts)
-    totals = bucketed.groupBy(*keys, "bucket").agg(F.sum("pos").alias("b_pos"), F.sum("n").alias("b_n"))
-    group = Window.partitionBy(*keys)
-    above = group.orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    cut = Bucketizer(splits=splits, inputCol="score", outputCol="cut", handleInvalid="keep")
+    # Never NULL, and known to be: a filter inferred for one use only would keep the other from sharing its shuffle.
+    bucket = F.coalesce(F.col("cut").cast("int"), F.lit(-1))
+    bucketed = cut.transform(counts).withColumn("bucket", bucket).drop("cut")
+    totals = bucketed.groupBy(*on, "bucket").agg(F.sum("pos").alias("b_pos"), F.sum("n").alias("b_n"))
+    above = whole.orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *keys, "bucket",
+        *on, "bucket",
         F.coalesce(F.sum("b_pos").over(above), F.lit(0)).alias("o_pos"),
         F.coalesce(F.sum("b_n").over(above), F.lit(0)).alias("o_n"),
-        F.sum("b_pos").over(group).alias("all_pos"), F.sum("b_n").over(group).alias("all_n"),
+        F.sum("b_pos").over(whole).alias("all_pos"), F.sum("b_n").over(whole).alias("all_n"),
     )
-    inner = Window.partitionBy(*keys, "bucket").orderBy(descending)
+    inner = Window.partitionBy(*on, "bucket").orderBy(F.col("score").desc())
     upto = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = bucketed.select(
-        *keys, "bucket", "score", "pos", "n",
+        *on, "bucket", "score", "pos", "n",
         F.sum("pos").over(upto).alias("i_pos"), F.sum("n").over(upto).alias("i_n"),
     )
-    joined = running.alias("r").join(
-        offsets.alias("o"), [F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}")) for c in [*keys, "bucket"]]
-    )
-    return joined.select(
-        *[F.col(f"r.{c}") for c in [*keys, "score", "pos", "n"]],
+    return running.join(offsets, [*on, "bucket"]).select(
+        *named, "score", "pos", "n",
         (F.col("i_pos") + F.col("o_pos")).alias("cum_pos"), (F.col("i_n") + F.col("o_n")).alias("cum_n"),
         "all_pos", "all_n",
     )

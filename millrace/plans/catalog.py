@@ -207,7 +207,7 @@ def old_and_new_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     cut = F.lit("1998-01-01").cast("timestamp_ntz")
     rows = lines(spark, sf_dir)
     halves = rows.filter(F.col("l_shipdate") < cut), rows.filter(F.col("l_shipdate") >= cut)
-    return tuple(op.dedup_latest(half, LINE_KEY, "l_shipdate", LINE_TIES) for half in halves)
+    return tuple(op.dedup_latest(half, LINE_KEY, "l_shipdate", LINE_TIES, full=True) for half in halves)
 
 
 @query("dedup_latest_by_key", DEDUP_SQL.format(source="lineitem"))
@@ -218,7 +218,7 @@ def dedup_latest_by_key(spark, sf_dir):
 @query("upsert_by_key", UPSERT_SQL)
 def upsert_by_key(spark, sf_dir):
     target, source = old_and_new_lines(spark, sf_dir)
-    return op.upsert(target, source, LINE_KEY)
+    return op.upsert(target, source, LINE_KEY, full=True)
 
 
 @query("table_merge", UPSERT_SQL)
@@ -554,7 +554,7 @@ def rescue_from_quarantine(spark, sf_dir):
     events = entity_events(spark, sf_dir)
     waiting = overdue_signups(events, arrived=("click", "view"))
     complete = op.complete_ids(source_rows(events, ("signup", *SIDES)), ENTITY)
-    return op.delete_matched(waiting, complete, ENTITY)
+    return op.delete_matched(waiting, complete, ENTITY, full=True)
 
 
 @query(

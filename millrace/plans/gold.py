@@ -96,7 +96,7 @@ def reassemble_tick(store: Store, wait_days: int = c.WAIT_DAYS, now: datetime |
     flags = presence({"_base": base, **sides}, on, {"_base": c.ARRIVAL})
     with written(flags, "presence") as known:
         complete = known.filter(reduce(and_, [F.col(f"has_{name}") for name in ("_base", *sides)])).select(*on)
-        fresh = anti_join(complete, assembled.read(), on) if assembled.exists() else complete
+        fresh = anti_join(complete, assembled.read(), on, full=True) if assembled.exists() else complete
         n_fresh = fresh.count()
         if n_fresh:
             assembled.append(assemble(base, sides, on, c.SIDE_HIDDEN, now=now, ids=fresh))

@@ -358,7 +358,7 @@ def score_new(
         return SKIPPED, {}
     features = task.features(rows)
     if target.exists():
-        rows = anti_join(rows, target.read(), list(task.entity))
+        rows = anti_join(rows, target.read(), list(task.entity), unique=True)
     scored = registry.load(version).transform(rows.select(*task.entity, *features))
     prob = vector_to_array("probability")[1]
     with written(predictions(scored, task.entity, prob, threshold, version, now), "predictions") as new:

@@ -119,6 +119,23 @@ def test_anti_join_keeps_null_keys(spark):
     assert sorted(r.v for r in anti_join(left, right, ["k"]).collect()) == ["b", "c", "d"]
 
 
+def test_null_keys_bypass_the_shuffle(spark):
+    from millrace.operators import left_join_all
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keyed = F.when(F.col("id") % 3 > 0, F.col("id")).alias("k")
+        left, right = spark.range(3000).select(keyed, "id"), spark.range(0, 3000, 2).select(F.col("id").alias("k"))
+        for df in (left_join_all(left, [right.withColumn("x", F.lit(1))], ["k"]), anti_join(left, right, ["k"])):
+            passed_by = df._jdf.queryExecution().executedPlan().toString().rsplit("Project", 1)[1]
+            assert "Range (0, 3000, step=1" in passed_by and "Exchange" not in passed_by
+        assert left_join_all(left, [right], ["k"]).count() == 3000
+        assert anti_join(left, right, ["k"]).count() == 1000 + 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_valid_filter_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "p")
     spark.range(100).select(F.col("id"), (F.col("id") % 7).alias("x"), F.lit("t").alias("wide")).write.parquet(path)

@@ -57,11 +57,21 @@ def test_one_class_only(spark):
 def test_bucketed_curve_has_no_global_window(spark):
     df = spark.range(0, 5000, 1, 4).select((F.col("id") * 37 % 1009).alias("s"), (F.col("id") % 3 == 0).cast("int").alias("y"))
     curve = op.score_curve(df, "s", "y", rows_per_bucket=500)
-    last = curve.orderBy("s" if "s" in curve.columns else "score").first()
+    last = curve.orderBy("score").first()
     assert (last.cum_n, last.cum_pos) == (last.all_n, last.all_pos) == (5000, 1667)
     assert curve.count() == 1009
-    windows = [line for line in curve._jdf.queryExecution().executedPlan().toString().splitlines() if "Window" in line]
-    assert any("[bucket" in line.replace("#", "[").replace("[[", "[") or "bucket#" in line for line in windows)
+    plan = curve._jdf.queryExecution().executedPlan().toString()
+    assert "windowspecdefinition(bucket" in plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_group_may_be_null(spark):
+    rows = [(None, 0.1 * i, i % 2) for i in range(9)] + [("a", 0.2 * i, i % 3 == 0) for i in range(9)]
+    df = spark.createDataFrame([(g, float(s), int(y)) for g, s, y in rows], "g STRING, s DOUBLE, y INT")
+    for per_bucket in (100, 4):
+        got = {r.g: r for r in op.ranking_metrics(df, "s", "y", ["g"], per_bucket).collect()}
+        for g in (None, "a"):
+            check(got[g], brute([(float(s), int(y)) for k, s, y in rows if k == g]))
 
 
 def test_classification_metrics(spark):

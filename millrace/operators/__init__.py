@@ -28,6 +28,7 @@ from millrace.operators.preprocessing import (
 from millrace.operators.quality import (
     check_conservation,
     check_not_null,
+    check_subset,
     check_unique,
     rule_report,
     split_by_rules,

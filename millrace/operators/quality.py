@@ -9,6 +9,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.joins import any_null
+
 NULL_POLICIES = ("fail", "drop")
 
 
@@ -100,6 +102,21 @@ def check_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.unpivot([], list(columns), "column", "n_null")
 
 
+def check_subset(df: DataFrame, reference: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: keyed rows, those whose key ``reference`` lacks, and whether there are none."""
+    total = F.count(F.lit(1))
+    ids = df.filter(~any_null(keys)).groupBy(*keys).agg(total.alias("n"))
+    known = reference.select(*keys).distinct().withColumn("_known", F.lit(True))
+    return (
+        ids.join(known, list(keys), "left")
+        .agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+            F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("n"))), F.lit(0)).alias("n_orphans"),
+        )
+        .withColumn("is_subset", F.col("n_orphans") == 0)
+    )
+
+
 def check_conservation(df: DataFrame, valid: DataFrame, quarantine: DataFrame) -> DataFrame:
     """One row: rows before the split, on either side of it, and whether none was lost or doubled."""
     parts = [("n_input", df), ("n_valid", valid), ("n_quarantined", quarantine)]

@@ -19,6 +19,7 @@ from millrace import operators as op
 from millrace.functions.columns import cast_columns, with_arrival, with_partitions
 from millrace.plans import model as ml
 from millrace.plans.ingest import ingest_tick
+from millrace.plans.silver import refine_source
 from millrace.plans.store import Store
 from millrace.session import scratch_path, tune
 from millrace.sources.landing import SourceSpec, read_landing
@@ -403,6 +404,31 @@ def not_null_check(spark, sf_dir):
     return op.check_not_null(labeled_documents(spark, sf_dir, "left"), ["doc_id", "quality", "toxic"])
 
 
+SUBSET_CHECKS = {
+    "lines_of_orders": ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    "labels_of_documents": ("labels", "doc_id", "documents", "doc_id"),
+    "orders_with_lines": ("orders", "o_orderkey", "lineitem", "l_orderkey"),
+}
+
+
+@query(
+    "subset_check",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS check_name, count(*) AS n_rows,
+            count(*) FILTER (WHERE {key} NOT IN (SELECT {other_key} FROM {other})) AS n_orphans,
+            count(*) FILTER (WHERE {key} NOT IN (SELECT {other_key} FROM {other})) = 0 AS is_subset FROM {rows}"""
+        for name, (rows, key, other, other_key) in SUBSET_CHECKS.items()
+    ),
+)
+def subset_check(spark, sf_dir):
+    def check(name: str, rows: str, key: str, other: str, other_key: str) -> DataFrame:
+        ids = table(spark, sf_dir, rows).select(F.col(key).alias("id"))
+        reference = table(spark, sf_dir, other).select(F.col(other_key).alias("id"))
+        return op.check_subset(ids, reference, ["id"]).select(F.lit(name).alias("check_name"), "*")
+
+    return reduce(DataFrame.unionByName, [check(name, *args) for name, args in SUBSET_CHECKS.items()])
+
+
 @query(
     "split_conservation",
     f"""
@@ -415,6 +441,35 @@ def split_conservation(spark, sf_dir):
     return op.check_conservation(rows, *op.split_by_rules(rows, LINE_RULES))
 
 
+EVENT_RULES = {
+    "valid_user": "user_id IS NOT NULL",
+    "enough_value": "value BETWEEN 5 AND 60",
+    "known_type": "event_type IN ('click', 'view', 'purchase', 'signup')",
+}
+VIOLATED = ", ".join(f"CASE WHEN {rule} THEN NULL ELSE '{name}' END" for name, rule in EVENT_RULES.items())
+
+
+@query(
+    "silver_refine",
+    f"""
+    SELECT event_id, {' AND '.join(f'({rule})' for rule in EVENT_RULES.values())} AS is_valid,
+           concat_ws(',', {VIOLATED}) AS failed_rules FROM events
+    """,
+)
+def silver_refine(spark, sf_dir):
+    """Two ticks into bronze, each followed by a refinement of what it brought."""
+    store = Store(spark, scratch_path(spark, "refined"))
+    feed, path = events_feed("json", window=timedelta(days=15)), land_events(spark, sf_dir, "json")
+    latest = table(spark, sf_dir, "events").agg(F.max("ts").alias("ts")).first()["ts"]
+    result = ingest_tick(store, feed, path, start=datetime(2023, 12, 31))
+    refine_source(store, feed, EVENT_RULES)
+    rest = -((result.watermark - latest) // feed.window)
+    ingest_tick(store, feed, path, windows=max(1, rest))
+    refine_source(store, feed, EVENT_RULES)
+    rows = store.silver("events").read()
+    return rows.select("event_id", "is_valid", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
 # -- features and assembly ---------------------------------------------------------------------------------------------
 
 

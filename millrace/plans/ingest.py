@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import with_audit, with_partitions
-from millrace.functions.times import from_micros, processing_time, time_literal
+from millrace.functions.times import from_micros, processing_time, time_literal, to_micros
 from millrace.operators.keyed import dedup_latest
 from millrace.operators.windows import window_slice
 from millrace.plans.store import Store
@@ -58,6 +58,17 @@ def write_watermark(store: Store, source: str, value: datetime, now: datetime |
     store.control(f"watermark_{source}").overwrite(row.coalesce(1))
 
 
+def reached_by(store: Store, source: str) -> datetime | None:
+    """Where the next window of a source starts: its watermark, or the window end noted with its bronze table.
+
+    The two differ only when a tick ended between its merge and its watermark. The merge stands, so it is not repeated.
+    """
+    watermark, bronze = read_watermark(store, source), store.bronze(source)
+    noted = bronze.state().note if bronze.exists() else ""
+    merged = from_micros(int(noted)) if noted else None
+    return max((t for t in (watermark, merged) if t is not None), default=None)
+
+
 def bronze_slice(
     landing: DataFrame, spec: SourceSpec, start: datetime | None, end: datetime | None, now: datetime | None = None
 ) -> DataFrame:
@@ -82,7 +93,7 @@ def ingest_tick(
     A missing or empty landing zone changes nothing.
     """
     spark = store.spark
-    watermark = read_watermark(store, spec.name)
+    watermark = reached_by(store, spec.name)
     lower = watermark if watermark is not None else start
     upper = None if lower is None else lower + spec.window * windows
     try:
@@ -95,10 +106,11 @@ def ingest_tick(
         # Only a tick without rows needs to know whether there is a landing zone at all.
         if seen["n"] == 0 and landing.isEmpty():
             return IngestResult(spec.name, EMPTY_LANDING, 0, lower, upper, watermark)
+        reached = upper if upper is not None else (from_micros(seen["us"]) if seen["us"] is not None else None)
         if seen["n"] > 0:
             latest = dedup_latest(slice_, spec.keys, spec.ts_col)
-            store.bronze(spec.name).merge(latest, spec.keys, matching=slice_)
-    reached = upper if upper is not None else (from_micros(seen["us"]) if seen["us"] is not None else None)
+            note = "" if reached is None else str(to_micros(reached))
+            store.bronze(spec.name).merge(latest, spec.keys, matching=slice_, note=note)
     if reached is not None:
         write_watermark(store, spec.name, reached, now)
     status = INGESTED if seen["n"] else EMPTY_WINDOW

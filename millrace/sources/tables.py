@@ -123,18 +123,20 @@ class TickTable:
         state = self.state()
         return self._commit(df, state.dirs, merged_schema(state.schema, df.schema), note)
 
-    def merge(self, source: DataFrame, keys: Sequence[str], matching: DataFrame | None = None) -> int:
+    def merge(
+        self, source: DataFrame, keys: Sequence[str], matching: DataFrame | None = None, note: str = ""
+    ) -> int:
         """Keyed upsert, source wins. ``source`` is unique on ``keys``.
 
         Its keys are looked up twice before its rows are written; ``matching`` can give a frame with the same keys that
         is cheaper to scan, where repeated keys do no harm.
         """
         if not self.exists():
-            return self.overwrite(source)
+            return self.overwrite(source, note)
         state = self.state()
         survivors, kept = self._without(state, source if matching is None else matching, keys)
         rows = source if survivors is None else survivors.unionByName(source, allowMissingColumns=True)
-        return self._commit(rows, kept, merged_schema(state.schema, source.schema))
+        return self._commit(rows, kept, merged_schema(state.schema, source.schema), note)
 
     def delete(self, keys_df: DataFrame, keys: Sequence[str]) -> int:
         """Delete the rows whose key is in ``keys_df``."""

@@ -97,6 +97,14 @@ def test_rule_report_and_checks(people):
     assert op.check_unique(people.filter("id > 9"), ["id"]).first().is_unique
 
 
+def test_subset_check(spark):
+    labels = spark.sql("SELECT * FROM VALUES (1), (1), (2), (9), (NULL) t(k)")
+    clinical = spark.sql("SELECT * FROM VALUES (1), (2), (3), (3) t(k)")
+    assert tuple(op.check_subset(labels, clinical, ["k"]).first()) == (4, 1, False)
+    assert tuple(op.check_subset(clinical, clinical, ["k"]).first()) == (4, 0, True)
+    assert op.check_subset(labels.limit(0), clinical, ["k"]).first().is_subset
+
+
 def test_rule_book():
     book = RuleBook().add("a", "one", "x > 0")
     with pytest.raises(ValueError, match="already registered"):

@@ -105,6 +105,25 @@ def test_ticks_in_any_grouping_give_one_table(spark, landing, tmp_path):
     assert len(tables[0]) == 7
 
 
+def test_tick_that_ends_after_its_merge_is_not_repeated(spark, store, landing, monkeypatch):
+    rng = __import__("random").Random(3)
+    t = feeds.START
+    rows = [feeds.sppb("P1", t + timedelta(minutes=5), rng), feeds.sppb("P2", t + timedelta(minutes=6), rng, response_id=None)]
+    feeds.write_json(landing, "sppb", "a.json", [*rows, feeds.sppb("P3", t + timedelta(minutes=70), rng)])
+
+    def crash(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "write_watermark", crash)
+        with pytest.raises(RuntimeError):
+            ingest.ingest_tick(store, c.SPPB, f"{landing}/sppb", start=t)
+    assert ingest.read_watermark(store, "sppb") is None
+    second = ingest.ingest_tick(store, c.SPPB, f"{landing}/sppb", start=t)
+    assert (second.start, second.rows) == (t + timedelta(hours=1), 1)
+    assert sorted(r.patient_id for r in store.bronze("sppb").read().collect()) == ["P1", "P2", "P3"]
+
+
 def test_bronze_invariants_and_idempotence(spark, store, landing):
     feeds.write_feeds(landing, n=20)
     results = ingest_everything(store, landing)

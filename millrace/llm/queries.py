@@ -8,14 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, simhash, url_filter
+from millrace.llm import bpe, decontamination, language_id, simhash, token_files, toxicity, url_filter
 from millrace.llm.common import tuned_batches, with_package
-from millrace.session import tune
+from millrace.session import scratch_path, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -51,12 +52,40 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_pages(table(spark, sf_dir, "pages"), RULES).drop("alias_of")
 
 
+@query("op2_decontamination")
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op3_byte_bpe")
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digest_documents(docs, MULTI_RANKS, public_tokenizers.PATTERN)
 
 
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = language_id.fit(docs, ~held_out)
+    found = language_id.predict(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    return found.drop("text")
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels)
+    return toxicity.score(docs.select("doc_id", "text"), model).drop("text")
+
+
+@query("op7_token_files")
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-shards")
+    token_files.write_shards(table(spark, sf_dir, "documents"), path, WORD_BPE, end_id=1)
+    return token_files.read_documents(spark, path)
+
+
 @query("op10_simhash")
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontamination, language_id, simhash, token_files, toxicity, url_filter
+from millrace.llm import bpe, decontamination, language_id, pii, simhash, token_files, toxicity, url_filter
 from millrace.llm.common import tuned_batches, with_package
 from millrace.session import scratch_path, tune
 
@@ -79,6 +79,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.select("doc_id", "text"), model).drop("text")
 
 
+@query("op6_pii")
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.fit(docs)).drop("text")
+
+
 @query("op7_token_files")
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-shards")

@@ -17,6 +17,7 @@ are not written. Document ids are 64-bit integers.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,8 +35,12 @@ MAGIC = 0x314B5054  # "TPK1"
 GROUP = 64
 BLOCK = 4_096
 SHARD_IDS = 1 << 20
-MAX_REMEMBERED = 1 << 19
+MAX_REMEMBERED = 1 << 20
 LONGEST_REMEMBERED = 64
+# Punctuation that begins no contraction.
+CLOSING = ".,;:!?"
+# Words that are encoded as one text.
+JOINED = 200
 SHARD_COLUMNS = "part int, seq int, start_in_part long, n_docs long, n_ids long, data binary"
 
 
@@ -126,8 +131,9 @@ def make_shard(doc_ids: list[int | None], documents: list[np.ndarray], bits: int
 
 
 class WordEncoder:
-    """Whole texts by the tokenizers library, word by word: this vocabulary drops white space and joins nothing over it,
-    so the ids of a text are those of its words in order. Words are remembered up to a bound."""
+    """Whole texts by the tokenizers library, word by word: this vocabulary drops white space and case, and joins neither
+    words nor letters and punctuation, so the ids of a text are those of its parts in order. Parts are remembered up to a
+    bound."""
 
     def __init__(self, tokenizer: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -135,21 +141,59 @@ class WordEncoder:
         self.end = np.array([end_id], dtype="<u4").tobytes()
         self.known: dict[str, bytes] = {"": b""}
 
+    @staticmethod
+    def words(text: str | None) -> list[str]:
+        """Parts between spaces and line ends, in lower case where that is sure to be what the library does."""
+        text = (text or "").replace("\n", " ")
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text.split(" ")
+        return text.lower().split(" ")
+
+    def encode_parts(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """(part, its ids), by one call for many parts: those of letters alone are one word each of a common text."""
+        plain = [part for part in parts if part.lower().isalpha()]
+        others = [part for part in parts if not part.lower().isalpha()]
+        texts = [" ".join(plain[k : k + JOINED]) for k in range(0, len(plain), JOINED)]
+        for start in range(0, len(texts), 100):
+            encodings = self.tokenizer.encode_batch(texts[start : start + 100], add_special_tokens=False)
+            for k, encoding in enumerate(encodings, start):
+                own = plain[k * JOINED : (k + 1) * JOINED]
+                ids = np.array(encoding.ids, dtype="<u4").tobytes()
+                at = (np.searchsorted(np.array(encoding.word_ids), np.arange(len(own) + 1)) * 4).tolist()
+                yield from zip(own, [ids[x:y] for x, y in zip(at, at[1:])])
+        for start in range(0, len(others), 10_000):
+            some = others[start : start + 10_000]
+            for part, encoding in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
+                ids = encoding.ids
+                yield part, struct.pack(f"<{len(ids)}I", *ids)
+
+    def learn(self, known: dict[str, bytes], words: set[str]) -> None:
+        """Encode words that are not known; punctuation after a letter is a part of its own."""
+        cut = []
+        for word in words:
+            core = word.rstrip(CLOSING)
+            if core and core != word and core[-1].lower().isalpha():
+                cut.append((word, core, word[len(core) :]))
+        whole = words.difference([word for word, _, _ in cut])
+        whole.update([core for _, core, _ in cut], [tail for _, _, tail in cut])
+        known.update(self.encode_parts(list(whole - known.keys())))
+        for word, core, tail in cut:
+            known[word] = known[core] + known[tail]
+
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of every text, each with the end id."""
-        split = [(text or "").replace("\n", " ").split(" ") for text in texts]
+        split = [self.words(text) for text in texts]
+        if len(self.known) > MAX_REMEMBERED:
+            self.known = {"": b""}
         known = self.known
-        if len(known) > MAX_REMEMBERED:
-            known = self.known = {"": b""}
-        new = list({word for words in split for word in words if word not in known})
-        passing = {}
-        for start in range(0, len(new), 10_000):
-            part = new[start : start + 10_000]
-            for word, encoding in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                keep = known if len(word) <= LONGEST_REMEMBERED else passing
-                keep[word] = np.array(encoding.ids, dtype="<u4").tobytes()
-        if passing:
-            known = {**known, **passing}
+        new = {word for words in split for word in words if word not in known}
+        long = {word for word in new if len(word) > LONGEST_REMEMBERED}
+        self.learn(known, new - long)
+        if long:
+            known = dict(known)
+            self.learn(known, long)
         return [np.frombuffer(b"".join([*map(known.__getitem__, words), self.end]), dtype="<u4") for words in split]
 
 
@@ -215,7 +259,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     totals = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per writing task
     bases = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    placed = shards.join(bases, "part").select((F.col("base") + F.col("start_in_part")).alias("base"), "data")
+    placed = shards.join(F.broadcast(bases), "part").select((F.col("base") + F.col("start_in_part")).alias("base"), "data")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for base, data in zip(batch.column(0), batch.column(1)):

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontamination, language_id, line_dedup, pii, simhash, token_files, toxicity, url_filter
+from millrace.llm import bpe, decontamination, imatch, language_id, line_dedup, pii, simhash, token_files, toxicity, url_filter
 from millrace.llm.common import tuned_batches, with_package
 from millrace.session import scratch_path, tune
 
@@ -98,6 +98,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs)
 
 
+@query("op9_imatch")
+def op9_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 @query("op10_simhash")
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))

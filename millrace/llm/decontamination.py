@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import tuned_batches
+from millrace.llm.common import checkpointed, small, tuned_batches
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -293,5 +293,5 @@ def contaminated(
 
 def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that hold a verified test item."""
-    leaks = contaminated(docs, items, id_col, text_col).select(id_col).distinct()
-    return docs.join(leaks, id_col, "left_anti")
+    leaks = checkpointed(contaminated(docs, items, id_col, text_col).select(id_col).distinct())
+    return docs.join(small(leaks, leaks.count()), id_col, "left_anti")

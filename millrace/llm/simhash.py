@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import checkpointed, tuned_batches
+from millrace.llm.common import checkpointed, small, tuned_batches
 from millrace.llm.components import connected_components
 
 SEED = 42
@@ -191,5 +191,5 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` without the documents that are near copies of one with a smaller id; rows that repeat the smallest id
     stay, and so do rows without an id."""
     found = near_duplicates(docs, id_col, text_col, radius, SHINGLE)
-    copies = found.filter("id > component").select(F.col("id").alias(id_col)).distinct()
-    return docs.join(copies, id_col, "left_anti")
+    copies = checkpointed(found.filter("id > component").select(F.col("id").alias(id_col)).distinct())
+    return docs.join(small(copies, copies.count()), id_col, "left_anti")

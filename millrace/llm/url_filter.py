@@ -30,7 +30,7 @@ CANONICAL = (
 )
 REFRESH = (
     r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>",
-    r"(?is)\burl\s*=\s*[\"']?([^\"'\s>;]+)",
+    r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)",
 )
 
 

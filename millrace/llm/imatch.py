@@ -37,7 +37,7 @@ def words_of(text: Column) -> Column:
 
 def document_frequencies(texts: DataFrame, text_col: str) -> DataFrame:
     """``(term, df)``: in how many rows a term occurs; terms as 64-bit hashes."""
-    words = texts.select(F.array_distinct(words_of(F.col(text_col))).alias("words")).select(F.explode("words").alias("word")).filter("word <> ''")
+    words = texts.select(F.array_distinct(words_of(F.col(text_col))).alias("words")).select(F.explode_outer("words").alias("word")).filter("word <> ''")
     return words.select(F.xxhash64("word").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
@@ -89,7 +89,7 @@ def fingerprints(texts: DataFrame, key: list[str], text_col: str, known: DataFra
     # What is computed once per text comes before the explode. The empty word stands for the text itself, so texts
     # without a lexicon term are kept.
     whole = F.xxhash64(F.array_sort("words")).alias("whole")
-    spread = words.select(*key, whole, F.array_append("words", "").alias("words")).select(*key, "whole", F.explode("words").alias("word"))
+    spread = words.select(*key, whole, F.array_append("words", "").alias("words")).select(*key, "whole", F.explode_outer("words").alias("word"))
     terms = spread.select(*key, "whole", F.xxhash64("word").alias("term"))
     found = terms.join(known, "term")
     entry = F.when(F.col("subsets") != 0, F.struct("term", "subsets"))
@@ -140,7 +140,7 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - F.col("taken")), "start")
     both = texts.join(starts, "key").select("key", "text", edited.alias("edited"))
     versions = F.array(F.struct(F.lit(False).alias("is_edited"), F.col("text")), F.struct(F.lit(True).alias("is_edited"), F.col("edited").alias("text")))
-    hashed = both.select("key", F.sha2("edited", 256).alias("sha"), versions.alias("versions")).select("key", "sha", F.explode("versions").alias("v"))
+    hashed = both.select("key", F.sha2("edited", 256).alias("sha"), versions.alias("versions")).select("key", "sha", F.explode_outer("versions").alias("v"))
     hashed = hashed.select("key", "v.is_edited", F.when(F.col("v.is_edited"), F.col("sha")).alias("sha"), F.col("v.text").alias("text"))
     prints, _ = stored(fingerprints(hashed, ["key", "is_edited", "sha"], "text", known), "imatch")
     own = prints.filter("NOT is_edited").select("key", F.col("parts").alias("own"))

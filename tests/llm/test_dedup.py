@@ -137,7 +137,7 @@ def test_crowded_blocks_stay_connected(spark):
 def test_line_prints_by_definition(corpus):
     text = "one two three four five two"
     row = line_dedup.line_prints(corpus([(1, text)]), "doc_id", "text").first()
-    hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in text.split()]
+    hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in sorted(set(text.split()))]
     want = sum(1 << bit for bit in range(63) if sum(h >> bit & 1 for h in hashes) * 2 > len(hashes))
     assert row["left"] == want
 

@@ -14,6 +14,8 @@ from millrace.functions.times import processing_time
 
 # Anything but digits, signs, blanks and control characters: no integer can contain it.
 NOT_IN_INTEGERS = r"[^0-9+\-\s\p{Cntrl}]"
+# What common tools write for an integer in a column with missing values.
+WHOLE_DECIMAL = r"^\s*[+-]?[0-9]+\.0*\s*$"
 INTEGERS = ("tinyint", "smallint", "int", "bigint")
 
 
@@ -21,11 +23,12 @@ def safe_cast(column: Column, source: DataType, target: str) -> Column:
     """Cast that turns a malformed value into NULL.
 
     A failing text-to-integer cast costs an exception per row, a hundred times the cast itself, so obvious misfits are
-    turned away by a pattern first.
+    turned away by a pattern first. A decimal without a fraction, like ``72.0``, is the integer it says.
     """
     kind = StructType.fromDDL(f"c {target}")["c"].dataType.simpleString()
     if isinstance(source, StringType) and kind in INTEGERS:
-        return F.when(~column.rlike(NOT_IN_INTEGERS), column).try_cast(target)
+        whole = F.when(column.rlike(WHOLE_DECIMAL), F.substring_index(column, ".", 1))
+        return F.when(~column.rlike(NOT_IN_INTEGERS), column).otherwise(whole).try_cast(target)
     return column.try_cast(target)
 
 

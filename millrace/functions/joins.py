@@ -1,4 +1,4 @@
-"""Join helpers that keep rows with a NULL key out of the shuffle."""
+"""Join helpers for keys that may be NULL."""
 
 from __future__ import annotations
 
@@ -15,31 +15,13 @@ def any_null(columns: Sequence[str]) -> Column:
     return reduce(or_, [F.col(c).isNull() for c in columns])
 
 
-def split_null_keys(df: DataFrame, on: Sequence[str]) -> tuple[DataFrame, DataFrame | None]:
-    """(rows with a full key, rows with a NULL in it); the latter is None where the schema rules it out.
-
-    A row with a NULL key matches nothing, so an outer or anti join can pass it by. Sent through the join, all such
-    rows would hash to one partition.
-    """
-    nullable = [f.name for f in df.schema.fields if f.name in on and f.nullable]
-    if not nullable:
-        return df, None
-    return df.filter(~any_null(nullable)), df.filter(any_null(nullable))
-
-
-def with_rest(joined: DataFrame, rest: DataFrame | None) -> DataFrame:
-    """Put back the rows that were passed by a join; columns they lack are NULL."""
-    return joined if rest is None else joined.unionByName(rest, allowMissingColumns=True)
-
-
-def anti_join(left: DataFrame, right: DataFrame, on: Sequence[str], unique: bool = False, full: bool = False) -> DataFrame:
+def anti_join(left: DataFrame, right: DataFrame, on: Sequence[str], unique: bool = False) -> DataFrame:
     """Rows of ``left`` without a partner in ``right``; NULL keys match nothing and stay.
 
     The keys of ``right`` are made distinct before they are shuffled, so that a key that repeats there without end
-    arrives once per task; ``unique`` says that they are distinct already. ``full`` says that no key of ``left`` is
-    NULL, which saves the second look at it.
+    arrives once per task; ``unique`` says that they are distinct already. A key that is hot in ``left``, NULL included,
+    is split by adaptive execution.
     """
     keys = list(on)
     other = right.select(*keys) if unique else right.select(*keys).distinct()
-    known, rest = (left, None) if full else split_null_keys(left, keys)
-    return with_rest(known.join(other, keys, "left_anti"), rest)
+    return left.join(other, keys, "left_anti")

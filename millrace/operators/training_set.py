@@ -27,16 +27,34 @@ def training_table(
     hidden: Iterable[str] = (),
     available: str = "label_available_date",
     observed: str = "snapshot_date",
+    label_on: Sequence[str] | None = None,
 ) -> DataFrame:
     """Every base row with its side features and leakage-clean label; missing ones stay NULL.
 
+    A label belongs to an observation: ``label_on`` is ``on`` and ``observed`` where both base and labels have that
+    column, so a row of a repeat id gets no label of another of its dates. Where labels have no observation of their own
+    they are joined by ``on`` and, if the base has one, kept only where they became known after it.
+
     ``hidden`` are columns that neither sides nor labels contribute (audit columns, other ids and dates).
     """
     keys = list(on)
     joined = [side.select(*keys, *business_columns(side, [*keys, *hidden])) for side in sides.values()]
-    clean = antileakage(labels, available, observed)
-    joined.append(clean.select(*keys, *business_columns(clean, [*keys, *hidden, observed])))
-    return left_join_all(base, joined, keys)
+    if label_on is None:
+        label_on = [*keys, observed] if observed in base.columns and observed in labels.columns else keys
+    label_keys = list(label_on)
+    clean = antileakage(labels, available, observed) if observed in labels.columns else labels
+    clean = clean.select(*label_keys, *business_columns(clean, [*label_keys, *keys, *hidden, observed]))
+    rows = left_join_all(left_join_all(base, joined, keys), [clean], label_keys)
+    if observed in label_keys or observed not in base.columns or available not in clean.columns:
+        return rows.select(*_order(base, joined, clean, keys, label_keys))
+    known = F.col(available) > F.col(observed)
+    named = [c for c in clean.columns if c not in label_keys]
+    return rows.withColumns({c: F.when(known, F.col(c)) for c in named}).select(*_order(base, joined, clean, keys, label_keys))
+
+
+def _order(base: DataFrame, sides: Sequence[DataFrame], labels: DataFrame, on: Sequence[str], label_on: Sequence[str]) -> list[str]:
+    """Columns of the base, of the sides, of the labels."""
+    return [*base.columns, *[c for s in sides for c in s.columns if c not in on], *[c for c in labels.columns if c not in label_on]]
 
 
 def labeled_only(df: DataFrame, label: str) -> DataFrame:

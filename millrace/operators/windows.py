@@ -33,7 +33,8 @@ def replay_windows(df: DataFrame, ts_col: str, start: datetime, width: timedelta
     """All consecutive ticks ``(start + k*width, start + (k+1)*width]`` up to the last row, empty ones included.
 
     (tick, window_start, window_end, n_rows); ``window_end`` is the watermark after the tick. The tick of a row is
-    computed from its timestamp, so this is one aggregation and an equi-join rather than a range join.
+    computed from its timestamp, so this is one aggregation and an equi-join rather than a range join. The last tick is
+    read first, so that the empty ones are made in parallel.
     """
     span = width // timedelta(microseconds=1)
     origin = F.lit(to_micros(start))
@@ -42,9 +43,8 @@ def replay_windows(df: DataFrame, ts_col: str, start: datetime, width: timedelta
         .groupBy(F.floor((_micros(F.col(ts_col)) - origin - 1) / F.lit(span)).alias("tick"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    every = ticks.agg(F.max("tick").alias("last")).select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))).alias("tick")
-    )
+    last = ticks.agg(F.max("tick")).first()[0]
+    every = df.sparkSession.range(0 if last is None else last + 1).withColumnRenamed("id", "tick")
 
     def edge(offset: int) -> Column:
         return F.timestamp_micros(origin + (F.col("tick") + offset) * span).cast("timestamp_ntz")

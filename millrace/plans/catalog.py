@@ -21,7 +21,7 @@ from millrace.plans import model as ml
 from millrace.plans.ingest import ingest_tick
 from millrace.plans.silver import refine_source
 from millrace.plans.store import Store
-from millrace.session import scratch_path, tune
+from millrace.session import scratch_path, tune, written
 from millrace.sources.landing import SourceSpec, read_landing
 from millrace.sources.tables import TickTable
 from millrace.streaming.ingest import stream_ingest
@@ -208,7 +208,7 @@ def old_and_new_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     cut = F.lit("1998-01-01").cast("timestamp_ntz")
     rows = lines(spark, sf_dir)
     halves = rows.filter(F.col("l_shipdate") < cut), rows.filter(F.col("l_shipdate") >= cut)
-    return tuple(op.dedup_latest(half, LINE_KEY, "l_shipdate", LINE_TIES, full=True) for half in halves)
+    return tuple(op.dedup_latest(half, LINE_KEY, "l_shipdate", LINE_TIES) for half in halves)
 
 
 @query("dedup_latest_by_key", DEDUP_SQL.format(source="lineitem"))
@@ -219,7 +219,7 @@ def dedup_latest_by_key(spark, sf_dir):
 @query("upsert_by_key", UPSERT_SQL)
 def upsert_by_key(spark, sf_dir):
     target, source = old_and_new_lines(spark, sf_dir)
-    return op.upsert(target, source, LINE_KEY, full=True)
+    return op.upsert(target, source, LINE_KEY)
 
 
 @query("table_merge", UPSERT_SQL)
@@ -609,7 +609,7 @@ def rescue_from_quarantine(spark, sf_dir):
     events = entity_events(spark, sf_dir)
     waiting = overdue_signups(events, arrived=("click", "view"))
     complete = op.complete_ids(source_rows(events, ("signup", *SIDES)), ENTITY)
-    return op.delete_matched(waiting, complete, ENTITY, full=True)
+    return op.delete_matched(waiting, complete, ENTITY)
 
 
 @query(
@@ -710,6 +710,30 @@ def training_table(spark, sf_dir):
     )
 
 
+@query(
+    "training_table_repeat_ids",
+    """
+    SELECT o_custkey, CAST(o_orderdate AS DATE) AS snapshot_date, n_orders, label_available_date, late
+    FROM (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders) b
+    LEFT JOIN (SELECT o_custkey AS k, count(*) AS n_orders FROM orders GROUP BY o_custkey) s ON k = o_custkey
+    LEFT JOIN (SELECT o_custkey AS lk, CAST(o_orderdate AS DATE) AS ld, max(CAST(l_shipdate AS DATE)) AS label_available_date,
+                      CAST(max(CASE WHEN l_quantity > 45 THEN 1 ELSE 0 END) AS INTEGER) AS late
+               FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL) l
+           ON lk = o_custkey AND ld = o_orderdate AND label_available_date > ld
+    """,
+)
+def training_table_repeat_ids(spark, sf_dir):
+    """A customer has a row for each day with an order; the label of a day is not that of another day."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", F.to_date("o_orderdate").alias("snapshot_date"))
+    sides = {"orders": orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"))}
+    rows = ordered_lines(spark, sf_dir).withColumn("snapshot_date", F.to_date("o_orderdate"))
+    labels = rows.groupBy("o_custkey", "snapshot_date").agg(
+        F.max(F.to_date("l_shipdate")).alias("label_available_date"),
+        F.max((F.col("l_quantity") > 45).cast("int")).alias("late"),
+    )
+    return op.training_table(orders.distinct(), sides, labels, ["o_custkey"])
+
+
 @query(
     "training_table_missing_side",
     """
@@ -1056,26 +1080,36 @@ def order_task() -> ml.ModelTask:
     )
 
 
-def order_store(spark: SparkSession, sf_dir: str) -> Store:
+def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as training rows: is the order done, from its price, priority and customer segment?"""
-    store = Store(spark, scratch_path(spark, "orders-store"))
     segment = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_acctbal")
     rows = dated_orders(spark, sf_dir).join(segment, "o_custkey", "left")
     columns = ["o_orderkey", "o_orderdate", "o_totalprice", "o_orderpriority", "c_mktsegment", "c_acctbal"]
-    store.gold("training").overwrite(rows.select(*columns, "done"))
+    return rows.select(*columns, "done")
+
+
+def order_store(spark: SparkSession, sf_dir: str) -> Store:
+    store = Store(spark, scratch_path(spark, "orders-store"))
+    store.gold("training").overwrite(order_rows(spark, sf_dir))
     return store
 
 
 @query("grid_search")
 def grid_search(spark, sf_dir):
-    """Metrics of every grid point on the training and validation split."""
-    result = ml.train(order_store(spark, sf_dir), order_task(), gates=(0.0, 0.0))
+    """Size, prevalence and metrics of every grid point on the training and validation split."""
+    labeled = op.labeled_only(order_rows(spark, sf_dir), "done")
+    features = order_task().features(labeled)
+    train_end, val_end = op.cutoff_dates(labeled, "o_orderdate", ml.SPLIT_FRACTIONS)
+    splits = labeled.select(*features, "done", op.split_column("o_orderdate", train_end, val_end).alias(ml.SPLIT))
+    stages = ml.fit_preparation(splits.filter(F.col(ml.SPLIT) == "train"), features)
+    with written(ml.prepared(splits.filter(F.col(ml.SPLIT).isNotNull()), stages, "done", [ml.SPLIT]), "prepared") as frame:
+        points = ml.grid_search(frame, "done")
     rows = [
-        (p.index, p.strength, p.penalty, split, float(m["auc_pr"]), float(m["auc_roc"]), float(m["f1"]))
-        for p in result.points
+        (p.index, p.strength, p.penalty, split, int(m["n"]), *[float(m[k]) for k in ("prevalence", "auc_pr", "auc_roc", "f1")])
+        for p in points
         for split, m in p.metrics.items()
     ]
-    schema = "point INT, strength DOUBLE, penalty STRING, split STRING, auc_pr DOUBLE, auc_roc DOUBLE, f1 DOUBLE"
+    schema = "point INT, strength DOUBLE, penalty STRING, split STRING, n LONG, prevalence DOUBLE, auc_pr DOUBLE, auc_roc DOUBLE, f1 DOUBLE"
     return spark.createDataFrame(rows, schema)
 
 

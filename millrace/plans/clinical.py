@@ -107,30 +107,11 @@ LABELS = SourceSpec(
 )
 SOURCES: dict[str, SourceSpec] = {s.name: s for s in (CLINICAL, SPPB, LIFESTYLE, GAIT, LABELS)}
 
-# Rule names and accepted domains per feed. An identity rule names a column that must be present, a range
-# is inclusive, a set lists the accepted values.
-PRESENT = {
-    "clinical": {"valid_patient_id": "patient_id", "valid_snapshot_date": "snapshot_date"},
-    "sppb": {
-        "valid_response_id": "response_id",
-        "valid_patient_id_sppb": "patient_id",
-        "valid_survey_date_sppb": "survey_date",
-    },
-    "lifestyle": {"valid_response_id_ls": "response_id", "valid_patient_id_ls": "patient_id"},
-    "gait": {
-        "valid_event_id": "event_id",
-        "valid_patient_id_gait": "patient_id",
-        "valid_session_id": "session_id",
-        "valid_session_timestamp": "session_timestamp",
-    },
-    "labels": {
-        "valid_patient_id_lbl": "patient_id",
-        "valid_snapshot_date_lbl": "snapshot_date",
-        "valid_label_available_date": "label_available_date",
-    },
-}
-DOMAINS = {
+# The rules of every feed, name and SQL.
+RULE_SQL = {
     "clinical": {
+        "valid_patient_id": "patient_id IS NOT NULL",
+        "valid_snapshot_date": "snapshot_date IS NOT NULL",
         "valid_age": "age BETWEEN 65 AND 100",
         "valid_sex": "sex IN ('M', 'F')",
         "valid_bmi": "bmi BETWEEN 17.0 AND 45.0",
@@ -147,12 +128,17 @@ DOMAINS = {
         "valid_depression_score": "depression_score BETWEEN 0.0 AND 1.0",
     },
     "sppb": {
+        "valid_response_id": "response_id IS NOT NULL",
+        "valid_patient_id_sppb": "patient_id IS NOT NULL",
+        "valid_survey_date_sppb": "survey_date IS NOT NULL",
         "valid_sppb_balance": "sppb_balance BETWEEN 0.0 AND 4.0",
         "valid_sppb_gait_speed_s": "sppb_gait_speed_s BETWEEN 1.0 AND 15.0",
         "valid_sppb_chair_stand_s": "sppb_chair_stand_s BETWEEN 5.0 AND 60.0",
         "valid_sppb_total": "sppb_total BETWEEN 0 AND 12",
     },
     "lifestyle": {
+        "valid_response_id_ls": "response_id IS NOT NULL",
+        "valid_patient_id_ls": "patient_id IS NOT NULL",
         "valid_steps_per_day": "steps_per_day BETWEEN 0 AND 20000",
         "valid_moderate_exercise": "moderate_exercise_min_week BETWEEN 0 AND 600",
         "valid_protein_intake": "protein_intake_g_per_kg BETWEEN 0.3 AND 2.0",
@@ -161,6 +147,10 @@ DOMAINS = {
         "valid_alcohol_units": "alcohol_units_per_week IN (0, 1, 2, 3)",
     },
     "gait": {
+        "valid_event_id": "event_id IS NOT NULL",
+        "valid_patient_id_gait": "patient_id IS NOT NULL",
+        "valid_session_id": "session_id IS NOT NULL",
+        "valid_session_timestamp": "session_timestamp IS NOT NULL",
         "valid_stride_length": "stride_length_m BETWEEN 0.2 AND 1.2",
         "valid_stride_time": "stride_time_s BETWEEN 0.5 AND 2.5",
         "valid_cadence": "cadence_steps_min BETWEEN 40.0 AND 150.0",
@@ -169,18 +159,20 @@ DOMAINS = {
         "valid_double_support_pct": "double_support_pct BETWEEN 10.0 AND 60.0",
     },
     "labels": {
+        "valid_patient_id_lbl": "patient_id IS NOT NULL",
+        "valid_snapshot_date_lbl": "snapshot_date IS NOT NULL",
+        "valid_label_available_date": "label_available_date IS NOT NULL",
         "valid_frailty_label_lbl": "frailty_label IN (0, 1)",
         "temporal_coherence": "label_available_date > snapshot_date",
     },
 }
 
 
-def rule_book(present: Mapping = PRESENT, domains: Mapping = DOMAINS) -> RuleBook:
-    """All rules of the feeds, identity rules first."""
+def rule_book(rules: Mapping = RULE_SQL) -> RuleBook:
+    """All rules of the feeds."""
     book = RuleBook()
-    for tag in SOURCES:
-        book.add_all(tag, {name: f"{column} IS NOT NULL" for name, column in present[tag].items()})
-        book.add_all(tag, domains[tag])
+    for tag, named in rules.items():
+        book.add_all(tag, named)
     return book
 
 

@@ -135,7 +135,8 @@ def with_probability(df: DataFrame, model: LogisticRegressionModel, name: str) -
     return named.transform(df).withColumn(name, vector_to_array("_p")[1]).drop("_p")
 
 
-def _prepared(df: DataFrame, stages: Sequence[Transformer], label: str, keep: Sequence[str] = ()) -> DataFrame:
+def prepared(df: DataFrame, stages: Sequence[Transformer], label: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Feature vector and label as the classifier takes them, and the columns to keep."""
     return apply_stages(df, stages).select(INPUTS, F.col(label).cast("double").alias(label), *keep)
 
 
@@ -250,7 +251,7 @@ def train(
     }
 
     stages = fit_preparation(splits.filter(F.col(SPLIT) == "train"), features)
-    with written(_prepared(splits, stages, label, [SPLIT]), "prepared") as frame:
+    with written(prepared(splits, stages, label, [SPLIT]), "prepared") as frame:
         points = grid_search(frame, label, grid)
         best = best_point(points)
         (search_id,) = registry.log_runs([{"kind": "grid_search", "params": {**lineage, "grid_size": len(points)}}])
@@ -307,7 +308,7 @@ def train(
 def fit_final(df: DataFrame, features: Sequence[str], label: str, strength: float, penalty: str) -> PipelineModel:
     """Preparation and classifier fitted on all rows given."""
     stages = fit_preparation(df, features)
-    with written(_prepared(df, stages, label), "refit") as frame:
+    with written(prepared(df, stages, label), "refit") as frame:
         weighted = frame.withColumn(WEIGHT, balanced_weight(frame, label))
         return PipelineModel([*stages, logistic(strength, penalty, frame.count(), label).fit(weighted)])
 

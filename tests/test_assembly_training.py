@@ -105,6 +105,14 @@ def test_repeat_ids_multiply(spark):
     assert op.training_table(base, {"s": side}, labels, ["pid"]).count() == 4
 
 
+def test_repeat_ids_get_no_label_of_another_date(spark):
+    days = [date(2024, 1, 1), date(2024, 6, 1)]
+    base = frame(spark, [("a", day) for day in days], "pid STRING, snapshot_date DATE")
+    labels = frame(spark, [("a", days[0], date(2024, 2, 1), 1)], "pid STRING, snapshot_date DATE, label_available_date DATE, y INT")
+    for rows in (op.training_table(base, {}, labels, ["pid"]), op.training_table(base, {}, labels.drop("snapshot_date"), ["pid"])):
+        assert {r.snapshot_date: r.y for r in rows.collect()} == {days[0]: 1, days[1]: None}
+
+
 def test_cutoffs_match_pandas(spark):
     days = [date(2024, 1, 1) + timedelta(days=(i * i) % 37) for i in range(101)]
     df = frame(spark, [(d,) for d in days] + [(None,)], "d DATE")

@@ -127,7 +127,7 @@ def test_line_dedup_hard_cases(corpus):
 def test_crowded_blocks_stay_connected(spark):
     rng = random.Random(5)
     left, right = rng.getrandbits(63), rng.getrandbits(63)
-    prints = {(left ^ 1 << rng.randrange(21), right ^ 1 << rng.randrange(63)) for _ in range(400)}
+    prints = {(left ^ 1 << rng.randrange(21), right ^ 1 << rng.randrange(63)) for _ in range(800)}
     rows = [(k, a, b) for k, (a, b) in enumerate(sorted(prints))]
     links = line_dedup.candidate_links(spark.createDataFrame(rows, "h long, left long, right long"), bucket=16).collect()
     assert len(links) < len(rows) * 60

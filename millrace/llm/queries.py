@@ -47,7 +47,56 @@ RULES = [
 ]
 
 
-@query("op1_url_filter")
+def _sql_host(url: str) -> str:
+    return f"translate(coalesce(regexp_extract({url}, '(?s)^.*?://([^/?#]*)', 1), ''), '{url_filter.CAPITALS}', '{url_filter.SMALL}')"
+
+
+def _sql_path(url: str) -> str:
+    return f"coalesce(regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"
+
+
+def _sql_key(url: str) -> str:
+    query = f"regexp_extract({url}, '(?s)^.*?://[^?#]*(\\?[^#]*)', 1)"
+    return f"CASE WHEN contains({url}, '://') THEN '//' || {_sql_host(url)} || {_sql_path(url)} || {query} END"
+
+
+def _sql_rule(field: str) -> str:
+    order = sorted(RULES, key=lambda r: (-len(r.text), r.verdict != "allow", r.text))
+    cases = " ".join(
+        f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{getattr(r, field)}'" for r in order
+    )
+    return f"CASE {cases} END"
+
+
+def _sql_target(tag: str, address: str) -> str:
+    quoted = [pattern.replace("'", "''") for pattern in (tag, address)]
+    return f"regexp_extract(regexp_extract(html, '{quoted[0]}'), '{quoted[1]}', 1)"
+
+
+URL_FILTER_SQL = f"""
+    WITH RECURSIVE named AS (
+        SELECT url, replace(t, '&amp;', '&') AS t, regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) AS site,
+               regexp_extract(url, '(?s)^(.*?://[^/?#]*(?:[^?#]*/)?)', 1) AS folder
+        FROM (SELECT url, unnest([{_sql_target(*url_filter.CANONICAL)}, {_sql_target(*url_filter.REFRESH)}]) AS t FROM pages)
+        WHERE t <> '' AND contains(url, '://')),
+    resolved AS (
+        SELECT url, CASE WHEN contains(t, '://') THEN t
+                         WHEN starts_with(t, '//') THEN regexp_extract(url, '(?s)^(.*?):', 1) || ':' || t
+                         WHEN starts_with(t, '/') THEN site || t
+                         ELSE folder || CASE WHEN ends_with(folder, '/') THEN '' ELSE '/' END || t END AS target FROM named),
+    links AS (SELECT {_sql_key("url")} AS a, {_sql_key("target")} AS b FROM resolved),
+    both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+    reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a),
+    members AS (SELECT a, {_sql_host("('x:' || b)")} AS host, {_sql_path("('x:' || b)")} AS path FROM reach),
+    blocked AS (SELECT DISTINCT a FROM members WHERE {_sql_rule("verdict")} = 'block'),
+    judged AS (SELECT page_id, {_sql_host("url")} AS host, {_sql_path("url")} AS path, {_sql_key("url")} AS k FROM pages)
+    SELECT page_id, host, path, {_sql_rule("text")} AS rule,
+           coalesce({_sql_rule("verdict")}, CASE WHEN a IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+    FROM judged LEFT JOIN blocked ON a = k
+    """
+
+
+@query("op1_url_filter", URL_FILTER_SQL)
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_pages(table(spark, sf_dir, "pages"), RULES).drop("alias_of")
 

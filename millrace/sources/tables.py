@@ -43,10 +43,20 @@ def merged_schema(old: StructType, new: StructType) -> StructType:
     return StructType([StructField(f.name, f.dataType, True) for f in both])
 
 
+# Characters that Spark's writer escapes in the names of partition directories.
+ESCAPED = frozenset([*map(chr, range(1, 32)), *"\"#%'*/:=?\\{[]^", "\x7f"])
+
+
+def escaped(value: str) -> str:
+    """A partition value as Spark's writer spells it in a directory name."""
+    return "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in value)
+
+
 def partition_dir(row: Row) -> str:
-    """Directory of a row of partition values, as Spark's writer names it (numbers, booleans and plain words)."""
-    names = {None: "__HIVE_DEFAULT_PARTITION__", True: "true", False: "false"}
-    return "/".join(f"{k}={names[v] if v is None or isinstance(v, bool) else v}" for k, v in row.asDict().items())
+    """Directory of a row of partition values, as Spark's writer names it (numbers, booleans and text)."""
+    names = {None: "__HIVE_DEFAULT_PARTITION__", True: "true", False: "false", "": "__HIVE_DEFAULT_PARTITION__"}
+    parts = row.asDict().items()
+    return "/".join(f"{k}={names[v] if v is None or v == '' or isinstance(v, bool) else escaped(str(v))}" for k, v in parts)
 
 
 def partition_of(directory: str) -> str:

@@ -39,7 +39,8 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Merge every file that has landed since the last run into a bronze table, then stop.
 
-    Each landing file is read once, whatever the size of the landing zone. A batch that is retried after a failure is
+    Each landing file is read once, whatever the size of the landing zone. Of a key's rows the latest by the watermark
+    column stays, in whatever order the files come. A batch that is retried after a failure is
     merged again by key, with the same result. With ``lateness`` a key seen before within that time is suppressed
     instead of merged, and rows later than that are dropped.
     """
@@ -50,8 +51,14 @@ def stream_ingest(
     def merge(batch: DataFrame, _: int) -> None:
         prepared = with_partitions(with_audit(batch, spec.ts_col, now), spec.ts_col)
         with written(prepared, f"{spec.name}-batch") as slice_:
-            if not slice_.isEmpty():
-                table.merge(dedup_latest(slice_, spec.keys, spec.ts_col), spec.keys, matching=slice_)
+            if slice_.isEmpty():
+                return
+            rows = slice_
+            if table.exists():
+                # A later file may hold an earlier row: what the table knows of these keys takes part in the choice.
+                known = table.read().join(slice_.select(*spec.keys).distinct(), list(spec.keys), "left_semi")
+                rows = slice_.unionByName(known, allowMissingColumns=True)
+            table.merge(dedup_latest(rows, spec.keys, spec.ts_col), spec.keys, matching=slice_)
 
     return (
         rows.writeStream.foreachBatch(merge)

@@ -12,6 +12,7 @@ from millrace.plans import gold, ingest, model, silver
 from millrace.plans.registry import CHALLENGER, CHAMPION, REJECTED, RETIRED, Registry
 from millrace.plans.store import Store
 from millrace.sources import LandingMissing, TickTable, read_landing
+from millrace.sources.landing import SourceSpec
 from millrace.streaming import stream_ingest
 
 NOW = datetime(2030, 1, 1)
@@ -226,6 +227,15 @@ def test_gold_without_sources(spark, store, landing):
     assert len(training.columns) == 42 and training.filter("sppb_total IS NULL AND frailty_label IS NULL").count() == 4
 
 
+def test_stream_keeps_the_latest_row_whatever_the_order_of_files(spark, tmp_path):
+    spec = SourceSpec("s", "json", {"k": "STRING", "ts": "TIMESTAMP", "v": "STRING"}, ("k",), "ts")
+    table = TickTable(spark, str(tmp_path / "t"), ("year", "month"))
+    for part, (hour, value) in enumerate([("02", "late"), ("01", "early")]):
+        spark.createDataFrame([("a", f"2024-01-01 {hour}:00:00", value)], "k STRING, ts STRING, v STRING").write.json(str(tmp_path / f"in/{part}"))
+        stream_ingest(table, spec, str(tmp_path / "in"), str(tmp_path / "checkpoint"), max_files=1, now=NOW).awaitTermination()
+    assert [(r.k, r.v) for r in table.read().collect()] == [("a", "late")]
+
+
 def test_stream_equals_batch(spark, landing, tmp_path):
     feeds.write_feeds(landing, n=12)
     stream_table = TickTable(spark, str(tmp_path / "stream"), ("year", "month"))

@@ -64,6 +64,14 @@ def test_table_merge_equals_upsert(spark, tmp_path):
     assert table.read().count() == before and len(table.state().dirs) == 3
 
 
+def test_merge_into_escaped_partitions(spark, tmp_path):
+    table = TickTable(spark, str(tmp_path / "t"), ("p",))
+    names = ["a:b", "x/y", "50%", "it's", "k=v", "[q]", "plain word"]
+    table.overwrite(spark.createDataFrame([(i, "old", p) for i, p in enumerate(names)], "k INT, v STRING, p STRING"))
+    table.merge(spark.createDataFrame([(i, "new", p) for i, p in enumerate(names)], "k INT, v STRING, p STRING"), ["k"])
+    assert rows(table.read().select("k", "v", "p")) == [(i, "new", p) for i, p in enumerate(names)]
+
+
 def test_merge_leaves_unmatched_directories_alone(spark, tmp_path):
     table = TickTable(spark, str(tmp_path / "t"), ("month",))
     table.overwrite(spark.sql("SELECT id AS k, CAST(id AS INT) AS month FROM range(1, 4)"))

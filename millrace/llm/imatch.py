@@ -35,10 +35,15 @@ def words_of(text: Column) -> Column:
     return F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), " ")
 
 
+def terms_of(text: Column) -> Column:
+    """Array of the text's distinct words as 64-bit hashes: distinct numbers are found by hashing, strings pair by pair."""
+    return F.array_remove(F.array_distinct(F.transform(words_of(text), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
+
+
 def document_frequencies(texts: DataFrame, text_col: str) -> DataFrame:
     """``(term, df)``: in how many rows a term occurs; terms as 64-bit hashes."""
-    words = texts.select(F.array_distinct(words_of(F.col(text_col))).alias("words")).select(F.explode_outer("words").alias("word")).filter("word <> ''")
-    return words.select(F.xxhash64("word").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    terms = texts.select(terms_of(F.col(text_col)).alias("terms")).select(F.explode_outer("terms").alias("term"))
+    return terms.filter("term IS NOT NULL").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 def lexicon(texts: DataFrame, text_col: str, rows: int, band: tuple[float, float] = BAND, rates: tuple[int, ...] = RATES) -> DataFrame:
@@ -85,13 +90,12 @@ def fingerprints(texts: DataFrame, key: list[str], text_col: str, known: DataFra
 
     Where ``texts`` are partitioned by a part of the key, no row is shuffled.
     """
-    words = texts.select(*key, F.array_remove(F.array_distinct(words_of(F.col(text_col))), "").alias("words"))
+    terms = texts.select(*key, terms_of(F.col(text_col)).alias("terms"))
     # What is computed once per text comes before the explode. The empty word stands for the text itself, so texts
     # without a lexicon term are kept.
-    whole = F.xxhash64(F.array_sort("words")).alias("whole")
-    spread = words.select(*key, whole, F.array_append("words", "").alias("words")).select(*key, "whole", F.explode_outer("words").alias("word"))
-    terms = spread.select(*key, "whole", F.xxhash64("word").alias("term"))
-    found = terms.join(known, "term")
+    whole = F.xxhash64(F.array_sort("terms")).alias("whole")
+    marked = terms.select(*key, whole, F.array_append("terms", F.xxhash64(F.lit(""))).alias("terms"))
+    found = marked.select(*key, "whole", F.explode_outer("terms").alias("term")).join(known, "term")
     entry = F.when(F.col("subsets") != 0, F.struct("term", "subsets"))
     grouped = found.groupBy(*key).agg(F.first("whole").alias("whole"), F.array_sort(F.collect_set(entry)).alias("held"))
     return grouped.select(*key, parts_of(F.col("held"), F.col("whole"), rates).alias("parts"))

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import os
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,7 +40,7 @@ MAX_REMEMBERED = 1 << 20
 LONGEST_REMEMBERED = 64
 # Punctuation that begins no contraction.
 CLOSING = ".,;:!?"
-# Words that are encoded as one text.
+# Words that are handed over as one list.
 JOINED = 200
 SHARD_COLUMNS = "part int, seq int, start_in_part long, n_docs long, n_ids long, data binary"
 
@@ -152,14 +153,14 @@ class WordEncoder:
         return text.lower().split(" ")
 
     def encode_parts(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
-        """(part, its ids), by one call for many parts: those of letters alone are one word each of a common text."""
+        """(part, its ids), by one call for many parts: those of letters alone in lists. The library normalises and cuts
+        every part of a list by itself, and numbers the ids by the part, whatever a part becomes."""
         plain = [part for part in parts if part.lower().isalpha()]
         others = [part for part in parts if not part.lower().isalpha()]
-        texts = [" ".join(plain[k : k + JOINED]) for k in range(0, len(plain), JOINED)]
+        texts = [plain[k : k + JOINED] for k in range(0, len(plain), JOINED)]
         for start in range(0, len(texts), 100):
-            encodings = self.tokenizer.encode_batch(texts[start : start + 100], add_special_tokens=False)
-            for k, encoding in enumerate(encodings, start):
-                own = plain[k * JOINED : (k + 1) * JOINED]
+            encodings = self.tokenizer.encode_batch(texts[start : start + 100], is_pretokenized=True, add_special_tokens=False)
+            for own, encoding in zip(texts[start : start + 100], encodings):
                 ids = np.array(encoding.ids, dtype="<u4").tobytes()
                 at = (np.searchsorted(np.array(encoding.word_ids), np.arange(len(own) + 1)) * 4).tolist()
                 yield from zip(own, [ids[x:y] for x, y in zip(at, at[1:])])
@@ -174,7 +175,8 @@ class WordEncoder:
         cut = []
         for word in words:
             core = word.rstrip(CLOSING)
-            if core and core != word and core[-1].lower().isalpha():
+            # Composed letters may come apart into a letter and a mark, and marks join with punctuation.
+            if core and core != word and unicodedata.normalize("NFC", core)[-1].lower().isalpha():
                 cut.append((word, core, word[len(core) :]))
         whole = words.difference([word for word, _, _ in cut])
         whole.update([core for _, core, _ in cut], [tail for _, _, tail in cut])

@@ -123,6 +123,15 @@ def test_word_encoder_equals_library():
         assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 1]
 
 
+def test_word_encoder_with_letters_that_come_apart():
+    library = Tokenizer.from_file(WORDS)
+    texts = ["\u09b9\u09df one two three", "\u0958\u095f \ufb2a\ufb4e four", "\u09b9\u09df, five", "x\u0344 six \u0340", "one two three four five six"]
+    with open(WORDS, encoding="utf-8") as file:
+        encoder = token_files.WordEncoder(file.read(), end_id=1)
+    for text, ids in zip(texts, encoder.encode_batch(texts)):
+        assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 1]
+
+
 def test_shards_of_documents(spark, corpus, tmp_path):
     docs = corpus(HARD)
     token_files.write_shards(docs, str(tmp_path / "shards"), WORDS, end_id=1, shard_ids=50)

@@ -142,6 +142,21 @@ def test_line_prints_by_definition(corpus):
     assert row["left"] == want
 
 
+def test_prints_count_all_words_of_long_lines(corpus):
+    rng = random.Random(8)
+    words = sorted({"".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(700)})
+    row = line_dedup.line_prints(corpus([(1, " ".join(words))]), "doc_id", "text").first()
+    hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
+    assert row["left"] == sum(1 << bit for bit in range(63) if sum(h >> bit & 1 for h in hashes) * 2 > len(hashes))
+
+
+def test_bits_are_bounded_over_both_halves(spark):
+    # Lines of similarity 0.8 differ by about 13 bits of a half, and by more in one half than in the other.
+    rows = [(1, 0, 0), (2, (1 << 16) - 1 << 21, 0), (3, 0, (1 << 63) - 1)]
+    links = line_dedup.candidate_links(spark.createDataFrame(rows, "h long, left long, right long")).collect()
+    assert [(r["a"], r["b"]) for r in links] == [(1, 2)]
+
+
 def test_imatch_edits(corpus):
     rng = random.Random(6)
     words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(4)) for _ in range(500)]

@@ -157,6 +157,23 @@ def test_bits_are_bounded_over_both_halves(spark):
     assert [(r["a"], r["b"]) for r in links] == [(1, 2)]
 
 
+@pytest.mark.parametrize("edits, least", [(4, 0.97), (6, 0.93), (8, 0.85)])
+def test_recall_by_similarity(corpus, edits, least):
+    """Of planted lines with word similarity 0.9, 0.85 and 0.8, the share that is linked."""
+    rng = random.Random(edits)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(3000)]
+    rows = []
+    for k in range(200):
+        line = rng.sample(words, 40)
+        copy = list(line)
+        for place in rng.sample(range(40), edits):
+            copy[place] = "new" + rng.choice(words)
+        rows += [(2 * k, " ".join(line)), (2 * k + 1, " ".join(copy))]
+    found = line_dedup.dedup_lines(corpus(rows)).collect()
+    assert all(r["n_removed"] == 0 for r in found if r["doc_id"] % 2 == 0)
+    assert sum(r["n_removed"] for r in found) / 200 >= least
+
+
 def test_imatch_edits(corpus):
     rng = random.Random(6)
     words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(4)) for _ in range(500)]

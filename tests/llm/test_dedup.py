@@ -174,6 +174,16 @@ def test_recall_by_similarity(corpus, edits, least):
     assert sum(r["n_removed"] for r in found) / 200 >= least
 
 
+def test_crowded_lines_leave_only_after_verification(spark):
+    rng = random.Random(7)
+    left = rng.getrandbits(63)
+    rows = [(k, left, rng.getrandbits(5)) for k in range(60)]
+    true = spark.createDataFrame([(k, k + 30) for k in range(30)], "a long, b long")
+    verify = lambda links: links.join(true, ["a", "b"], "left_semi")
+    links = line_dedup.candidate_links(spark.createDataFrame(rows, "h long, left long, right long"), bucket=16, verify=verify)
+    assert verify(links).count() == 30
+
+
 def test_imatch_edits(corpus):
     rng = random.Random(6)
     words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(4)) for _ in range(500)]

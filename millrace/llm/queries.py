@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontamination, imatch, language_id, line_dedup, pii, simhash, token_files, toxicity, url_filter
+from millrace.llm import (
+    bpe,
+    decontamination,
+    imatch,
+    language_id,
+    line_dedup,
+    merkle,
+    pii,
+    secret_scan,
+    simhash,
+    token_files,
+    toxicity,
+    url_filter,
+    whitening,
+)
 from millrace.llm.common import tuned_batches, with_package
 from millrace.session import scratch_path, tune
 
@@ -159,3 +173,71 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id"), "n_links"
     )
+
+
+LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _sql_leaf(**changed: str) -> str:
+    texts = [f"CAST({changed.get(name, name)} AS VARCHAR)" for name in LEAF_FIELDS]
+    return "sha256(" + " || ".join(f"coalesce(strlen({t}) || ':' || {t}, '-')" for t in texts) + ")"
+
+
+# CRC-32 by bits: a byte is mixed in, then eight steps (marked 256) shift it out.
+SQL_CRC = """xor(list_reduce(flatten([[4294967295]] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda c: [CAST(ascii(c) AS BIGINT), 256, 256, 256, 256, 256, 256, 256, 256])),
+    lambda c, e: CASE WHEN e < 256 THEN xor(c, e) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295)"""
+SQL_PARENT = "sha256(string_agg(digest, '' ORDER BY idx))"
+SQL_FOLD = """sha256(CASE WHEN s.digest IS NULL THEN f.shown WHEN f.idx % 2 = 1 THEN s.digest || f.shown ELSE f.shown || s.digest END)"""
+
+MERKLE_SQL = f"""
+    WITH RECURSIVE shown AS (SELECT *, {SQL_CRC} % 7 = 0 AS tampered FROM documents),
+    leaves AS (
+        SELECT doc_id, coalesce('1' || lang, '0') AS tree, {_sql_leaf()} AS leaf,
+               CASE WHEN tampered THEN {_sql_leaf(n_chars="n_chars + 1")} ELSE {_sql_leaf()} END AS shown FROM shown),
+    placed AS (
+        SELECT row_number() OVER (ORDER BY tree, doc_id NULLS FIRST, leaf) AS k, *, count(*) OVER (PARTITION BY tree) AS n,
+               row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM leaves),
+    nodes AS (
+        SELECT tree, 0 AS level, idx, leaf AS digest, n FROM placed
+        UNION ALL
+        SELECT tree, level + 1, idx // 2, {SQL_PARENT}, (n + 1) // 2 FROM nodes WHERE n > 1 GROUP BY tree, level, idx // 2, n),
+    subroots AS (SELECT tree, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n FROM nodes WHERE n = 1),
+    tops AS (
+        SELECT 0 AS level, idx, subroot AS digest, n FROM subroots
+        UNION ALL
+        SELECT level + 1, idx // 2, {SQL_PARENT}, (n + 1) // 2 FROM tops WHERE n > 1 GROUP BY level, idx // 2, n),
+    fold AS (
+        SELECT k, tree, 0 AS level, idx, shown, '' AS siblings, n FROM placed
+        UNION ALL
+        SELECT f.k, f.tree, f.level + 1, f.idx // 2, {SQL_FOLD}, f.siblings || coalesce(s.digest, ''), (f.n + 1) // 2
+        FROM fold f LEFT JOIN nodes s ON s.tree = f.tree AND s.level = f.level AND s.idx = xor(f.idx, 1) WHERE f.n > 1),
+    rise AS (
+        SELECT k, 0 AS level, r.idx, f.shown, f.siblings, r.n FROM fold f JOIN subroots r USING (tree) WHERE f.n = 1
+        UNION ALL
+        SELECT f.k, f.level + 1, f.idx // 2, {SQL_FOLD}, f.siblings || coalesce(s.digest, ''), (f.n + 1) // 2
+        FROM rise f LEFT JOIN tops s ON s.level = f.level AND s.idx = xor(f.idx, 1) WHERE f.n > 1)
+    SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256, rise.shown AS folded_root, rise.shown = root AS verified
+    FROM rise JOIN placed USING (k) JOIN subroots USING (tree), (SELECT digest AS root FROM tops WHERE n = 1)
+    WHERE rise.n = 1
+    """
+
+
+@query("op11_merkle", MERKLE_SQL)
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    shown = {"n_chars": F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    return merkle.audit(docs, LEAF_FIELDS, "lang", "doc_id", shown).withColumnRenamed("id", "doc_id")
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(rows, whitening.fit(rows))
+
+
+@query("op13_secret_scan")
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_scan.find(docs, secret_scan.fit(docs)).drop("text")

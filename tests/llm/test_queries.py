@@ -33,9 +33,9 @@ def test_one_row_per_document(spark, name):
     if name == "op2_decontamination":
         assert {(r["doc_id"], r["item_id"]) for r in rows}
         return
-    key = "page_id" if name == "op1_url_filter" else "doc_id"
-    ids = [r[key] for r in rows]
-    table = "pages" if key == "page_id" else "documents"
+    key = {"op1_url_filter": "page_id", "op12_whitening": "vec_id"}.get(name, "doc_id")
+    ids = [r[key] for r in rows if name != "op12_whitening" or r["component"] == 1]
+    table = {"page_id": "pages", "vec_id": "embeddings"}.get(key, "documents")
     assert sorted(ids) == [r[0] for r in spark.read.parquet(f"{SF_DIR}/{table}.parquet").select(key).orderBy(key).collect()]
     if name == "op4_language_id":
         assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)

@@ -19,11 +19,11 @@ from millrace import operators as op
 from millrace.functions.columns import cast_columns, with_arrival, with_partitions
 from millrace.plans import model as ml
 from millrace.plans.ingest import ingest_tick
-from millrace.plans.silver import refine_source
-from millrace.plans.store import Store
+from millrace.plans.silver import quarantined_rows, refine_source, valid_rows
+from millrace.plans.store import BY_MONTH, Store
 from millrace.session import scratch_path, tune, written
-from millrace.sources.landing import SourceSpec, read_landing
-from millrace.sources.tables import TickTable
+from millrace.sources.landing import SourceSpec, read_landing, readable
+from millrace.sources.tables import ParquetTable
 from millrace.streaming.ingest import stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,19 +71,39 @@ EVENT_TYPES = {
 EVENT_SQL = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 
 
-def events_feed(fmt: str, keys: tuple[str, ...] = ("event_id",), window: timedelta = timedelta(hours=1)) -> SourceSpec:
-    return SourceSpec("events", fmt, EVENT_TYPES, keys, "ts", window)
+def events_feed(
+    fmt: str, keys: tuple[str, ...] = ("event_id",), window: timedelta = timedelta(hours=1), day_folder: str | None = None
+) -> SourceSpec:
+    return SourceSpec("events", fmt, EVENT_TYPES, keys, "ts", window, day_folder=day_folder)
+
+
+def event_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with their time as landing files have it."""
+    rows = table(spark, sf_dir, "events").select(*EVENT_TYPES)
+    return rows.withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
 
 
 def land_events(spark: SparkSession, sf_dir: str, fmt: str) -> str:
     """The events as a landing directory with one folder per event type."""
     path = scratch_path(spark, f"landing-{fmt}")
-    rows = table(spark, sf_dir, "events").select(*EVENT_TYPES, F.col("event_type").alias("folder"))
-    writer = rows.withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")).write.partitionBy("folder")
-    writer.options(header="true").format(fmt).save(path)
+    rows = event_texts(spark, sf_dir).withColumn("folder", F.col("event_type"))
+    rows.write.partitionBy("folder").options(header="true").format(fmt).save(path)
+    return path
+
+
+def land_by_day(spark: SparkSession, rows: DataFrame) -> str:
+    """Rows of a ``line`` and its ``day`` as a landing directory with a folder per day."""
+    path = scratch_path(spark, "landing-days")
+    rows.select("line", "day").hint("rebalance", "day").write.partitionBy("day").text(path)
     return path
 
 
+def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, ts, line, day): the events as JSON lines."""
+    texts = event_texts(spark, sf_dir)
+    return texts.select("event_id", "ts", F.to_json(F.struct(*EVENT_TYPES)).alias("line"), F.substring("ts", 1, 10).alias("day"))
+
+
 def as_events(df: DataFrame) -> DataFrame:
     typed = cast_columns(df.select(*EVENT_TYPES), EVENT_TYPES)
     return typed.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
@@ -159,19 +179,88 @@ LATEST_EVENT_SQL = """
 @query("ingest_ticks_bronze", LATEST_EVENT_SQL)
 def ingest_ticks_bronze(spark, sf_dir):
     store = Store(spark, scratch_path(spark, "store"))
-    feed = events_feed("json", ("user_id", "event_type"), timedelta(days=10))
-    path = land_events(spark, sf_dir, "json")
-    latest = table(spark, sf_dir, "events").agg(F.max("ts").alias("ts")).first()["ts"]
+    feed = events_feed("json", ("user_id", "event_type"), timedelta(days=10), "day")
+    path = land_by_day(spark, event_lines(spark, sf_dir))
+    run_ticks(store, feed, path, latest_event(spark, sf_dir))
+    return as_events(store.bronze("events").read())
+
+
+def latest_event(spark: SparkSession, sf_dir: str) -> datetime:
+    return table(spark, sf_dir, "events").agg(F.max("ts").alias("ts")).first()["ts"]
+
+
+def run_ticks(store: Store, feed: SourceSpec, path: str, latest: datetime) -> None:
+    """Bounded ticks until the watermark has passed a time."""
     result = ingest_tick(store, feed, path, start=datetime(2023, 12, 31))
     while result.watermark < latest:
         result = ingest_tick(store, feed, path)
-    return as_events(store.bronze("events").read())
+
+
+# What the landing files of a feed with faults hold: a time that is none, a line cut off, a row in another day's folder,
+# an integer as a decimal, or a row as it should be.
+FAULT_SQL = """CASE event_id % 20 WHEN 1 THEN 'bad_time' WHEN 2 THEN 'cut_off' WHEN 3 THEN 'misplaced'
+               WHEN 4 THEN 'decimal' ELSE 'none' END"""
+
+
+@query(
+    "landing_malformed",
+    f"""
+    SELECT event_id, fault NOT IN ('bad_time', 'cut_off', 'misplaced') AND value >= 5 AS is_valid,
+           CASE fault WHEN 'bad_time' THEN 'unreadable_time' WHEN 'cut_off' THEN 'unreadable_record'
+                      WHEN 'misplaced' THEN 'time_of_another_day'
+                      ELSE CASE WHEN value >= 5 THEN '' ELSE 'enough_value' END END AS failed_rules,
+           CASE WHEN fault IN ('bad_time', 'cut_off') THEN NULL ELSE user_id END AS user_id
+    FROM (SELECT *, {FAULT_SQL} AS fault FROM events)
+    """,
+)
+def landing_malformed(spark, sf_dir):
+    """Every landed row is once among the valid or the quarantined ones, whatever is wrong with it."""
+    rows = event_texts(spark, sf_dir).withColumn("fault", F.expr(FAULT_SQL))
+    faulty = {
+        "ts": F.when(F.col("fault") == "bad_time", "soon").otherwise(F.col("ts")),
+        "user_id": F.concat(F.when(F.col("fault") != "bad_time", F.col("user_id")), F.when(F.col("fault") == "decimal", ".0").otherwise("")),
+    }
+    line = F.to_json(F.struct(*[faulty.get(c, F.col(c)).alias(c) for c in EVENT_TYPES]))
+    cut = F.when(F.col("fault") == "cut_off", F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
+    day = F.when(F.col("fault") == "misplaced", F.date_add("ts", 1)).otherwise(F.to_date("ts"))
+    path = land_by_day(spark, rows.select(cut.alias("line"), day.cast("string").alias("day")))
+    store, feed = Store(spark, scratch_path(spark, "malformed")), events_feed("json", window=timedelta(days=10), day_folder="day")
+    run_ticks(store, feed, path, latest_event(spark, sf_dir) + timedelta(days=1))
+    refine_source(store, feed, {"enough_value": "value >= 5"})
+    number = F.coalesce("event_id", F.regexp_extract("corrupt_record", '"event_id":([0-9]+)', 1).cast("long"))
+    bad = quarantined_rows(store, "events").select(
+        number.alias("event_id"), F.lit(False).alias("is_valid"), F.array_join("failed_rules", ",").alias("failed_rules"), "user_id"
+    )
+    good = valid_rows(store, "events").select("event_id", F.lit(True).alias("is_valid"), F.lit("").alias("failed_rules"), "user_id")
+    return good.unionByName(bad)
+
+
+@query(
+    "landing_evolved",
+    """
+    SELECT event_id, ts, user_id, event_type, CASE WHEN ts >= TIMESTAMP '2024-01-10' THEN value END AS value,
+           CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN props END AS props FROM events
+    """,
+)
+def landing_evolved(spark, sf_dir):
+    """A CSV feed that gains a column twice, each time in another order of columns."""
+    rows, path = event_texts(spark, sf_dir), scratch_path(spark, "landing-evolved")
+    versions = {
+        "ts < '2024-01-10'": ["event_id", "ts", "user_id", "event_type"],
+        "ts >= '2024-01-10' AND ts < '2024-01-20'": ["value", "ts", "event_type", "event_id", "user_id"],
+        "ts >= '2024-01-20'": ["ts", "props", "event_id", "note", "user_id", "value", "event_type"],
+    }
+    for k, (when, columns) in enumerate(versions.items()):
+        part = rows.withColumn("note", F.lit("beside the feed")).filter(when)
+        part.select(*columns).write.options(header="true", escape='"').csv(f"{path}/{k}")
+    feed = SourceSpec("events", "csv", EVENT_TYPES, ("event_id",), "ts", options={"escape": '"'})
+    return as_events(readable(read_landing(spark, feed, path)))
 
 
 @query("stream_ingest", LATEST_EVENT_SQL)
 def stream_ingest_events(spark, sf_dir):
     feed = events_feed("json", ("user_id", "event_type"))
-    bronze = TickTable(spark, scratch_path(spark, "streamed"), ("year", "month"))
+    bronze = ParquetTable(spark, scratch_path(spark, "streamed"), BY_MONTH)
     path = land_events(spark, sf_dir, "json")
     stream_ingest(bronze, feed, path, scratch_path(spark, "stream-state")).awaitTermination()
     return as_events(bronze.read())
@@ -224,7 +313,7 @@ def upsert_by_key(spark, sf_dir):
 
 @query("table_merge", UPSERT_SQL)
 def table_merge(spark, sf_dir):
-    lines_table = TickTable(spark, scratch_path(spark, "lines"), ("year",))
+    lines_table = ParquetTable(spark, scratch_path(spark, "lines"), {"year": "int"})
     target, source = (with_partitions(half, "l_shipdate") for half in old_and_new_lines(spark, sf_dir))
     lines_table.overwrite(target)
     lines_table.merge(source, LINE_KEY)
@@ -251,7 +340,7 @@ def delete_matched(spark, sf_dir):
 @query("table_delete", RETURNED_SQL)
 def table_delete(spark, sf_dir):
     target, keys = orders_and_returns(spark, sf_dir)
-    orders = TickTable(spark, scratch_path(spark, "orders"))
+    orders = ParquetTable(spark, scratch_path(spark, "orders"))
     orders.overwrite(target)
     orders.delete(keys, ["o_orderkey"])
     return orders.read()
@@ -267,7 +356,7 @@ def table_delete(spark, sf_dir):
 def append_schema_merge(spark, sf_dir):
     rows = table(spark, sf_dir, "orders")
     done = F.col("o_orderstatus") == "F"
-    orders = TickTable(spark, scratch_path(spark, "appended"))
+    orders = ParquetTable(spark, scratch_path(spark, "appended"))
     orders.append(rows.filter(done).select("o_orderkey", "o_custkey"))
     orders.append(rows.filter(~done).select("o_orderkey", "o_custkey", "o_totalprice"))
     return orders.read()
@@ -459,8 +548,8 @@ VIOLATED = ", ".join(f"CASE WHEN {rule} THEN NULL ELSE '{name}' END" for name, r
 def silver_refine(spark, sf_dir):
     """Two ticks into bronze, each followed by a refinement of what it brought."""
     store = Store(spark, scratch_path(spark, "refined"))
-    feed, path = events_feed("json", window=timedelta(days=15)), land_events(spark, sf_dir, "json")
-    latest = table(spark, sf_dir, "events").agg(F.max("ts").alias("ts")).first()["ts"]
+    feed, path = events_feed("json", window=timedelta(days=15), day_folder="day"), land_by_day(spark, event_lines(spark, sf_dir))
+    latest = latest_event(spark, sf_dir)
     result = ingest_tick(store, feed, path, start=datetime(2023, 12, 31))
     refine_source(store, feed, EVENT_RULES)
     rest = -((result.watermark - latest) // feed.window)
@@ -747,7 +836,7 @@ def training_table_repeat_ids(spark, sf_dir):
 )
 def training_table_missing_side(spark, sf_dir):
     """A side table that does not exist yet contributes its declared columns as NULL."""
-    absent = TickTable(spark, scratch_path(spark, "absent"))
+    absent = ParquetTable(spark, scratch_path(spark, "absent"))
     side = absent.read_or_empty(StructType.fromDDL("c_custkey BIGINT, n_orders BIGINT, mean_price DOUBLE"))
     labels = (
         table(spark, sf_dir, "orders")

@@ -35,7 +35,7 @@ class ReassemblyResult:
 
 def empty_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     """No rows, with every column that a silver table of the feed has."""
-    raw = StructType([*spec.raw_schema.fields, StructField("source_file", StringType())])
+    raw = StructType([StructField(name, StringType()) for name in [*spec.types, "source_file"]])
     typed = cast_columns(spark.createDataFrame([], raw), spec.types)
     return with_partitions(with_audit(typed, spec.ts_col), spec.ts_col)
 

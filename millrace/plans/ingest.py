@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import with_audit, with_partitions
-from millrace.functions.times import from_micros, processing_time, time_literal, to_micros
+from millrace.functions.times import from_micros, processing_time, time_literal
 from millrace.operators.keyed import dedup_latest
 from millrace.operators.windows import window_slice
 from millrace.plans.store import Store
 from millrace.session import written
-from millrace.sources.landing import LandingMissing, SourceSpec, read_landing
-from millrace.sources.tables import TableMissing
+from millrace.functions.joins import any_null, anti_join
+from millrace.sources.landing import REASON, LandingMissing, SourceSpec, landing_is_empty, read_landing, readable, unreadable
+from millrace.sources.tables import ParquetTable, TableMissing
 
 INGESTED, EMPTY_WINDOW, EMPTY_LANDING, NO_LANDING = "INGESTED", "EMPTY_WINDOW", "EMPTY_LANDING", "NO_LANDING"
 
@@ -31,6 +32,7 @@ class IngestResult:
     start: datetime | None
     end: datetime | None
     watermark: datetime | None
+    rejected: int = 0
 
     @property
     def skipped(self) -> bool:
@@ -58,23 +60,40 @@ def write_watermark(store: Store, source: str, value: datetime, now: datetime |
     store.control(f"watermark_{source}").overwrite(row.coalesce(1))
 
 
-def reached_by(store: Store, source: str) -> datetime | None:
-    """Where the next window of a source starts: its watermark, or the window end noted with its bronze table.
+def window_rows(landing: DataFrame, spec: SourceSpec, start: datetime | None, end: datetime | None) -> DataFrame:
+    """Readable rows of one window, and every unreadable row; bounds are UTC."""
+    bad = landing.filter(F.col(REASON).isNotNull())
+    return window_slice(landing.filter(F.col(REASON).isNull()), spec.ts_col, start, end).unionByName(bad)
 
-    The two differ only when a tick ended between its merge and its watermark. The merge stands, so it is not repeated.
+
+def bronze_slice(rows: DataFrame, spec: SourceSpec, now: datetime | None = None) -> DataFrame:
+    """Readable rows with audit and partition columns."""
+    return with_partitions(with_audit(readable(rows), spec.ts_col, now), spec.ts_col)
+
+
+def reject(table: ParquetTable, rows: DataFrame, spec: SourceSpec, now: datetime | None = None) -> int:
+    """Append the unreadable rows of files that have not been seen here before; returns their number.
+
+    Landing files never change, so each such row is kept once, whatever number of ticks reads its file.
     """
-    watermark, bronze = read_watermark(store, source), store.bronze(source)
-    noted = bronze.state().note if bronze.exists() else ""
-    merged = from_micros(int(noted)) if noted else None
-    return max((t for t in (watermark, merged) if t is not None), default=None)
+    bad = unreadable(rows, spec, processing_time(now))
+    if table.exists():
+        bad = anti_join(bad, table.read(), ["source_file"])
+    with written(bad, f"{spec.name}-rejected") as new:
+        n = new.count()
+        if n:
+            table.append(new)
+    return n
 
 
-def bronze_slice(
-    landing: DataFrame, spec: SourceSpec, start: datetime | None, end: datetime | None, now: datetime | None = None
-) -> DataFrame:
-    """Rows of one window with audit and partition columns; bounds are UTC."""
-    rows = window_slice(landing, spec.ts_col, start, end)
-    return with_partitions(with_audit(rows, spec.ts_col, now), spec.ts_col)
+def without_known(rows: DataFrame, bronze: DataFrame, spec: SourceSpec) -> DataFrame:
+    """``rows`` without those that have a NULL key and are in the table already, from the same file.
+
+    A NULL key matches nothing, so a tick that is repeated after a failure would add such rows once more.
+    """
+    same = F.struct(*[F.col(f"`{c}`") for c in (*spec.types, "source_file")])
+    known = bronze.filter(any_null(spec.keys)).select(same.alias("_same")).distinct()
+    return rows.withColumn("_same", F.when(any_null(spec.keys), same)).join(known, "_same", "left_anti").drop("_same")
 
 
 def ingest_tick(
@@ -90,31 +109,43 @@ def ingest_tick(
     The window is ``(watermark, watermark + width]`` and the watermark moves to its end even when it was empty. Without
     a watermark the tick starts at ``start``, or takes everything and leaves the greatest timestamp as watermark.
     ``windows`` ticks can be taken in one scan of the landing zone: later rows win, so the table is the same.
-    A missing or empty landing zone changes nothing.
+    A missing or empty landing zone changes nothing. A feed that lands by day is scanned in the folders of the window.
+
+    The watermark is written last: a tick that ended before is taken again, with the same result.
+
+    Unreadable rows have no place in time: the first tick that reads their file sends them to the rejected rows of the
+    source, which are part of its quarantine.
     """
     spark = store.spark
-    watermark = reached_by(store, spec.name)
+    watermark = read_watermark(store, spec.name)
     lower = watermark if watermark is not None else start
     upper = None if lower is None else lower + spec.window * windows
     try:
-        landing = read_landing(spark, spec, landing_path)
+        landing = read_landing(spark, spec, landing_path, lower, upper)
     except LandingMissing:
         return IngestResult(spec.name, NO_LANDING, 0, lower, upper, watermark)
 
-    with written(bronze_slice(landing, spec, lower, upper, now), spec.name) as slice_:
-        seen = slice_.agg(F.count(F.lit(1)).alias("n"), F.max(F.unix_micros(spec.ts_col)).alias("us")).first()
+    with written(window_rows(landing, spec, lower, upper), spec.name) as rows:
+        is_bad = F.col(REASON).isNotNull()
+        seen = rows.agg(
+            F.count_if(~is_bad).alias("n"), F.count_if(is_bad).alias("bad"), F.count_if(~is_bad & any_null(spec.keys)).alias("keyless"),
+            F.max(F.when(~is_bad, F.unix_micros(spec.ts_col))).alias("us"),
+        ).first()
         # Only a tick without rows needs to know whether there is a landing zone at all.
-        if seen["n"] == 0 and landing.isEmpty():
+        if seen["n"] + seen["bad"] == 0 and landing_is_empty(spark, spec, landing_path):
             return IngestResult(spec.name, EMPTY_LANDING, 0, lower, upper, watermark)
         reached = upper if upper is not None else (from_micros(seen["us"]) if seen["us"] is not None else None)
+        rejected = reject(store.rejected(spec.name), rows, spec, now) if seen["bad"] else 0
         if seen["n"] > 0:
-            latest = dedup_latest(slice_, spec.keys, spec.ts_col)
-            note = "" if reached is None else str(to_micros(reached))
-            store.bronze(spec.name).merge(latest, spec.keys, matching=slice_, note=note)
+            bronze = store.bronze(spec.name)
+            latest = dedup_latest(bronze_slice(rows, spec, now), spec.keys, spec.ts_col)
+            if seen["keyless"] and bronze.exists():
+                latest = without_known(latest, bronze.read(), spec)
+            bronze.merge(latest, spec.keys)
     if reached is not None:
         write_watermark(store, spec.name, reached, now)
-    status = INGESTED if seen["n"] else EMPTY_WINDOW
-    return IngestResult(spec.name, status, seen["n"], lower, upper, reached)
+    status = INGESTED if seen["n"] or rejected else EMPTY_WINDOW
+    return IngestResult(spec.name, status, seen["n"], lower, upper, reached, rejected)
 
 
 def ingest_all(

@@ -244,7 +244,7 @@ def train(
     lineage = {
         "train_end": train_end,
         "val_end": val_end,
-        "table_version": table.version(),
+        "table_version": table.modified(),
         "n_labeled": coverage["n_labeled"],
         "n_unlabeled": coverage["n_excluded"],
         "n_features": len(features),

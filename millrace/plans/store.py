@@ -6,9 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-from millrace.sources.tables import TickTable
+from millrace.sources.tables import ParquetTable
 
-BY_MONTH = ("year", "month")
+BY_MONTH = {"year": "int", "month": "int"}
 
 
 @dataclass(frozen=True)
@@ -18,18 +18,22 @@ class Store:
     spark: SparkSession
     root: str
 
-    def bronze(self, source: str) -> TickTable:
-        return TickTable(self.spark, f"{self.root}/bronze/{source}", BY_MONTH)
+    def bronze(self, source: str) -> ParquetTable:
+        return ParquetTable(self.spark, f"{self.root}/bronze/{source}", BY_MONTH)
 
-    def silver(self, source: str) -> TickTable:
+    def rejected(self, source: str) -> ParquetTable:
+        """Rows that could not be read, as text."""
+        return ParquetTable(self.spark, f"{self.root}/bronze/{source}_rejected")
+
+    def silver(self, source: str) -> ParquetTable:
         """Valid and quarantined rows side by side, told apart by the partition column ``is_valid``."""
-        return TickTable(self.spark, f"{self.root}/silver/{source}", ("is_valid", *BY_MONTH))
+        return ParquetTable(self.spark, f"{self.root}/silver/{source}", {"is_valid": "boolean", **BY_MONTH})
 
-    def gold(self, name: str) -> TickTable:
-        return TickTable(self.spark, f"{self.root}/gold/{name}")
+    def gold(self, name: str) -> ParquetTable:
+        return ParquetTable(self.spark, f"{self.root}/gold/{name}")
 
-    def control(self, name: str) -> TickTable:
-        return TickTable(self.spark, f"{self.root}/control/{name}")
+    def control(self, name: str) -> ParquetTable:
+        return ParquetTable(self.spark, f"{self.root}/control/{name}")
 
     def model_path(self, version: int) -> str:
         return f"{self.root}/models/version={version}"

@@ -53,29 +53,6 @@ def hadoop_fs(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
-def read_text(spark: SparkSession, path: str) -> str:
-    """A small file as text."""
-    fs, target = hadoop_fs(spark, path)
-    stream = fs.open(target)
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file; it appears under its name only when complete."""
-    fs, target = hadoop_fs(spark, path)
-    _, partial = hadoop_fs(spark, path + ".partial")
-    stream = fs.create(partial, True)
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
-    if not fs.rename(partial, target):
-        raise OSError(f"cannot write {path}")
-
-
 @contextmanager
 def written(df: DataFrame, name: str = "written") -> Iterator[DataFrame]:
     """Cut the lineage of ``df`` by a parquet table in the scratch folder, removed on exit.

@@ -1,99 +1,89 @@
-"""Tables as parquet directories, one per tick.
+"""Tables as plain parquet directories, written by Spark's own writer.
 
-A write never touches a directory that a reader may be using: it adds ``data/_tick=<n>`` and then ``state/<n>.json``,
-which lists the directories making up version ``n``. A keyed merge rewrites only those directories that hold a matched
-key, so its cost follows the slice being merged rather than the size of the table. There is one writer per table.
+A keyed merge rewrites the partitions that its keys touch, and only those: their new content is written to the scratch
+folder first and then replaces them by dynamic partition overwrite, so a table is never read while it is overwritten and
+the number of its files does not grow with the number of merges. A repeated merge changes nothing, which makes a write
+that was cut short repairable by repeating it. There is one writer per table and no history.
 """
 
 from __future__ import annotations
 
-import json
-from collections import Counter
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.functions.joins import anti_join
-from millrace.session import hadoop_fs, read_text, write_text
+from millrace.session import written
 
-TICK = "_tick"
+MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 class TableMissing(Exception):
-    """The table has no committed version."""
+    """There is no table at this path."""
 
 
-@dataclass(frozen=True)
-class TableState:
-    version: int
-    schema: StructType
-    dirs: tuple[str, ...]
-    note: str
-
-
-def merged_schema(old: StructType, new: StructType) -> StructType:
-    """Old columns followed by those that only ``new`` has; a changed type is an error."""
-    known = {f.name: f for f in old.fields}
+def checked_schema(old: StructType, new: StructType) -> None:
+    """Raise where a column changes its type."""
+    known = {f.name: f.dataType for f in old.fields}
     for f in new.fields:
-        if f.name in known and known[f.name].dataType != f.dataType:
-            raise ValueError(f"column {f.name!r} is {known[f.name].dataType}, not {f.dataType}")
-    both = [*old.fields, *[f for f in new.fields if f.name not in known]]
-    return StructType([StructField(f.name, f.dataType, True) for f in both])
-
-
-# Characters that Spark's writer escapes in the names of partition directories.
-ESCAPED = frozenset([*map(chr, range(1, 32)), *"\"#%'*/:=?\\{[]^", "\x7f"])
-
-
-def escaped(value: str) -> str:
-    """A partition value as Spark's writer spells it in a directory name."""
-    return "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in value)
+        if f.name in known and known[f.name] != f.dataType:
+            raise ValueError(f"column {f.name!r} is {known[f.name]}, not {f.dataType}")
 
 
-def partition_dir(row: Row) -> str:
-    """Directory of a row of partition values, as Spark's writer names it (numbers, booleans and text)."""
-    names = {None: "__HIVE_DEFAULT_PARTITION__", True: "true", False: "false", "": "__HIVE_DEFAULT_PARTITION__"}
-    parts = row.asDict().items()
-    return "/".join(f"{k}={names[v] if v is None or v == '' or isinstance(v, bool) else escaped(str(v))}" for k, v in parts)
+def any_of(conditions: Sequence[Column]) -> Column:
+    """Disjunction as a balanced tree, so that thousands of them stay shallow."""
+    if len(conditions) <= 1:
+        return conditions[0] if conditions else F.lit(False)
+    half = len(conditions) // 2
+    return any_of(conditions[:half]) | any_of(conditions[half:])
 
 
-def partition_of(directory: str) -> str:
-    """The partition part of a directory: what follows its tick."""
-    return directory.partition("/")[2]
+def in_partitions(parts: Sequence[Row]) -> Column:
+    """Rows of these partitions: a condition on partition columns alone, so that the scan lists no other files."""
+    return any_of([reduce(and_, [F.col(c).eqNullSafe(F.lit(v)) for c, v in row.asDict().items()]) for row in parts])
 
 
-class TickTable:
-    """A parquet table with numbered versions, optionally partitioned."""
+class ParquetTable:
+    """A parquet table, optionally partitioned by columns of given types."""
 
-    def __init__(self, spark: SparkSession, root: str, partition_by: Sequence[str] = ()):
+    def __init__(self, spark: SparkSession, path: str, partition_by: Mapping[str, str] | None = None):
         self.spark = spark
-        self.root = root.rstrip("/")
-        self.partition_by = tuple(partition_by)
+        self.path = path.rstrip("/")
+        self.partition_by = dict(partition_by or {})
+
+    @property
+    def parts(self) -> list[str]:
+        return list(self.partition_by)
 
     # -- reading ---------------------------------------------------------------------------------------------------
 
-    def version(self) -> int | None:
-        """The newest committed version, or None."""
-        fs, pattern = hadoop_fs(self.spark, f"{self.root}/state/*.json")
-        found = fs.globStatus(pattern) or []
-        return max((int(s.getPath().getName().removesuffix(".json")) for s in found), default=None)
+    def _scan(self) -> DataFrame:
+        """All rows with all columns that any file has; partition columns last, in their declared types."""
+        try:
+            found = self.spark.read.option("mergeSchema", "true").parquet(self.path).schema
+            kinds = StructType.fromDDL(", ".join(f"`{c}` {kind}" for c, kind in self.partition_by.items())) if self.parts else StructType()
+            fields = [f for f in found.fields if f.name not in self.partition_by]
+            return self.spark.read.schema(StructType([*fields, *kinds.fields])).parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() in MISSING:
+                raise TableMissing(self.path) from error
+            raise
+
+    def read(self) -> DataFrame:
+        return self._scan()
 
     def exists(self) -> bool:
-        return self.version() is not None
-
-    def state(self, version: int | None = None) -> TableState:
-        version = self.version() if version is None else version
-        if version is None:
-            raise TableMissing(self.root)
-        state = json.loads(read_text(self.spark, f"{self.root}/state/{version}.json"))
-        return TableState(version, StructType.fromJson(state["schema"]), tuple(state["dirs"]), state["note"])
-
-    def read(self, version: int | None = None) -> DataFrame:
-        """Scan a version (the newest by default) with its recorded schema; no footers are read to plan it."""
-        state = self.state(version)
-        return self._scan(state, state.dirs).select(*state.schema.names)
+        try:
+            self._scan()
+        except TableMissing:
+            return False
+        return True
 
     def read_or_empty(self, schema: StructType) -> DataFrame:
         """Scan the table, or an empty frame with the full declared schema when there is none."""
@@ -102,111 +92,95 @@ class TickTable:
         except TableMissing:
             return self.spark.createDataFrame([], schema)
 
-    def changed_since(self, version: int) -> tuple[DataFrame, frozenset[str]]:
-        """(rows to evaluate again, partitions that lost a directory) since ``version``.
-
-        The rows are those of directories added since then, and all rows of a partition that lost a directory.
-        """
-        old, new = self.state(version), self.state()
-        before, now = set(old.dirs), set(new.dirs)
-        stale = frozenset(partition_of(d) for d in old.dirs if d not in now)
-        again = [d for d in new.dirs if d not in before or partition_of(d) in stale]
-        return self._scan(new, again).select(*new.schema.names), stale
-
-    def _scan(self, state: TableState, dirs: Sequence[str]) -> DataFrame:
-        schema = StructType([*state.schema.fields, StructField(TICK, IntegerType())])
-        if not dirs:
-            return self.spark.createDataFrame([], schema)
-        base = f"{self.root}/data"
-        return self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{d}" for d in dirs])
+    def modified(self) -> int:
+        """Epoch milliseconds of the newest file; read from file metadata."""
+        newest = F.max(F.unix_millis("_metadata.file_modification_time"))
+        return self._scan().agg(newest.alias("at")).first()["at"] or 0
 
     # -- writing ---------------------------------------------------------------------------------------------------
 
-    def overwrite(self, df: DataFrame, note: str = "") -> int:
-        """Replace content and schema; returns the new version. ``note`` is stored with it."""
-        return self._commit(df, (), df.schema, note)
+    def _write(self, df: DataFrame, mode: str, **options: str) -> None:
+        if self.parts:
+            # Adaptive rebalancing gives few files per partition and splits a partition that holds most rows.
+            df.hint("rebalance", *self.parts).write.mode(mode).options(**options).partitionBy(*self.parts).parquet(self.path)
+        else:
+            df.write.mode(mode).parquet(self.path)
 
-    def append(self, df: DataFrame, note: str = "") -> int:
-        """Add rows; new columns are merged into the schema and read as NULL from older rows."""
-        if not self.exists():
-            return self.overwrite(df, note)
-        state = self.state()
-        return self._commit(df, state.dirs, merged_schema(state.schema, df.schema), note)
+    def overwrite(self, df: DataFrame) -> None:
+        """Replace content and schema; ``df`` must not read this table."""
+        self._write(df, "overwrite", partitionOverwriteMode="static")
 
-    def merge(
-        self, source: DataFrame, keys: Sequence[str], matching: DataFrame | None = None, note: str = ""
-    ) -> int:
-        """Keyed upsert, source wins. ``source`` is unique on ``keys``.
+    def append(self, df: DataFrame) -> None:
+        """Add rows; columns that are new read as NULL from older rows, a changed type is an error."""
+        try:
+            checked_schema(self._scan().schema, df.schema)
+        except TableMissing:
+            pass
+        self._write(df, "append")
 
-        Its keys are looked up twice before its rows are written; ``matching`` can give a frame with the same keys that
-        is cheaper to scan, where repeated keys do no harm.
-        """
-        if not self.exists():
-            return self.overwrite(source, note)
-        state = self.state()
-        survivors, kept = self._without(state, source if matching is None else matching, keys)
-        rows = source if survivors is None else survivors.unionByName(source, allowMissingColumns=True)
-        return self._commit(rows, kept, merged_schema(state.schema, source.schema), note)
-
-    def delete(self, keys_df: DataFrame, keys: Sequence[str]) -> int:
-        """Delete the rows whose key is in ``keys_df``."""
-        state = self.state()
-        survivors, kept = self._without(state, keys_df, keys)
-        if survivors is None:
-            return state.version
-        return self._commit(survivors, kept, state.schema)
-
-    def refresh(self, df: DataFrame, stale: Iterable[str], note: str = "") -> int:
-        """Drop the directories ``stale`` and add the rows of ``df``."""
-        state, gone = self.state(), set(stale)
-        kept = [d for d in state.dirs if d not in gone]
-        return self._commit(df, kept, merged_schema(state.schema, df.schema), note)
-
-    def compact(self, min_dirs: int = 2) -> int:
-        """Rewrite those partitions that are spread over ``min_dirs`` directories or more; others stay as they are."""
-        state = self.state()
-        spread = Counter(partition_of(d) for d in state.dirs)
-        crowded = [d for d in state.dirs if spread[partition_of(d)] >= min_dirs]
-        if not crowded:
-            return state.version
-        return self.refresh(self._scan(state, crowded).select(*state.schema.names), crowded, state.note)
-
-    def _without(
-        self, state: TableState, other: DataFrame, keys: Sequence[str]
-    ) -> tuple[DataFrame | None, tuple[str, ...]]:
-        """(rows to rewrite from directories with a matched key, directories left as they are)."""
-        parts = [TICK, *self.partition_by]
-        wanted = other.select(*keys).distinct()
-        hits = (
-            self._scan(state, state.dirs)
-            .select(*dict.fromkeys([*keys, *parts]))
-            .join(wanted, list(keys), "left_semi")
-            .select(*parts)
-            .distinct()
-        )
-        # One row per directory of the table at most, never one per key.
-        hit = {partition_dir(row) for row in hits.collect()}
-        touched = tuple(d for d in state.dirs if d in hit)
-        if not touched:
-            return None, state.dirs
-        survivors = anti_join(self._scan(state, touched).select(*state.schema.names), wanted, keys, unique=True)
-        return survivors, tuple(d for d in state.dirs if d not in hit)
-
-    def _commit(self, df: DataFrame, kept: Sequence[str], schema: StructType, note: str = "") -> int:
-        version = (self.version() or 0) + 1
-        directory = f"{TICK}={version}"
-        target = f"{self.root}/data/{directory}"
-        if self.partition_by:
-            # Adaptive rebalancing gives few files per partition and splits a partition that holds most rows.
-            df.hint("rebalance", *self.partition_by).write.mode("overwrite").partitionBy(*self.partition_by).parquet(
-                target
-            )
-        else:
-            df.write.mode("overwrite").parquet(target)
-        fs, pattern = hadoop_fs(self.spark, "/".join([target, *["*=*"] * len(self.partition_by)]))
-        added = [s.getPath().toString().split(f"/data/{directory}", 1)[1] for s in fs.globStatus(pattern) or []]
-        dirs = [*kept, *sorted(directory + suffix for suffix in added)]
-        state = {"schema": schema.jsonValue(), "dirs": dirs, "note": note}
-        write_text(self.spark, f"{self.root}/state/{version}.json", json.dumps(state))
-        return version
+    def merge(self, source: DataFrame, keys: Sequence[str], latest: str | None = None, dedup: Callable | None = None) -> None:
+        """Keyed upsert, source wins. ``source`` is unique on ``keys``; rows with a NULL key are added.
 
+        With ``latest``, the greatest of that column wins between the source and the table, by ``dedup`` (rows, keys,
+        column).
+        """
+        with written(source, "merge-source") as rows:
+            try:
+                target = self._scan()
+            except TableMissing:
+                self.overwrite(rows)
+                return
+            checked_schema(target.schema, rows.schema)
+            wanted = rows.select(*keys).distinct()
+            scope, touched = self._touched(target, wanted, keys, rows)
+            result = anti_join(scope, wanted, keys, unique=True)
+            if latest is not None:
+                known = scope.join(wanted, list(keys), "left_semi").select(*scope.columns)
+                rows = dedup(rows.unionByName(known, allowMissingColumns=True), keys, latest)
+            self._replace(target, result.unionByName(rows, allowMissingColumns=True), touched)
+
+    def delete(self, keys_df: DataFrame, keys: Sequence[str]) -> None:
+        """Delete the rows whose key is in ``keys_df``; nothing is written where there are none."""
+        wanted = keys_df.select(*keys).distinct()
+        target = self._scan()
+        scope, touched = self._touched(target, wanted, keys)
+        if self.parts and not touched:
+            return
+        if not self.parts and scope.join(wanted, list(keys), "left_semi").isEmpty():
+            return
+        self._replace(target, anti_join(scope, wanted, keys, unique=True), touched)
+
+    def replace(self, df: DataFrame, where: Column) -> None:
+        """Put ``df`` in the place of the partitions for which ``where``, a condition on partition columns, holds."""
+        target = self._scan()
+        self._replace(target, df, target.filter(where).select(*self.parts).distinct().collect())
+
+    def _touched(
+        self, target: DataFrame, wanted: DataFrame, keys: Sequence[str], rows: DataFrame | None = None
+    ) -> tuple[DataFrame, list[Row]]:
+        """(rows of the partitions that hold a wanted key or get a row, those partitions)."""
+        if not self.parts:
+            return target, []
+        columns = list(dict.fromkeys([*keys, *self.parts]))
+        hit = target.select(*columns).join(wanted, list(keys), "left_semi").select(*self.parts)
+        if rows is not None:
+            hit = hit.unionByName(rows.select(*self.parts))
+        # One row per partition of the table at most, never one per key.
+        touched = hit.distinct().collect()
+        return target.filter(in_partitions(touched)), touched
+
+    def _replace(self, target: DataFrame, df: DataFrame, touched: Sequence[Row]) -> None:
+        """Stage ``df`` and let it replace the touched partitions, or the whole table if it has none."""
+        with written(df, "staged") as staged:
+            if not self.parts:
+                self._write(staged, "overwrite")
+                return
+            filled = {tuple(row) for row in staged.select(*self.parts).distinct().collect()}
+            emptied = [row for row in touched if tuple(row) not in filled]
+            folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1).alias("folder")
+            folders = target.filter(in_partitions(emptied)).select(folder).distinct().collect() if emptied else []
+            self._write(staged, "overwrite", partitionOverwriteMode="dynamic")
+            # Dynamic overwrite leaves a partition that gets no row as it is.
+            none = staged.drop(*self.parts).limit(0)
+            for row in folders:
+                none.write.mode("overwrite").parquet(unquote(row["folder"]))

@@ -10,17 +10,18 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.functions.columns import with_audit, with_partitions
 from millrace.operators.keyed import dedup_latest
 from millrace.session import written
-from millrace.sources.landing import READ_OPTIONS, SourceSpec, bind_source
-from millrace.sources.tables import TickTable
+from millrace.plans.ingest import reject
+from millrace.sources.landing import READ_OPTIONS, SourceSpec, bind_source, readable
+from millrace.sources.tables import ParquetTable
 
 
 def landing_stream(spark, spec: SourceSpec, path: str, max_files: int | None = None) -> DataFrame:
-    """New files of a landing directory, with audit and partition columns."""
+    """New rows of a landing directory, unreadable ones among them. A CSV file with another header is an error."""
     reader = (
         spark.readStream.format(spec.format)
         .schema(spec.raw_schema)
         .option("recursiveFileLookup", "true")
-        .options(**READ_OPTIONS[spec.format])
+        .options(**READ_OPTIONS[spec.format], enforceSchema="false")
         .options(**spec.options)
     )
     if max_files is not None:
@@ -29,36 +30,37 @@ def landing_stream(spark, spec: SourceSpec, path: str, max_files: int | None = N
 
 
 def stream_ingest(
-    table: TickTable,
+    table: ParquetTable,
     spec: SourceSpec,
     landing_path: str,
     checkpoint: str,
     lateness: str | None = None,
     max_files: int | None = None,
     now: datetime | None = None,
+    rejected: ParquetTable | None = None,
 ) -> StreamingQuery:
     """Merge every file that has landed since the last run into a bronze table, then stop.
 
     Each landing file is read once, whatever the size of the landing zone. Of a key's rows the latest by the watermark
     column stays, in whatever order the files come. A batch that is retried after a failure is
     merged again by key, with the same result. With ``lateness`` a key seen before within that time is suppressed
-    instead of merged, and rows later than that are dropped.
+    instead of merged, and rows later than that are dropped. Unreadable rows are appended to ``rejected``, once for each
+    file; without such a table they are left out.
     """
     rows = landing_stream(table.spark, spec, landing_path, max_files)
     if lateness is not None:
         rows = rows.withWatermark(spec.ts_col, lateness).dropDuplicatesWithinWatermark(list(spec.keys))
 
     def merge(batch: DataFrame, _: int) -> None:
-        prepared = with_partitions(with_audit(batch, spec.ts_col, now), spec.ts_col)
-        with written(prepared, f"{spec.name}-batch") as slice_:
+        with written(batch, f"{spec.name}-batch") as read:
+            if rejected is not None:
+                reject(rejected, read, spec, now)
+            slice_ = with_partitions(with_audit(readable(read), spec.ts_col, now), spec.ts_col)
             if slice_.isEmpty():
                 return
-            rows = slice_
-            if table.exists():
-                # A later file may hold an earlier row: what the table knows of these keys takes part in the choice.
-                known = table.read().join(slice_.select(*spec.keys).distinct(), list(spec.keys), "left_semi")
-                rows = slice_.unionByName(known, allowMissingColumns=True)
-            table.merge(dedup_latest(rows, spec.keys, spec.ts_col), spec.keys, matching=slice_)
+            # A later file may hold an earlier row: what the table knows of these keys takes part in the choice.
+            latest = dedup_latest(slice_, spec.keys, spec.ts_col)
+            table.merge(latest, spec.keys, latest=spec.ts_col, dedup=dedup_latest)
 
     return (
         rows.writeStream.foreachBatch(merge)

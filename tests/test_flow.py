@@ -10,8 +10,8 @@ from millrace import operators as op
 from millrace.plans import clinical as c
 from millrace.plans import gold, ingest, model, silver
 from millrace.plans.registry import CHALLENGER, CHAMPION, REJECTED, RETIRED, Registry
-from millrace.plans.store import Store
-from millrace.sources import LandingMissing, TickTable, read_landing
+from millrace.plans.store import BY_MONTH, Store
+from millrace.sources import LandingMissing, ParquetTable, read_landing
 from millrace.sources.landing import SourceSpec
 from millrace.streaming import stream_ingest
 
@@ -51,10 +51,59 @@ def test_read_landing(spark, landing):
         read_landing(spark, c.GAIT, f"{landing}/nowhere")
 
 
-def test_wrong_header_is_an_error(spark, landing):
-    feeds.write_csv(landing, "labels", "a.csv", [{"patient_id": 1, "weight": 2, "a": 3, "b": 4, "c": 5}])
-    with pytest.raises(Exception, match="(?i)header"):
-        read_landing(spark, c.LABELS, f"{landing}/labels").collect()
+def test_files_of_other_columns_are_read_by_their_own_header(spark, landing):
+    rng = __import__("random").Random(0)
+    row = feeds.label("P1", feeds.START, True)
+    turned = {"note": "new", **dict(reversed(feeds.label("P2", feeds.START, False).items()))}
+    feeds.write_csv(landing, "labels", "a.csv", [row])
+    feeds.write_csv(landing, "labels", "b.csv", [turned])
+    feeds.write_csv(landing, "labels", "c.csv", [{"patient_id": "P3", "weight": 2}])
+    got = {r.patient_id: r for r in read_landing(spark, c.LABELS, f"{landing}/labels", others=True).collect()}
+    assert {p: (r.frailty_label, r.note, r.unreadable) for p, r in got.items()} == {
+        "P1": (str(row["frailty_label"]), None, None),
+        "P2": (str(turned["frailty_label"]), "new", None),
+        "P3": (None, None, "unreadable_time"),
+    }
+    plain = read_landing(spark, c.LABELS, f"{landing}/labels")
+    assert plain.count() == 3 and "note" not in plain.columns and rng
+
+
+def test_unreadable_rows_are_quarantined_once(spark, store, landing):
+    rng = __import__("random").Random(6)
+    t, spec, path = feeds.START, c.SPPB, f"{landing}/sppb"
+    good = [feeds.sppb(f"P{i}", t + timedelta(minutes=25 * i + 5), rng) for i in range(6)]
+    feeds.write_json(landing, "sppb", "a.json", [*good, feeds.sppb("PX", t, rng, survey_date="soon"), feeds.sppb("PY", t, rng, survey_date=None)])
+    with open(f"{path}/a.json", "a") as file:
+        file.write('{"response_id": "SPZ", "patient_id"')
+    results = [ingest.ingest_tick(store, spec, path, start=t, now=NOW) for _ in range(2)]
+    feeds.write_json(landing, "sppb", "b.json", [feeds.sppb("PW", t, rng, survey_date="later")])
+    results += [ingest.ingest_tick(store, spec, path, now=NOW) for _ in range(2)]
+    assert [r.rejected for r in results] == [3, 0, 1, 0] and [r.rows for r in results] == [3, 2, 1, 0]
+    assert [r.status for r in results][-1] == ingest.EMPTY_WINDOW
+    silver.refine_source(store, spec, c.RULES.rules_for("sppb"))
+    bad = {(r.patient_id, r.failed_rules[0], r.watermark_text, r.corrupt_record) for r in silver.quarantined_rows(store, "sppb").collect()}
+    assert bad == {
+        ("PX", "unreadable_time", "soon", None), ("PY", "unreadable_time", None, None), ("PW", "unreadable_time", "later", None),
+        (None, "unreadable_record", None, '{"response_id": "SPZ", "patient_id"'),
+    }
+    assert silver.silver_counts(store, "sppb") == {"valid": 6, "quarantined": 4}
+
+
+def test_a_tick_reads_the_folders_of_its_days(spark, store, landing):
+    spec = SourceSpec("s", "json", {"k": "STRING", "ts": "TIMESTAMP"}, ("k",), "ts", timedelta(hours=12), day_folder="day")
+    read = []
+    for days in (2, 4):
+        for k in range(days):
+            day = feeds.START + timedelta(days=k)
+            rows = [{"k": f"{k}-{h}", "ts": feeds.stamp(day + timedelta(hours=h))} for h in (0, 6, 12)]
+            feeds.write_json(landing, f"s/day={day.date()}", "a.json", rows)
+        scan = read_landing(spark, spec, f"{landing}/s", feeds.START + timedelta(hours=6), feeds.START + timedelta(hours=18))
+        read.append(len(scan.inputFiles()))
+    assert read == [1, 1]
+    results = [ingest.ingest_tick(store, spec, f"{landing}/s", start=feeds.START - timedelta(hours=12)) for _ in range(10)]
+    assert sum(r.rows for r in results) == 12 and store.bronze("s").read().count() == 12
+    assert results[-1].status == ingest.EMPTY_WINDOW
+    assert ingest.ingest_tick(store, spec, f"{landing}/none").status == ingest.NO_LANDING
 
 
 def test_tick_statuses_and_window_edges(spark, store, landing, tmp_path):
@@ -106,11 +155,11 @@ def test_ticks_in_any_grouping_give_one_table(spark, landing, tmp_path):
     assert len(tables[0]) == 7
 
 
-def test_tick_that_ends_after_its_merge_is_not_repeated(spark, store, landing, monkeypatch):
+def test_tick_that_ends_after_its_merge_is_repeated_to_no_effect(spark, store, landing, monkeypatch):
     rng = __import__("random").Random(3)
     t = feeds.START
     rows = [feeds.sppb("P1", t + timedelta(minutes=5), rng), feeds.sppb("P2", t + timedelta(minutes=6), rng, response_id=None)]
-    feeds.write_json(landing, "sppb", "a.json", [*rows, feeds.sppb("P3", t + timedelta(minutes=70), rng)])
+    feeds.write_json(landing, "sppb", "a.json", [*rows, feeds.sppb("PX", t, rng, survey_date=""), feeds.sppb("P3", t + timedelta(minutes=70), rng)])
 
     def crash(*_):
         raise RuntimeError("driver lost")
@@ -120,9 +169,11 @@ def test_tick_that_ends_after_its_merge_is_not_repeated(spark, store, landing, m
         with pytest.raises(RuntimeError):
             ingest.ingest_tick(store, c.SPPB, f"{landing}/sppb", start=t)
     assert ingest.read_watermark(store, "sppb") is None
-    second = ingest.ingest_tick(store, c.SPPB, f"{landing}/sppb", start=t)
-    assert (second.start, second.rows) == (t + timedelta(hours=1), 1)
+    again = ingest.ingest_tick(store, c.SPPB, f"{landing}/sppb", start=t)
+    assert (again.start, again.rows, again.rejected) == (t, 2, 0)
+    assert ingest.ingest_tick(store, c.SPPB, f"{landing}/sppb").rows == 1
     assert sorted(r.patient_id for r in store.bronze("sppb").read().collect()) == ["P1", "P2", "P3"]
+    assert store.rejected("sppb").read().count() == 1
 
 
 def test_bronze_invariants_and_idempotence(spark, store, landing):
@@ -176,7 +227,7 @@ def test_silver_follows_bronze_incrementally(spark, store, landing):
         assert silver.refine_source(store, c.SPPB, rules) == silver.WRITTEN
         whole = silver.refine(store.bronze("sppb").read(), c.SPPB, rules)
         assert contents(store.silver("sppb").read().select(*whole.columns)) == contents(whole)
-    assert len(store.silver("sppb").state().dirs) == 5
+    assert len(store.silver("sppb").read().inputFiles()) == 1
     assert silver.refine_source(store, c.SPPB, rules) == silver.UNCHANGED
     # A correction rewrites part of bronze, so its month is replaced.
     changed = store.bronze("sppb").read().limit(1).withColumn("sppb_total", F.lit("99"))
@@ -229,7 +280,7 @@ def test_gold_without_sources(spark, store, landing):
 
 def test_stream_keeps_the_latest_row_whatever_the_order_of_files(spark, tmp_path):
     spec = SourceSpec("s", "json", {"k": "STRING", "ts": "TIMESTAMP", "v": "STRING"}, ("k",), "ts")
-    table = TickTable(spark, str(tmp_path / "t"), ("year", "month"))
+    table = ParquetTable(spark, str(tmp_path / "t"), BY_MONTH)
     for part, (hour, value) in enumerate([("02", "late"), ("01", "early")]):
         spark.createDataFrame([("a", f"2024-01-01 {hour}:00:00", value)], "k STRING, ts STRING, v STRING").write.json(str(tmp_path / f"in/{part}"))
         stream_ingest(table, spec, str(tmp_path / "in"), str(tmp_path / "checkpoint"), max_files=1, now=NOW).awaitTermination()
@@ -238,15 +289,15 @@ def test_stream_keeps_the_latest_row_whatever_the_order_of_files(spark, tmp_path
 
 def test_stream_equals_batch(spark, landing, tmp_path):
     feeds.write_feeds(landing, n=12)
-    stream_table = TickTable(spark, str(tmp_path / "stream"), ("year", "month"))
+    stream_table = ParquetTable(spark, str(tmp_path / "stream"), BY_MONTH)
     args = (stream_table, c.GAIT, f"{landing}/gait", str(tmp_path / "checkpoint"))
     stream_ingest(*args, now=NOW).awaitTermination()
     store = Store(spark, str(tmp_path / "batch"))
     ingest.ingest_tick(store, c.GAIT, f"{landing}/gait", now=NOW)
     assert contents(stream_table.read()) == contents(store.bronze("gait").read())
-    version = stream_table.version()
+    version = stream_table.modified()
     stream_ingest(*args, now=NOW).awaitTermination()
-    assert stream_table.version() == version
+    assert stream_table.modified() == version
     feeds.write_feeds(landing, n=3, first=20, seed=2)
     stream_ingest(*args, now=NOW).awaitTermination()
     assert stream_table.read().count() == 75
@@ -256,7 +307,7 @@ def test_stream_can_suppress_repeats(spark, landing, tmp_path):
     rng = __import__("random").Random(1)
     feeds.write_json(landing, "sppb", "a.json", [feeds.sppb("P1", feeds.START, rng), feeds.sppb("P2", feeds.START, rng)])
     feeds.write_json(landing, "sppb", "b.json", [feeds.sppb("P1", feeds.START, rng)])
-    table = TickTable(spark, str(tmp_path / "t"), ("year", "month"))
+    table = ParquetTable(spark, str(tmp_path / "t"), BY_MONTH)
     query = stream_ingest(table, c.SPPB, f"{landing}/sppb", str(tmp_path / "c"), lateness="1 hour", max_files=1)
     query.awaitTermination()
     assert table.read().count() == 2

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import operators as op
-from millrace.sources import TableMissing, TickTable
+from millrace.sources import ParquetTable, TableMissing
 
 
 def rows(df):
@@ -49,55 +49,67 @@ def test_delete_matched_and_count(spark):
     assert op.matched_count(target, keys, ["k"]).first().n == 2
 
 
+def files(table):
+    return sorted(r[0] for r in table.read().select("_metadata.file_path").distinct().collect())
+
+
 def test_table_merge_equals_upsert(spark, tmp_path):
     rng = random.Random(3)
-    table = TickTable(spark, str(tmp_path / "t"), ("month",))
+    table = ParquetTable(spark, str(tmp_path / "t"), {"month": "int"})
     expected = {}
     for tick in range(5):
         slice_ = {k: (k, rng.randint(1, 3), f"{tick}-{k}") for k in rng.sample(range(40), 12)}
         df = spark.createDataFrame(list(slice_.values()), "k INT, month INT, v STRING")
-        table.merge(df, ["k"])
+        for _ in range(1 + tick % 2):
+            table.merge(df, ["k"])  # again changes nothing
         expected.update(slice_)
     assert rows(table.read().select("k", "month", "v")) == sorted(expected.values())
-    before = table.read().count()
-    table.compact()
-    assert table.read().count() == before and len(table.state().dirs) == 3
+    assert len(files(table)) == 3
 
 
 def test_merge_into_escaped_partitions(spark, tmp_path):
-    table = TickTable(spark, str(tmp_path / "t"), ("p",))
-    names = ["a:b", "x/y", "50%", "it's", "k=v", "[q]", "plain word"]
+    table = ParquetTable(spark, str(tmp_path / "t"), {"p": "string"})
+    names = ["a:b", "x/y", "50%", "it's", "k=v", "[q]", "plain word", "01", "a+b", "é"]
     table.overwrite(spark.createDataFrame([(i, "old", p) for i, p in enumerate(names)], "k INT, v STRING, p STRING"))
     table.merge(spark.createDataFrame([(i, "new", p) for i, p in enumerate(names)], "k INT, v STRING, p STRING"), ["k"])
     assert rows(table.read().select("k", "v", "p")) == [(i, "new", p) for i, p in enumerate(names)]
+    # Every key moves: what it leaves behind is empty.
+    table.merge(spark.createDataFrame([(i, "moved", f"to {p}") for i, p in enumerate(names)], "k INT, v STRING, p STRING"), ["k"])
+    assert rows(table.read().select("k", "v", "p")) == [(i, "moved", f"to {p}") for i, p in enumerate(names)]
 
 
-def test_merge_leaves_unmatched_directories_alone(spark, tmp_path):
-    table = TickTable(spark, str(tmp_path / "t"), ("month",))
+def test_merge_leaves_other_partitions_alone(spark, tmp_path):
+    table = ParquetTable(spark, str(tmp_path / "t"), {"month": "int"})
     table.overwrite(spark.sql("SELECT id AS k, CAST(id AS INT) AS month FROM range(1, 4)"))
+    before = files(table)
     table.merge(spark.sql("SELECT 2L AS k, 9 AS month"), ["k"])
-    dirs = table.state().dirs
-    assert "_tick=1/month=1" in dirs and "_tick=1/month=3" in dirs
-    assert "_tick=1/month=2" not in dirs and "_tick=2/month=9" in dirs
+    kept = [f for f in before if "month=2/" not in f]
+    assert [f for f in files(table) if "month=9/" not in f] == kept
     assert rows(table.read()) == [(1, 1), (2, 9), (3, 3)]
 
 
-def test_versions_stay_readable_and_uncommitted_data_is_invisible(spark, tmp_path):
-    table = TickTable(spark, str(tmp_path / "t"))
+def test_merge_keeps_the_latest_on_request(spark, tmp_path):
+    table = ParquetTable(spark, str(tmp_path / "t"), {"month": "int"})
+    table.overwrite(spark.sql("SELECT * FROM VALUES (1, 5, 1), (2, 5, 1), (3, 5, 2) t(k, at, month)"))
+    table.merge(spark.sql("SELECT * FROM VALUES (1, 4, 3), (2, 6, 3), (4, 1, 2) t(k, at, month)"), ["k"], "at", op.dedup_latest)
+    assert rows(table.read()) == [(1, 5, 1), (2, 6, 3), (3, 5, 2), (4, 1, 2)]
+
+
+def test_missing_and_overwritten(spark, tmp_path):
+    table = ParquetTable(spark, str(tmp_path / "t"))
     with pytest.raises(TableMissing):
         table.read()
     assert not table.exists()
     table.overwrite(spark.range(3))
     table.overwrite(spark.range(5))
-    assert (table.version(), table.read(1).count(), table.read().count()) == (2, 3, 5)
-    spark.range(99).write.parquet(str(tmp_path / "t/data/_tick=3"))
-    assert table.read().count() == 5
+    first = table.modified()
+    assert table.read().count() == 5 and first > 0
     table.append(spark.range(1))
-    assert table.read().count() == 6
+    assert table.read().count() == 6 and table.modified() >= first
 
 
 def test_append_merges_schema_and_missing_table_has_full_schema(spark, tmp_path):
-    table = TickTable(spark, str(tmp_path / "t"))
+    table = ParquetTable(spark, str(tmp_path / "t"))
     schema = spark.sql("SELECT 1 AS a, 'x' AS b").schema
     assert table.read_or_empty(schema).columns == ["a", "b"] and table.read_or_empty(schema).isEmpty()
     table.append(spark.sql("SELECT 1 AS a"))
@@ -108,44 +120,45 @@ def test_append_merges_schema_and_missing_table_has_full_schema(spark, tmp_path)
 
 
 def test_empty_and_null_partitions(spark, tmp_path):
-    table = TickTable(spark, str(tmp_path / "t"), ("year",))
+    table = ParquetTable(spark, str(tmp_path / "t"), {"year": "int"})
     table.overwrite(spark.sql("SELECT 1 AS k, 2024 AS year LIMIT 0"))
-    assert table.read().isEmpty() and table.read().columns == ["k", "year"]
     table.merge(spark.sql("SELECT * FROM VALUES (1, NULL), (2, 2024) t(k, year)"), ["k"])
     table.merge(spark.sql("SELECT * FROM VALUES (1, 2025) t(k, year)"), ["k"])
     assert rows(table.read()) == [(1, 2025), (2, 2024)]
+    table.merge(spark.sql("SELECT * FROM VALUES (CAST(NULL AS INT), 2025) t(k, year)"), ["k"])
+    assert table.read().count() == 3
 
 
 def test_delete_from_table(spark, tmp_path):
-    table = TickTable(spark, str(tmp_path / "t"))
-    table.overwrite(spark.range(5))
-    version = table.version()
-    assert table.delete(spark.range(50, 60), ["id"]) == version
-    table.delete(spark.range(2), ["id"])
-    assert rows(table.read()) == [(2,), (3,), (4,)]
-
-
-def test_changed_since(spark, tmp_path):
-    table = TickTable(spark, str(tmp_path / "t"))
-    first = table.overwrite(spark.range(2))
-    table.append(spark.range(5, 7))
-    added, stale = table.changed_since(first)
-    assert rows(added) == [(5,), (6,)] and not stale
-    by_month = TickTable(spark, str(tmp_path / "m"), ("month",))
-    first = by_month.overwrite(spark.sql("SELECT * FROM VALUES (1, 1), (2, 1), (3, 2) t(k, month)"))
-    by_month.merge(spark.sql("SELECT 2 AS k, 3 AS month"), ["k"])
-    again, stale = by_month.changed_since(first)
-    assert rows(again) == [(1, 1), (2, 3)] and stale == {"month=1"}
-
-
-def test_compaction_touches_crowded_partitions_only(spark, tmp_path):
-    table = TickTable(spark, str(tmp_path / "t"), ("month",))
-    table.overwrite(spark.sql("SELECT * FROM VALUES (1, 1), (2, 2) t(k, month)"))
-    table.append(spark.sql("SELECT 3 AS k, 2 AS month"))
-    table.compact()
-    assert table.state().dirs == ("_tick=1/month=1", "_tick=3/month=2")
-    assert rows(table.read()) == [(1, 1), (2, 2), (3, 2)]
-    assert table.compact() == 3
+    for name, parts in (("plain", {}), ("parted", {"p": "long"})):
+        table = ParquetTable(spark, str(tmp_path / name), parts)
+        table.overwrite(spark.range(5).withColumn("p", F.col("id") % 2))
+        before = files(table)
+        table.delete(spark.range(50, 60), ["id"])
+        assert files(table) == before
+        table.delete(spark.range(2), ["id"])
+        assert [r[0] for r in rows(table.read())] == [2, 3, 4]
+        table.delete(spark.createDataFrame([(2,), (4,)], "id LONG"), ["id"])
+        assert rows(table.read()) == [(3, 1)]
+
+
+def test_replace_partitions(spark, tmp_path):
+    table = ParquetTable(spark, str(tmp_path / "t"), {"ok": "boolean", "month": "int"})
+    table.overwrite(spark.sql("SELECT * FROM VALUES (1, true, 1), (2, false, 1), (3, true, 2) t(k, ok, month)"))
+    table.replace(spark.sql("SELECT * FROM VALUES (1, true, 1), (2, true, 1) t(k, ok, month)"), F.col("month") == 1)
+    assert rows(table.read()) == [(1, True, 1), (2, True, 1), (3, True, 2)]
+
+
+def test_overwriting_does_not_collect_files(spark, tmp_path):
+    """Many watermarks leave as many files as one."""
+    from millrace.plans import ingest
+    from millrace.plans.store import Store
+
+    store, counts = Store(spark, str(tmp_path)), set()
+    for k in range(10):
+        ingest.write_watermark(store, "feed", datetime(2024, 1, 1, k % 24))
+        counts.add(sum(len(names) for _, _, names in __import__("os").walk(tmp_path)))
+    assert len(counts) == 1 and ingest.read_watermark(store, "feed") == datetime(2024, 1, 1, 9)
 
 
 def test_left_join_all_keeps_base_rows(spark):

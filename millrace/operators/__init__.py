@@ -1,3 +1,4 @@
+from millrace.operators.asof import asof_join
 from millrace.operators.assembly import assemble, complete_ids, fan_out_report, overdue_incomplete, presence
 from millrace.operators.keyed import dedup_latest, delete_matched, left_join_all, matched_count, upsert
 from millrace.operators.metrics import (
@@ -13,14 +14,11 @@ from millrace.operators.metrics import (
     score_curve,
 )
 from millrace.operators.preprocessing import (
-    categories,
-    category_counts,
+    category_table,
     class_weights,
     impute,
     impute_values,
     mode,
-    most_frequent,
-    ordinal_code,
     ordinal_encode,
     scale_values,
     standardize,

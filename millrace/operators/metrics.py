@@ -4,104 +4,57 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Below this many rows one window per group is enough.
-ROWS_PER_BUCKET = 200_000
-MAX_BUCKETS = 2_048
-SKETCH_ACCURACY = 10_000
+from millrace.operators.ranges import dealt_by_range
 
 
-def _bucket_edges(df: DataFrame, score: str, rows_per_bucket: int) -> list[float]:
-    """Score quantiles that cut the rows into buckets of about ``rows_per_bucket``; empty for small input.
-
-    Any edges give the same curve, so they are taken from a share of the scores, picked by hash.
-    """
-    share = max(1, min(64, rows_per_bucket // 1_000))
-    picked = F.when(F.pmod(F.xxhash64(score), F.lit(share)) == 0, F.col(score))
-    # As SQL text: thousands of literals are slow to pass one by one.
-    fractions = ", ".join(f"{i / MAX_BUCKETS!r}D" for i in range(1, MAX_BUCKETS))
-    row = (
-        df.select(score, picked.alias("picked"))
-        .agg(
-            F.count(score).alias("n"),
-            F.expr(f"percentile_approx(picked, array({fractions}), {SKETCH_ACCURACY})").alias("edges"),
-        )
-        .first()
-    )
-    wanted = min(MAX_BUCKETS, -(-row["n"] // rows_per_bucket))
-    if wanted <= 1 or row["edges"] is None:
-        return []
-    edges = [row["edges"][i * MAX_BUCKETS // wanted - 1] for i in range(1, wanted)]
-    return sorted({e for e in edges if e == e})
-
-
-def score_curve(
-    df: DataFrame, score: str, label: str, by: Sequence[str] = (), rows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
+def score_curve(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """One row per (group and) distinct score with running sums over descending scores.
 
     (by..., score, pos, n, cum_pos, cum_n, all_pos, all_n). Rows are counted per score first, which takes out hot
-    scores. The running sum then works in score buckets cut at quantiles, offset by the totals of the buckets above, so
-    no task sees the whole curve. Rows without score or label are left out.
+    scores. The distinct scores are dealt by ranges of (group, score), so a large group lies in many tasks; each task sums
+    up its own stretch, and the totals of the stretches before it in its group, of which there is one per task and group,
+    are added. Rows without score or label are left out.
     """
     keys = list(by)
     # The group as one value: a struct equals another with the same NULLs, so it can be joined on like any other key.
-    group = [F.struct(*keys).alias("g")] if keys else []
-    on = ["g"] if keys else []
-    rows = df.select(*group, F.col(score).cast("double").alias("score"), F.col(label).cast("long").alias("label"))
+    group = F.struct(*keys) if keys else F.lit(0)
+    rows = df.select(group.alias("g"), F.col(score).cast("double").alias("score"), F.col(label).cast("long").alias("label"))
     rows = rows.filter(F.col("score").isNotNull() & F.col("label").isNotNull())
-    edges = _bucket_edges(rows, "score", rows_per_bucket)
-    counts = rows.groupBy(*on, "score").agg(F.sum("label").alias("pos"), F.count(F.lit(1)).alias("n"))
-    named = [F.col("g")[key].alias(key) for key in keys]
-
-    whole = Window.partitionBy(*on)
-    if not edges:
-        upto = whole.orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return counts.select(
-            *named, "score", "pos", "n",
-            F.sum("pos").over(upto).alias("cum_pos"), F.sum("n").over(upto).alias("cum_n"),
-            F.sum("pos").over(whole).alias("all_pos"), F.sum("n").over(whole).alias("all_n"),
-        )
-
-    splits = [float("-inf"), *edges, float("inf")]
-    cut = Bucketizer(splits=splits, inputCol="score", outputCol="cut", handleInvalid="keep")
-    # Never NULL, and known to be: a filter inferred for one use only would keep the other from sharing its shuffle.
-    bucket = F.coalesce(F.col("cut").cast("int"), F.lit(-1))
-    bucketed = cut.transform(counts).withColumn("bucket", bucket).drop("cut")
-    totals = bucketed.groupBy(*on, "bucket").agg(F.sum("pos").alias("b_pos"), F.sum("n").alias("b_n"))
-    above = whole.orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("g", "score").agg(F.sum("label").alias("pos"), F.count(F.lit(1)).alias("n"))
+    stretches = dealt_by_range(counts, ["g", F.col("score").desc()], "curve")
+
+    totals = stretches.groupBy("g", "part").agg(F.sum("pos").alias("p_pos"), F.sum("n").alias("p_n"))
+    whole = Window.partitionBy("g")
+    before = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *on, "bucket",
-        F.coalesce(F.sum("b_pos").over(above), F.lit(0)).alias("o_pos"),
-        F.coalesce(F.sum("b_n").over(above), F.lit(0)).alias("o_n"),
-        F.sum("b_pos").over(whole).alias("all_pos"), F.sum("b_n").over(whole).alias("all_n"),
+        "g", "part",
+        F.coalesce(F.sum("p_pos").over(before), F.lit(0)).alias("o_pos"),
+        F.coalesce(F.sum("p_n").over(before), F.lit(0)).alias("o_n"),
+        F.sum("p_pos").over(whole).alias("all_pos"), F.sum("p_n").over(whole).alias("all_n"),
     )
-    inner = Window.partitionBy(*on, "bucket").orderBy(F.col("score").desc())
-    upto = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = bucketed.select(
-        *on, "bucket", "score", "pos", "n",
+    upto = Window.partitionBy("g", "part").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = stretches.select(
+        "g", "part", "score", "pos", "n",
         F.sum("pos").over(upto).alias("i_pos"), F.sum("n").over(upto).alias("i_n"),
     )
-    return running.join(offsets, [*on, "bucket"]).select(
-        *named, "score", "pos", "n",
+    return running.join(offsets, ["g", "part"]).select(
+        *[F.col("g")[key].alias(key) for key in keys], "score", "pos", "n",
         (F.col("i_pos") + F.col("o_pos")).alias("cum_pos"), (F.col("i_n") + F.col("o_n")).alias("cum_n"),
         "all_pos", "all_n",
     )
 
 
-def ranking_metrics(
-    df: DataFrame, score: str, label: str, by: Sequence[str] = (), rows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
+def ranking_metrics(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """(by..., n, n_pos, auc_pr, auc_roc, threshold, f1) per group.
 
     ``auc_pr`` is the step-wise average precision with tied scores taken together, ``auc_roc`` counts ties as half, and
     ``threshold`` maximises F1 (the lowest one on ties). A group of one class has no ``auc_roc``; one without positives
     has ``auc_pr`` 0.
     """
-    curve = score_curve(df, score, label, by, rows_per_bucket)
+    curve = score_curve(df, score, label, by)
     precision = F.col("cum_pos") / F.col("cum_n")
     recall = F.try_divide("cum_pos", "all_pos")
     f1 = F.coalesce(F.when(F.col("cum_pos") > 0, 2 * precision * recall / (precision + recall + 1e-9)), F.lit(0.0))

@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.quantiles import exact_medians
-
-# Categories of one column that may be held as model constants.
-MAX_CATEGORIES = 10_000
-
+from millrace.operators.ranges import dealt_by_range
 
 def mode(df: DataFrame, column: str):
     """Most frequent value, the smallest on ties; None when there is none."""
@@ -30,33 +27,20 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
     return {**dict.fromkeys(columns), **{row["c"]: row["v"] for row in rows}}
 
 
-def category_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, int]]:
-    """Rows per value of each text column, sorted by value, in one pass.
+def category_table(df: DataFrame, column: str) -> DataFrame:
+    """(value, code): the dictionary of a categorical column, its distinct values numbered in sorted order from 0.
 
-    A column with more values than a model can hold as constants is an error.
+    Values are dealt by ranges, numbered within each and moved up by the sizes of the ranges before, so there may be any
+    number of them.
     """
-    if not columns:
-        return {}
-    limit = MAX_CATEGORIES * len(columns) + 1
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "c", "v")
-    rows = long.filter(F.col("v").isNotNull()).groupBy("c", "v").count().limit(limit).collect()
-    found: dict[str, dict[str, int]] = {c: {} for c in columns}
-    for row in sorted(rows, key=lambda r: r["v"]):
-        found[row["c"]][row["v"]] = row["count"]
-    for c, values in found.items():
-        if len(rows) == limit or len(values) > MAX_CATEGORIES:
-            raise ValueError(f"more than {MAX_CATEGORIES} values in {c!r}: not a categorical feature")
-    return found
-
-
-def categories(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct values of a categorical column."""
-    return list(category_counts(df, [column])[column])
-
-
-def most_frequent(counts: Mapping[str, int]) -> str | None:
-    """The value with the highest count, the smallest on ties."""
-    return min(counts, key=lambda v: (-counts[v], v), default=None)
+    values = df.select(F.col(f"`{column}`").cast("string").alias("value")).filter("value IS NOT NULL").distinct()
+    dealt = dealt_by_range(values, ["value"], "categories")
+    sizes = dealt.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # a row per task
+    starts = sizes.select("part", F.coalesce(before, F.lit(0)).alias("start"))
+    within = F.row_number().over(Window.partitionBy("part").orderBy("value")) - 1
+    numbered = dealt.withColumn("within", within).join(starts, "part")
+    return numbered.select("value", (F.col("start") + F.col("within")).cast("int").alias("code"))
 
 
 def impute_values(
@@ -79,16 +63,19 @@ def impute(df: DataFrame, values: Mapping[str, float | str | None]) -> DataFrame
     return df.select(*[filled(c) if c in values else F.col(c) for c in df.columns])
 
 
-def ordinal_code(column: str, known: Sequence[str]) -> Column:
-    """Position in the sorted categories; -1 for an unseen or missing value."""
-    if not known:
-        return F.lit(-1)
-    return F.coalesce(F.array_position(F.array(*[F.lit(c) for c in known]), F.col(column)) - 1, F.lit(-1)).cast("int")
+def ordinal_encode(df: DataFrame, column: str, output: str, known: DataFrame | Sequence[str] | None = None) -> DataFrame:
+    """Add the code of a column by a dictionary (its own by default, or sorted values); -1 for an unseen or missing value.
 
-
-def ordinal_encode(df: DataFrame, column: str, output: str, known: Sequence[str] | None = None) -> DataFrame:
-    """Add the ordinal code of a column."""
-    return df.withColumn(output, ordinal_code(column, categories(df, column) if known is None else known))
+    The dictionary is joined, so it may be as large as the table; Spark broadcasts it where it is small.
+    """
+    if known is None:
+        known = category_table(df, column)
+    elif not isinstance(known, DataFrame):
+        rows = [(v, i) for i, v in enumerate(known)]
+        known = df.sparkSession.createDataFrame(rows, "value STRING, code INT")
+    codes = known.select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+    joined = df.join(codes, F.col(f"`{column}`").cast("string") == F.col("_value"), "left")
+    return joined.withColumn(output, F.coalesce("_code", F.lit(-1))).drop("_value", "_code")
 
 
 def scale_values(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:

@@ -1,144 +1,105 @@
-"""Exact medians and modes without sorting or collecting a column."""
+"""Exact medians by counting the bits of doubles: no column is sorted, collected or sampled."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Distinct values of one column that a single task may hold.
-MAX_VALUES = 100_000
-# Half-width of the first bracket, as a fraction of the rows; several times the error of the sketch.
-MARGIN = 5e-4
-SKETCH_ACCURACY = 10_000
+# Bits of a double that a pass decides: it counts at most 2 ** BITS values per column and rank.
+BITS = 16
+PASSES = 64 // BITS
+# Exponent of the smallest normal double, and bits of a fraction.
+LEAST_EXPONENT, FRACTION = -1022, 52
+INFINITE, NOT_A_NUMBER = 0x7FF << FRACTION, 0xFFF << (FRACTION - 1)
 
 
-@dataclass
-class _Bracket:
-    """The median of ``column`` lies between ``low`` and ``high``; ``below`` rows are smaller, ``inside`` within."""
-
-    column: str
-    rows: int
-    low: float
-    high: float
-    below: int = 0
-    inside: int = 0
-    values: int = 0
-
-    @property
-    def ranks(self) -> tuple[int, int]:
-        return (self.rows - 1) // 2, self.rows // 2
-
-    @property
-    def holds(self) -> bool:
-        first, last = self.ranks
-        return self.below <= first and last < self.below + self.inside
-
-    @property
-    def fraction(self) -> float:
-        """Rank of the median within the bracket, as a fraction."""
-        middle = sum(self.ranks) / 2 - self.below
-        return min(1.0, max(0.0, middle / max(1, self.inside - 1)))
-
-
-def _within(bracket: _Bracket):
-    value = F.col(bracket.column).cast("double")
-    return F.when((value >= F.lit(bracket.low)) & (value <= F.lit(bracket.high)), value)
-
-
-def _quantile_bounds(df: DataFrame, wanted: dict[str, tuple], margin: float) -> dict[str, tuple[float, float]]:
-    """Sketch-based (low, high) around a fraction per column; ``wanted`` maps name to (value column, fraction)."""
-    row = df.agg(
-        *[
-            F.percentile_approx(
-                value, [max(0.0, fraction - margin), min(1.0, fraction + margin)], SKETCH_ACCURACY
-            ).alias(name)
-            for name, (value, fraction) in wanted.items()
-        ]
-    ).first()
-    return {name: tuple(row[name]) for name in wanted}
-
-
-def _count_brackets(df: DataFrame, brackets: list[_Bracket]) -> None:
-    """Fill in exact counts for the brackets in one pass."""
-    measures = []
-    for i, b in enumerate(brackets):
-        measures += [
-            F.count_if(F.col(b.column).cast("double") < F.lit(b.low)).alias(f"below{i}"),
-            F.count(_within(b)).alias(f"inside{i}"),
-            F.approx_count_distinct(_within(b)).alias(f"values{i}"),
-        ]
-    row = df.agg(*measures).first()
-    for i, b in enumerate(brackets):
-        b.below, b.inside, b.values = row[f"below{i}"], row[f"inside{i}"], row[f"values{i}"]
-
-
-def _pick(df: DataFrame, brackets: list[_Bracket]) -> dict[str, float]:
-    """Mean of the two middle values per bracket, both taken by rank."""
-    if not brackets:
-        return {}
-
-    def at(i: int, b: _Bracket, rank: int) -> str:
-        # Half a rank below the cumulative share of the wanted row, so that rounding cannot reach a neighbour.
-        return f"percentile_disc({(rank - b.below + 0.5) / b.inside!r}D) WITHIN GROUP (ORDER BY b{i})"
-
-    inside = df.select(*[_within(b).alias(f"b{i}") for i, b in enumerate(brackets)])
-    row = inside.agg(
-        *[
-            ((F.expr(at(i, b, b.ranks[0])) + F.expr(at(i, b, b.ranks[1]))) / 2).alias(b.column)
-            for i, b in enumerate(brackets)
-        ]
-    ).first()
-    return {b.column: row[b.column] for b in brackets}
+def ordered_bits(value: Column) -> Column:
+    """The bits of a double as a 64-bit integer in the order of the doubles; both zeros are 0, NaN is the greatest.
 
+    Exponent and fraction come from arithmetic that is exact: divisions by powers of two.
+    """
+    size = F.abs(value)
+    guess = F.floor(F.log2(size)).cast("int")
+    scaled = lambda e: size / F.pow(F.lit(2.0), e)
+    # The logarithm can be rounded over the next power of two, either way.
+    exponent = guess + F.when(scaled(guess) >= 2, 1).when(scaled(guess) < 1, -1).otherwise(0)
+    exponent = F.greatest(exponent, F.lit(LEAST_EXPONENT))
+    bits = (exponent - LEAST_EXPONENT).cast("long") * F.lit(1 << FRACTION) + (scaled(exponent) * float(1 << FRACTION)).cast("long")
+    bits = F.when(F.isnan(value), F.lit(NOT_A_NUMBER)).when(size == float("inf"), F.lit(INFINITE)).when(size == 0, F.lit(0)).otherwise(bits)
+    return F.when(value < 0, -bits).otherwise(bits)
 
-def exact_medians(df: DataFrame, columns: Sequence[str], max_values: int = MAX_VALUES) -> dict[str, float | None]:
-    """Exact median per numeric column (mean of the two middle values; NULLs ignored).
 
-    Columns with few distinct values go through the built-in median. For the others a sketch brackets the median, an
-    exact count proves that the bracket holds it, and only values inside are sorted out exactly. A bracket that still
-    holds too many values is narrowed by another pass. Every pass is a map-side aggregate over the numeric columns of
-    the frame; nothing is shuffled but one partial row per task.
+@dataclass
+class _Rank:
+    """A wanted row of a column in sorted order: ``rank`` counts within the values that begin with ``prefix``."""
+
+    column: int
+    upper: bool
+    prefix: int = 0
+    rank: int | None = None
+    value: float | None = None
+
+
+def _digits(numbers: DataFrame, ranks: Sequence[_Rank], done: int) -> DataFrame:
+    """(column, prefix, digit, n, low, high): the values that begin with a wanted prefix by their next digit."""
+    entries = []
+    for column in sorted({r.column for r in ranks}):
+        value, bits = F.col(f"v{column}"), F.col(f"b{column}")
+        prefix = F.shiftright(bits, 64 - done) if done else F.lit(0).cast("long")
+        digit = F.shiftright(bits, 64 - done - BITS)
+        wanted = prefix.isin([r.prefix for r in ranks if r.column == column]) if done else F.lit(True)
+        entry = F.struct(F.lit(column).alias("column"), prefix.alias("prefix"), digit.alias("digit"), value.alias("value"))
+        entries.append(F.when(value.isNotNull() & wanted, entry))
+    rows = numbers.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+    return rows.groupBy("column", "prefix", "digit").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
+
+
+def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """Exact median per numeric column (mean of the two middle values; NULLs ignored, NaN the greatest value).
+
+    Values are counted by the first 16 of their ordered bits, then those that begin like the wanted one by the next 16,
+    and so on: four passes at most, fewer where all values that begin alike are equal. Each pass is an aggregate of at
+    most 65,536 rows per column and rank, cut down in every task before it is shuffled, whatever the values are.
     """
     names = list(columns)
-    if not names:
-        return {}
-    numbers = df.select(*names)
-    first = numbers.agg(
-        *[F.count(c).alias(f"n_{c}") for c in names],
-        *[F.approx_count_distinct(c).alias(f"v_{c}") for c in names],
-        *[F.min(F.col(c).cast("double")).alias(f"lo_{c}") for c in names],
-        *[F.max(F.col(c).cast("double")).alias(f"hi_{c}") for c in names],
-    ).first()
-    small = [c for c in names if first[f"v_{c}"] <= max_values]
-    result: dict[str, float | None] = {}
-    if small:
-        row = numbers.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in small]).first()
-        result.update({c: row[c] for c in small})
-    large = [c for c in names if c not in result]
-    open_ = {
-        c: _Bracket(c, first[f"n_{c}"], first[f"lo_{c}"], first[f"hi_{c}"], 0, first[f"n_{c}"], first[f"v_{c}"])
-        for c in large
-    }
-    margin = MARGIN
-    while open_:
-        bounds = _quantile_bounds(numbers, {c: (_within(b), b.fraction) for c, b in open_.items()}, margin)
-        narrowed = {c: _Bracket(c, b.rows, *bounds[c]) for c, b in open_.items()}
-        _count_brackets(numbers, list(narrowed.values()))
-        progress = False
-        for c, b in narrowed.items():
-            if b.holds and b.inside < open_[c].inside:
-                open_[c] = b
-                progress = True
-        ready = [b for b in open_.values() if b.values <= max_values]
-        for b in ready:
-            del open_[b.column]
-        result.update(_pick(numbers, ready))
-        if not progress and not ready:
-            # The sketch missed the rank: ask for a wider bracket.
-            if margin >= 0.5:
-                raise ValueError(f"no bracket of at most {max_values} values for {sorted(open_)}")
-            margin = min(0.5, margin * 4)
-    return {c: result[c] for c in names}
+    values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(names)])
+    numbers = values.select("*", *[ordered_bits(F.col(f"v{i}")).alias(f"b{i}") for i in range(len(names))])
+    ranks = [_Rank(i, upper) for i in range(len(names)) for upper in (False, True)]
+    open_ = ranks
+    for step in range(PASSES):
+        if not open_:
+            break
+        whole = Window.partitionBy("column", "prefix")
+        upto = whole.orderBy("digit").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        sums = _digits(numbers, open_, step * BITS).select(
+            "*", F.sum("n").over(upto).alias("upto"), F.sum("n").over(whole).alias("total")
+        )
+        holds = []
+        for r in open_:
+            rank = F.floor((F.col("total") - (0 if r.upper else 1)) / 2) if r.rank is None else F.lit(r.rank)
+            here = (F.col("column") == r.column) & (F.col("prefix") == r.prefix)
+            holds.append(here & (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank))
+        found = sums.filter(reduce(or_, holds)).collect()  # at most one row per wanted rank
+        for r in open_:
+            for row in found:
+                if (row["column"], row["prefix"]) != (r.column, r.prefix):
+                    continue
+                rank = (row["total"] - (0 if r.upper else 1)) // 2 if r.rank is None else r.rank
+                if row["upto"] - row["n"] <= rank < row["upto"]:
+                    r.prefix, r.rank = row["digit"], rank - (row["upto"] - row["n"])
+                    if row["low"] == row["high"] or step == PASSES - 1:
+                        r.value = row["low"]
+                    break
+            else:
+                r.rank = None  # a column without values
+        open_ = [r for r in open_ if r.rank is not None and r.value is None]
+    middle = {(r.column, r.upper): r.value for r in ranks}
+    pairs = {c: (middle[i, False], middle[i, True]) for i, c in enumerate(names)}
+    return {c: None if low is None or high is None else low if low == high else (low + high) / 2 for c, (low, high) in pairs.items()}

@@ -727,6 +727,23 @@ def fan_out_report(spark, sf_dir):
     return op.fan_out_report(source_rows(entity_events(spark, sf_dir)), ENTITY)
 
 
+@query(
+    "asof_features",
+    """
+    WITH v AS (SELECT user_id, ts, max(value) AS view_value FROM events WHERE event_type = 'view' GROUP BY user_id, ts)
+    SELECT p.event_id, p.user_id, p.ts, v.ts AS view_ts, v.view_value
+    FROM (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase') p
+    ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.ts >= v.ts
+    """,
+)
+def asof_features(spark, sf_dir):
+    """Every purchase with the user's latest view on or before it."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    purchases = of_type(events, "purchase").select("event_id", "user_id", "ts")
+    views = of_type(events, "view").select("user_id", F.col("ts").alias("view_ts"), F.col("value").alias("view_value"))
+    return op.asof_join(purchases, views, ["user_id"], "ts", "view_ts", ["view_ts", "view_value"])
+
+
 # -- training rows -----------------------------------------------------------------------------------------------------
 
 
@@ -926,9 +943,9 @@ def impute_median_mode(spark, sf_dir):
     """,
 )
 def exact_medians(spark, sf_dir):
-    """Bracketed medians, forced by a limit that the prices exceed."""
+    """Columns of many and of few distinct values, together."""
     columns = ["l_extendedprice", "l_quantity", "l_discount", "l_tax"]
-    medians = op.exact_medians(table(spark, sf_dir, "lineitem"), columns, max_values=500)
+    medians = op.exact_medians(table(spark, sf_dir, "lineitem"), columns)
     return spark.createDataFrame(list(medians.items()), "column STRING, median DOUBLE")
 
 
@@ -944,7 +961,7 @@ def exact_medians(spark, sf_dir):
 def ordinal_encode(spark, sf_dir):
     """Codes learned from all orders; a priority that was never seen stands in for those still pending."""
     orders = table(spark, sf_dir, "orders")
-    known = op.categories(orders, "o_orderpriority")
+    known = op.category_table(orders, "o_orderpriority")
     shown = F.when(F.col("o_orderstatus") == "P", "unseen").otherwise(F.col("o_orderpriority"))
     coded = op.ordinal_encode(orders.withColumn("shown", shown), "shown", "code", known)
     return coded.select("o_orderkey", "o_orderpriority", "code")
@@ -988,8 +1005,7 @@ CURVE_SQL = """
 
 @query("score_curve", f"WITH {CURVE_SQL} SELECT score, pos, n, cum_pos, cum_n, all_pos, all_n FROM c")
 def score_curve(spark, sf_dir):
-    """Bucketed running sums, forced by a small bucket size."""
-    return op.score_curve(labeled_documents(spark, sf_dir), "n_chars", "quality", rows_per_bucket=50)
+    return op.score_curve(labeled_documents(spark, sf_dir), "n_chars", "quality")
 
 
 @query(

@@ -10,7 +10,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from millrace.functions.columns import feature_columns
 from millrace.functions.joins import anti_join
 from millrace.functions.times import processing_time
 from millrace.operators.metrics import classification_metrics, prediction_summary, ranking_metrics
-from millrace.operators.preprocessing import category_counts, impute, most_frequent, scale_values
+from millrace.operators.preprocessing import impute, modes, scale_values
 from millrace.operators.quantiles import exact_medians
 from millrace.operators.training_set import cutoff_dates, label_coverage, labeled_only, split_column
 from millrace.plans import clinical as c
@@ -77,27 +77,35 @@ def _literal(text: str) -> str:
 
 
 def fit_preparation(train: DataFrame, features: Sequence[str]) -> list[Transformer]:
-    """Median or mode imputation, scaling and ordinal codes as one SQL projection, then the feature vector.
+    """Median or mode imputation and scaling as one SQL projection, ordinal codes by an indexer, then the feature vector.
 
-    All fitted state is constants, so scoring is a single generated projection and needs no join or broadcast.
+    All fitted state is constants of the model or its dictionaries, so scoring is a projection and needs no join.
     """
     text = [f for f in features if isinstance(train.schema[f].dataType, StringType)]
     numeric = [f for f in features if f not in text]
     medians = exact_medians(train, numeric)
     scales = scale_values(impute(train.select(*numeric), medians), numeric)
-    values = category_counts(train, text)
+    fills = modes(train, text)
     inputs = []
     for f in numeric:
         mean, deviation = scales[f]
         fill = mean if medians[f] is None else medians[f]
         inputs.append(f"(coalesce(CAST(`{f}` AS DOUBLE), {fill!r}D) - ({mean!r}D)) / {deviation!r}D AS `in_{f}`")
-    for f in text:
-        codes = " ".join(f"WHEN {_literal(v)} THEN {i}D" for i, v in enumerate(values[f]))
-        fill = most_frequent(values[f])
-        value = f"`{f}`" if fill is None else f"coalesce(`{f}`, {_literal(fill)})"
-        inputs.append(f"CASE {value} {codes} ELSE -1D END AS `in_{f}`" if codes else f"-1D AS `in_{f}`")
-    projection = SQLTransformer(statement=f"SELECT *, {', '.join(inputs)} FROM __THIS__")
-    return [projection, VectorAssembler(inputCols=[f"in_{f}" for f in features], outputCol=INPUTS)]
+    # A column without any value gets one, so that it has a dictionary.
+    filled = {f: "''" if fills[f] is None else _literal(fills[f]) for f in text}
+    inputs += [f"coalesce(CAST(`{f}` AS STRING), {filled[f]}) AS `text_{f}`" for f in text]
+    stages: list[Transformer] = [SQLTransformer(statement=f"SELECT *, {', '.join(inputs)} FROM __THIS__")]
+    if text:
+        indexer = StringIndexer(
+            inputCols=[f"text_{f}" for f in text], outputCols=[f"index_{f}" for f in text],
+            stringOrderType="alphabetAsc", handleInvalid="keep",
+        )
+        model = indexer.fit(stages[0].transform(train.select(*features)))
+        # The indexer gives unseen values the number after the last.
+        sizes = {f: len(labels) for f, labels in zip(text, model.labelsArray, strict=True)}
+        codes = ", ".join(f"CASE WHEN `index_{f}` = {sizes[f]} THEN -1D ELSE `index_{f}` END AS `in_{f}`" for f in text)
+        stages += [model, SQLTransformer(statement=f"SELECT *, {codes} FROM __THIS__")]
+    return [*stages, VectorAssembler(inputCols=[f"in_{f}" for f in features], outputCol=INPUTS)]
 
 
 def apply_stages(df: DataFrame, stages: Sequence[Transformer]) -> DataFrame:

@@ -1,3 +1,4 @@
+import math
 import random
 import statistics
 
@@ -33,18 +34,17 @@ def check(row, want):
 
 
 @pytest.mark.parametrize("levels", [3, 25, 10_000])
-@pytest.mark.parametrize("per_bucket", [1_000_000, 11])
-def test_ranking_metrics_by_definition(spark, levels, per_bucket):
+def test_ranking_metrics_by_definition(spark, levels):
     rng = random.Random(levels)
     groups = {g: [(rng.randint(0, levels) / 7, int(rng.random() < 0.3)) for _ in range(80)] for g in ("a", "b")}
     # A third of the rows share one score.
     groups["a"] += [(0.5, i % 2) for i in range(60)]
     data = [(g, s, y) for g, rows in groups.items() for s, y in rows] + [("a", None, 1), ("b", 0.1, None)]
     df = spark.createDataFrame(data, "g STRING, s DOUBLE, y INT")
-    got = {r.g: r for r in op.ranking_metrics(df, "s", "y", ["g"], per_bucket).collect()}
+    got = {r.g: r for r in op.ranking_metrics(df, "s", "y", ["g"]).collect()}
     for g, rows in groups.items():
         check(got[g], brute(rows))
-    check(op.ranking_metrics(df, "s", "y", rows_per_bucket=per_bucket).first(), brute(groups["a"] + groups["b"]))
+    check(op.ranking_metrics(df, "s", "y").first(), brute(groups["a"] + groups["b"]))
 
 
 def test_one_class_only(spark):
@@ -54,22 +54,28 @@ def test_one_class_only(spark):
     assert (none.auc_pr, none.auc_roc, none.f1, none.threshold) == (0.0, None, 0.0, 0.2)
 
 
-def test_bucketed_curve_has_no_global_window(spark):
+def test_one_group_lies_in_several_tasks(spark):
     df = spark.range(0, 5000, 1, 4).select((F.col("id") * 37 % 1009).alias("s"), (F.col("id") % 3 == 0).cast("int").alias("y"))
-    curve = op.score_curve(df, "s", "y", rows_per_bucket=500)
-    last = curve.orderBy("score").first()
-    assert (last.cum_n, last.cum_pos) == (last.all_n, last.all_pos) == (5000, 1667)
-    assert curve.count() == 1009
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        curve = op.score_curve(df, "s", "y")
+        stretches = spark.read.parquet(*{f.rpartition("/")[0] for f in curve.inputFiles()})
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert stretches.select("part").distinct().count() > 1 and stretches.select("g").distinct().count() == 1
+    rows = curve.orderBy(F.col("score").desc()).collect()
+    assert len(rows) == 1009 and (rows[-1].cum_n, rows[-1].cum_pos) == (rows[-1].all_n, rows[-1].all_pos) == (5000, 1667)
+    assert all(a.cum_n + b.n == b.cum_n and a.cum_pos + b.pos == b.cum_pos for a, b in zip(rows, rows[1:]))
     plan = curve._jdf.queryExecution().executedPlan().toString()
-    assert "windowspecdefinition(bucket" in plan
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "SinglePartition" not in plan
 
 
 def test_group_may_be_null(spark):
     rows = [(None, 0.1 * i, i % 2) for i in range(9)] + [("a", 0.2 * i, i % 3 == 0) for i in range(9)]
     df = spark.createDataFrame([(g, float(s), int(y)) for g, s, y in rows], "g STRING, s DOUBLE, y INT")
     for per_bucket in (100, 4):
-        got = {r.g: r for r in op.ranking_metrics(df, "s", "y", ["g"], per_bucket).collect()}
+        got = {r.g: r for r in op.ranking_metrics(df, "s", "y", ["g"]).collect()}
         for g in (None, "a"):
             check(got[g], brute([(float(s), int(y)) for k, s, y in rows if k == g]))
 
@@ -105,18 +111,44 @@ def test_promotion(spark):
 
 
 @pytest.mark.parametrize("n", [1, 2, 999, 1000])
-@pytest.mark.parametrize("limit", [10_000, 5])
-def test_exact_medians(spark, n, limit):
+def test_exact_medians(spark, n):
     rng = random.Random(n)
     a = [rng.gauss(0, 100) for _ in range(n)]
     # More than a third of the rows hold one value.
     b = [7.25 if rng.random() < 0.4 else rng.random() * 20 for _ in range(n)]
     c = [rng.random() if rng.random() < 0.5 else None for _ in range(n)]
-    df = spark.createDataFrame(list(zip(a, b, c, strict=True)), "a DOUBLE, b DOUBLE, c DOUBLE").repartition(4)
-    got = op.exact_medians(df, ["a", "b", "c"], max_values=limit)
+    close = [1.0 + rng.randrange(3) * 2.0**-52 for _ in range(n)]  # differ in the last bits alone
+    df = spark.createDataFrame(list(zip(a, b, c, close, strict=True)), "a DOUBLE, b DOUBLE, `c.d` DOUBLE, close DOUBLE").repartition(4)
+    df = df.withColumns({"constant": F.lit(3), "none": F.lit(None).cast("double")})
+    got = op.exact_medians(df, df.columns)
     known = [v for v in c if v is not None]
-    want = [statistics.median(a), statistics.median(b), statistics.median(known) if known else None]
-    assert [got["a"], got["b"], got["c"]] == [pytest.approx(w) if w is not None else None for w in want]
+    want = [*map(statistics.median, (a, b)), statistics.median(known) if known else None, statistics.median(close), 3.0, None]
+    assert [got[name] for name in df.columns] == want
+
+
+def test_bits_are_in_the_order_of_the_doubles(spark):
+    import struct
+
+    from millrace.operators.quantiles import ordered_bits
+
+    rng = random.Random(0)
+    values = [0.0, -0.0, 1.0, -1.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, float("inf"), float("-inf")]
+    values += [2.0**k for k in range(-1074, 1024, 7)] + [math.nextafter(2.0**k, 0) for k in range(-1000, 1024, 7)]
+    values += [v for v in (struct.unpack(">d", rng.randbytes(8))[0] for _ in range(3000)) if v == v]
+    rows = spark.createDataFrame([(v,) for v in [*values, float("nan")]], "v DOUBLE").select("v", ordered_bits(F.col("v")).alias("b")).collect()
+    for r in rows[:-1]:
+        bits = struct.unpack(">q", struct.pack(">d", abs(r.v)))[0]
+        assert r.b == (-bits if r.v < 0 else bits), r.v
+    assert rows[-1].b > max(r.b for r in rows[:-1])
+
+
+def test_dictionary_of_many_values(spark):
+    df = spark.range(0, 120_000, 1, 6).select((F.col("id") % 50_000).alias("k"), F.format_string("v%05d", F.col("id") * 7919 % 50_000).alias("v"))
+    codes = op.category_table(df, "v")
+    want = codes.select(F.substring("value", 2, 5).cast("int").alias("want"), "code")
+    assert want.filter("want <> code").isEmpty() and codes.count() == 50_000
+    coded = op.ordinal_encode(df.withColumn("v", F.when(F.col("k") % 2 == 0, F.col("v"))), "v", "code", codes)
+    assert coded.filter("coalesce(cast(substring(v, 2, 5) AS INT), -1) <> code").isEmpty() and coded.count() == 120_000
 
 
 def test_median_of_nothing(spark):
@@ -135,9 +167,9 @@ def test_impute_encode_scale_weight(spark):
     values = op.impute_values(df, ["n"], ["t"])
     assert values == {"n": 2.0, "t": "x"}
     assert [(r.n, r.t) for r in op.impute(df, values).collect()][1] == (2.0, "x")
-    assert op.categories(df, "t") == ["x", "y"]
+    assert sorted(map(tuple, op.category_table(df, "t").collect())) == [("x", 0), ("y", 1)]
     codes = op.ordinal_encode(df, "t", "code", ["x"]).collect()
-    assert [r.code for r in codes] == [0, -1, -1, 0]
+    assert {r.n: r.code for r in codes} == {1.0: 0, None: -1, 4.0: -1, 2.0: 0}
     constant = spark.createDataFrame([(3.0,), (3.0,)], "n DOUBLE")
     assert [r.n for r in op.standardize(constant, ["n"]).collect()] == [0.0, 0.0]
     spread = [r.n for r in op.standardize(op.impute(df, values), ["n"]).collect()]

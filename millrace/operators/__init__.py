@@ -1,5 +1,13 @@
 from millrace.operators.asof import asof_join
-from millrace.operators.assembly import assemble, complete_ids, fan_out_report, overdue_incomplete, presence
+from millrace.operators.assembly import (
+    assemble,
+    assemble_tagged,
+    complete_ids,
+    complete_tagged,
+    fan_out_report,
+    overdue_incomplete,
+    presence,
+)
 from millrace.operators.keyed import dedup_latest, delete_matched, left_join_all, matched_count, upsert
 from millrace.operators.metrics import (
     average_precision,
@@ -26,6 +34,7 @@ from millrace.operators.preprocessing import (
 from millrace.operators.quality import (
     check_conservation,
     check_not_null,
+    check_split,
     check_subset,
     check_unique,
     rule_report,
@@ -44,6 +53,6 @@ from millrace.operators.training_set import (
     temporal_split,
     training_table,
 )
-from millrace.operators.windows import first_tick, late_report, late_rows, replay_windows, window_slice
+from millrace.operators.windows import first_tick, late_report, late_rows, replay_windows, window_slice, with_empty_ticks
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -117,6 +117,15 @@ def check_subset(df: DataFrame, reference: DataFrame, keys: Sequence[str]) -> Da
     )
 
 
+def check_split(df: DataFrame, rules: Mapping[str, str], null_policy: str = "fail") -> DataFrame:
+    """``check_conservation`` of a split by rules, in a single pass over the rows."""
+    _check_policy(null_policy)
+    holds = all_rules_hold(rules)
+    valid, rejected = F.coalesce(holds, F.lit(False)), ~F.coalesce(holds, F.lit(null_policy == "drop"))
+    counts = df.agg(F.count(F.lit(1)).alias("n_input"), F.count_if(valid).alias("n_valid"), F.count_if(rejected).alias("n_quarantined"))
+    return counts.withColumn("is_conserved", F.col("n_input") == F.col("n_valid") + F.col("n_quarantined"))
+
+
 def check_conservation(df: DataFrame, valid: DataFrame, quarantine: DataFrame) -> DataFrame:
     """One row: rows before the split, on either side of it, and whether none was lost or doubled."""
     parts = [("n_input", df), ("n_valid", valid), ("n_quarantined", quarantine)]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import business_columns
-from millrace.operators.keyed import left_join_all
+from millrace.operators.keyed import dedup_latest, left_join_all
 
 SPLITS = ("train", "val", "test")
 
@@ -28,6 +28,7 @@ def training_table(
     available: str = "label_available_date",
     observed: str = "snapshot_date",
     label_on: Sequence[str] | None = None,
+    latest: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Every base row with its side features and leakage-clean label; missing ones stay NULL.
 
@@ -35,10 +36,13 @@ def training_table(
     column, so a row of a repeat id gets no label of another of its dates. Where labels have no observation of their own
     they are joined by ``on`` and, if the base has one, kept only where they became known after it.
 
+    A repeat id of a side multiplies rows, unless ``latest`` names the column by which its latest row is taken.
+
     ``hidden`` are columns that neither sides nor labels contribute (audit columns, other ids and dates).
     """
     keys = list(on)
-    joined = [side.select(*keys, *business_columns(side, [*keys, *hidden])) for side in sides.values()]
+    single = {name: dedup_latest(side, keys, latest[name]) if latest and name in latest else side for name, side in sides.items()}
+    joined = [side.select(*keys, *business_columns(side, [*keys, *hidden])) for side in single.values()]
     if label_on is None:
         label_on = [*keys, observed] if observed in base.columns and observed in labels.columns else keys
     label_keys = list(label_on)

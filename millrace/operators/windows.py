@@ -43,8 +43,15 @@ def replay_windows(df: DataFrame, ts_col: str, start: datetime, width: timedelta
         .groupBy(F.floor((_micros(F.col(ts_col)) - origin - 1) / F.lit(span)).alias("tick"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    return with_empty_ticks(ticks, start, width)
+
+
+def with_empty_ticks(ticks: DataFrame, start: datetime, width: timedelta) -> DataFrame:
+    """(tick, window_start, window_end, n_rows) of counted ticks ``(tick, n)`` and of the empty ones between them."""
+    span = width // timedelta(microseconds=1)
+    origin = F.lit(to_micros(start))
     last = ticks.agg(F.max("tick")).first()[0]
-    every = df.sparkSession.range(0 if last is None else last + 1).withColumnRenamed("id", "tick")
+    every = ticks.sparkSession.range(0 if last is None else last + 1).withColumnRenamed("id", "tick")
 
     def edge(offset: int) -> Column:
         return F.timestamp_micros(origin + (F.col("tick") + offset) * span).cast("timestamp_ntz")

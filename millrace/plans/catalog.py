@@ -18,13 +18,14 @@ from pyspark.sql.types import StructType
 from millrace import operators as op
 from millrace.functions.columns import cast_columns, with_arrival, with_partitions
 from millrace.plans import model as ml
+from millrace.plans.gold import Assembly, reassemble
 from millrace.plans.ingest import ingest_tick
 from millrace.plans.silver import quarantined_rows, refine_source, valid_rows
 from millrace.plans.store import BY_MONTH, Store
 from millrace.session import scratch_path, tune, written
 from millrace.sources.landing import SourceSpec, read_landing, readable
 from millrace.sources.tables import ParquetTable
-from millrace.streaming.ingest import stream_ingest
+from millrace.streaming import BY_BATCH, BY_DAY, landing_stream, stream_by_lateness, stream_ingest, stream_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -266,6 +267,52 @@ def stream_ingest_events(spark, sf_dir):
     return as_events(bronze.read())
 
 
+def land_in_order(spark: SparkSession, rows: DataFrame, parts: list[str]) -> str:
+    """Rows as JSON lines, one file after the other for each of the conditions."""
+    path = scratch_path(spark, "landing-parts")
+    for k, when in enumerate(parts):
+        rows.filter(when).coalesce(1).write.json(f"{path}/{k}")
+    return path
+
+
+def chunk_of(days: str) -> str:
+    return f"least(3, floor(({days} - 1) / 8))"
+
+
+@query("stream_windows", ORACLES["ingest_replay_windows"])
+def stream_windows_of_events(spark, sf_dir):
+    """The windows of the replay from a stream whose files come one by one, the latest first."""
+    rows = event_texts(spark, sf_dir)
+    path = land_in_order(spark, rows, [f"{chunk_of('dayofmonth(CAST(ts AS DATE))')} = {k}" for k in (3, 2, 1, 0)])
+    windows = ParquetTable(spark, scratch_path(spark, "windows"), BY_DAY)
+    stream = landing_stream(spark, events_feed("json"), path, max_files=1)
+    start, width = datetime(2024, 1, 1), timedelta(minutes=5)
+    stream_windows(stream, "ts", start, width, "60 days", windows, scratch_path(spark, "stream-state")).awaitTermination()
+    return op.with_empty_ticks(windows.read().select("tick", "n"), start, width)
+
+
+@query(
+    "stream_late_rows",
+    f"""
+    WITH e AS (SELECT event_id, ts, list_extract([2, 1, 4, 3], CAST({chunk_of('day(ts)')} AS INTEGER) + 1) AS came FROM events),
+    w AS (SELECT came, max(max(ts)) OVER (ORDER BY came ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 10 DAY AS mark
+          FROM e GROUP BY came)
+    SELECT event_id, coalesce(ts <= mark, FALSE) AS is_late FROM e JOIN w USING (came)
+    """,
+)
+def stream_late_rows(spark, sf_dir):
+    """A stream whose files come out of order: rows ten days or more behind what has been seen are late, none is lost."""
+    rows = event_texts(spark, sf_dir)
+    path = land_in_order(spark, rows, [f"{chunk_of('dayofmonth(CAST(ts AS DATE))')} = {k}" for k in (1, 0, 3, 2)])
+    on_time, late, marks = (ParquetTable(spark, scratch_path(spark, name), BY_BATCH) for name in ("on-time", "late", "marks"))
+    stream = landing_stream(spark, events_feed("json"), path, max_files=1)
+    state = scratch_path(spark, "stream-state")
+    stream_by_lateness(stream, "ts", timedelta(days=10), on_time, late, marks, state).awaitTermination()
+    number = F.col("event_id").cast("long").alias("event_id")
+    kept = on_time.read().select(number, F.lit(False).alias("is_late"))
+    return kept.unionByName(late.read_or_empty(on_time.read().schema).select(number, F.lit(True).alias("is_late")))
+
+
 # -- keyed operators ---------------------------------------------------------------------------------------------------
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
@@ -526,8 +573,7 @@ def subset_check(spark, sf_dir):
     """,
 )
 def split_conservation(spark, sf_dir):
-    rows = ordered_lines(spark, sf_dir)
-    return op.check_conservation(rows, *op.split_by_rules(rows, LINE_RULES))
+    return op.check_split(ordered_lines(spark, sf_dir), LINE_RULES)
 
 
 EVENT_RULES = {
@@ -656,14 +702,40 @@ def complete_entities(spark, sf_dir):
     """,
 )
 def assemble_incremental(spark, sf_dir):
+    """All sources are one table: it is read once for the rows, and once for those that were complete before."""
     events = entity_events(spark, sf_dir)
     before = events.filter(F.col("event_date") < F.lit(WATERMARK.date()))
-    already = op.complete_ids(source_rows(before, ("signup", *SIDES)), ENTITY)
-    sides = {kind: side_features(events, kind) for kind in SIDES}
-    rows = op.assemble(signups(events), sides, ENTITY, already=already)
+    already = op.complete_tagged(before, ENTITY, "event_type", ("signup", *SIDES))
+    sources = {"signup": {"n_signups": (F.count, "event_type")}, **{k: {f"{k}_value": (F.sum, "value")} for k in SIDES}}
+    rows = op.assemble_tagged(events, ENTITY, "event_type", sources, already)
     return rows.select(*ENTITY, "n_signups", *[rounded(f"{k}_value", 4).alias(f"{k}_value") for k in SIDES])
 
 
+@query(
+    "assemble_sources",
+    f"""
+    WITH {ENTITY_SQL}, r AS (
+        SELECT *, row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS k FROM events)
+    SELECT user_id, event_date, max(CASE WHEN event_type = 'signup' THEN event_id END) AS signup_event,
+           max(CASE WHEN event_type = 'click' THEN event_id END) AS click_event,
+           max(CASE WHEN event_type = 'view' THEN event_id END) AS view_event,
+           max(CASE WHEN event_type = 'purchase' THEN event_id END) AS purchase_event
+    FROM (SELECT *, CAST(ts AS DATE) AS event_date FROM r WHERE k = 1) JOIN p USING (user_id, event_date)
+    WHERE has_signup AND has_click AND has_view AND has_purchase GROUP BY user_id, event_date
+    """,
+)
+def assemble_sources(spark, sf_dir):
+    """Separate sources, of each the latest row of an entity."""
+    events = table(spark, sf_dir, "events").withColumn("event_date", F.to_date("ts"))
+
+    def source(kind: str) -> DataFrame:
+        return of_type(events, kind).select(*ENTITY, F.col("ts").alias(f"{kind}_ts"), F.col("event_id").alias(f"{kind}_event"))
+
+    latest = {"_base": "signup_ts", **{kind: f"{kind}_ts" for kind in SIDES}}
+    rows = op.assemble(source("signup"), {kind: source(kind) for kind in SIDES}, ENTITY, latest=latest)
+    return rows.select(*ENTITY, *[f"{kind}_event" for kind in ("signup", *SIDES)])
+
+
 OVERDUE_SQL = f"""
     WITH {ENTITY_SQL}, b AS (SELECT user_id, event_date, count(*) AS n_signups FROM e WHERE event_type = 'signup'
                              GROUP BY user_id, event_date)
@@ -714,6 +786,34 @@ def rescued_count(spark, sf_dir):
     return op.matched_count(waiting, complete, ENTITY)
 
 
+@query(
+    "reassemble_ticks",
+    f"""
+    WITH {ENTITY_SQL},
+    f AS (SELECT user_id, event_date, 1 AS tick, has_click, has_view, has_purchase FROM p WHERE has_signup AND event_date < DATE '2024-01-10'
+          UNION ALL SELECT user_id, event_date, 2, has_click, has_view, has_purchase FROM p WHERE has_signup),
+    o AS (SELECT *, has_click AND has_view AND has_purchase AS whole,
+                 event_date <= max(event_date) OVER (PARTITION BY tick) - 3 AS overdue FROM f)
+    SELECT user_id, event_date, CASE WHEN whole THEN 'assembled' ELSE 'waiting' END AS state, min(tick) AS since,
+           min(CASE WHEN whole THEN NULL ELSE (NOT has_click) END) AS missing_click,
+           min(CASE WHEN whole THEN NULL ELSE (NOT has_view) END) AS missing_view,
+           min(CASE WHEN whole THEN NULL ELSE (NOT has_purchase) END) AS missing_purchase
+    FROM o WHERE whole OR overdue GROUP BY user_id, event_date, whole
+    """,
+)
+def reassemble_ticks(spark, sf_dir):
+    """Two ticks of assembly and waiting room: the first before a day, the second over everything."""
+    store, plan = Store(spark, scratch_path(spark, "reassembled")), Assembly(ENTITY, "arrived")
+    events = entity_events(spark, sf_dir)
+    for tick, now in enumerate((WATERMARK, datetime(2030, 1, 1)), 1):
+        seen = events.filter(F.col("event_date") < F.lit(now.date()))
+        base = signups(seen).withColumns({"arrived": F.col("event_date"), "since": F.lit(tick)})
+        reassemble(store, base, {kind: side_features(seen, kind) for kind in SIDES}, plan, 3, now)
+    missing = [f"missing_{kind}" for kind in SIDES]
+    done = store.gold("assembled").read().select(*ENTITY, F.lit("assembled").alias("state"), "since", *[F.lit(None).cast("boolean").alias(m) for m in missing])
+    return done.unionByName(store.gold("inference_quarantine").read().select(*ENTITY, F.lit("waiting").alias("state"), "since", *missing))
+
+
 @query(
     "fan_out_report",
     """
@@ -810,10 +910,8 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("training_table", TRAINING_SQL)
 def training_table(spark, sf_dir):
     sides, labels = customer_sides(spark, sf_dir)
-    # Already filtered before the aggregate, so there is no observation column left to compare with.
-    return op.training_table(
-        customers(spark, sf_dir), sides, labels, ["c_custkey"], ["session_date"], available="label_available_date"
-    )
+    # Labels were filtered before the aggregate; they have no observation column to compare with.
+    return op.training_table(customers(spark, sf_dir), sides, labels, ["c_custkey"], ["session_date"], available="available")
 
 
 @query(
@@ -1178,6 +1276,24 @@ def logreg_scores(spark, sf_dir):
     return scored.select("doc_id", F.round(vector_to_array("probability")[1], 4).alias("prob"))
 
 
+@query(
+    "logreg_group_rate",
+    """
+    WITH r AS (SELECT CASE WHEN n_chars >= 1000 THEN 1 ELSE 0 END AS is_long, quality FROM documents JOIN labels USING (doc_id)
+               WHERE quality IS NOT NULL),
+    w AS (SELECT *, count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY quality)) AS weight FROM r)
+    SELECT is_long, count(*) AS n, round(sum(weight * quality) / sum(weight), 3) AS prob FROM w GROUP BY is_long
+    """,
+)
+def logreg_group_rate(spark, sf_dir):
+    """With one feature of 0 and 1 and next to no penalty, the balanced classifier gives the weighted rate of each group."""
+    rows = op.labeled_only(labeled_documents(spark, sf_dir), "quality")
+    rows = rows.select((F.col("n_chars") >= 1000).cast("int").alias("is_long"), F.col("quality").cast("double").alias("quality"))
+    model = ml.fit_final(rows, ["is_long"], "quality", 1e6, "l2")
+    scored = model.transform(rows).select("is_long", F.round(vector_to_array("probability")[1], 3).alias("prob"))
+    return scored.groupBy("is_long", "prob").agg(F.count(F.lit(1)).alias("n")).select("is_long", "n", "prob")
+
+
 def order_task() -> ml.ModelTask:
     return ml.ModelTask(
         entity=("o_orderkey",), date="o_orderdate", label="done", hidden=("o_orderkey", "o_orderdate", "done"),
@@ -1199,8 +1315,7 @@ def order_store(spark: SparkSession, sf_dir: str) -> Store:
     return store
 
 
-@query("grid_search")
-def grid_search(spark, sf_dir):
+def searched_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size, prevalence and metrics of every grid point on the training and validation split."""
     labeled = op.labeled_only(order_rows(spark, sf_dir), "done")
     features = order_task().features(labeled)
@@ -1218,11 +1333,68 @@ def grid_search(spark, sf_dir):
     return spark.createDataFrame(rows, schema)
 
 
+@query("grid_search")
+def grid_search(spark, sf_dir):
+    return searched_grid(spark, sf_dir)
+
+
+GRID_VALUES = ", ".join(f"({i}, CAST({strength} AS DOUBLE), '{penalty}')" for i, (strength, penalty) in enumerate(ml.GRID))
+
+
+@query(
+    "grid_search_check",
+    f"""
+    {SPLIT_SQL}
+    SELECT CAST(point AS INTEGER) AS point, strength, penalty, split, count(*) AS n, round(avg(done), 6) AS prevalence, TRUE AS is_sound
+    FROM t, (VALUES {GRID_VALUES}) g(point, strength, penalty) WHERE split <> 'test' GROUP BY ALL
+    """,
+)
+def grid_search_check(spark, sf_dir):
+    """Every grid point is judged on the whole splits, and its metrics lie where they must.
+
+    The cut with the best F1 is at least as good as calling everything positive.
+    """
+    all_positive = 2 * F.col("prevalence") / (1 + F.col("prevalence"))
+    within = F.col("auc_pr").between(0, 1) & F.col("auc_roc").between(0, 1)
+    sound = within & ((F.col("split") != "val") | (F.col("f1") >= all_positive - 1e-6))
+    rows = searched_grid(spark, sf_dir).withColumn("is_sound", sound)
+    return rows.select("point", "strength", "penalty", "split", "n", rounded("prevalence").alias("prevalence"), "is_sound")
+
+
 @query("champion_scoring")
 def champion_scoring(spark, sf_dir):
     """Train, promote, and score all assembled orders with the champion."""
+    return scored_orders(spark, sf_dir).gold("predictions").read().drop("scored_at")
+
+
+def scored_orders(spark: SparkSession, sf_dir: str) -> Store:
     store = order_store(spark, sf_dir)
     ml.train(store, order_task(), grid=((0.1, "l2"),), gates=(0.0, 0.0))
     store.gold("assembled").overwrite(store.gold("training").read().drop("done"))
     ml.score_new(store, order_task())
-    return store.gold("predictions").read().drop("scored_at")
+    return store
+
+
+@query(
+    "champion_scoring_check",
+    """
+    SELECT count(*) AS n, count(DISTINCT o_orderkey) AS n_entities, CAST(0 AS BIGINT) AS n_out_of_range, CAST(0 AS BIGINT) AS n_misjudged,
+           CAST(1 AS BIGINT) AS n_versions, CAST(0 AS BIGINT) AS n_scored_again, TRUE AS ranks_better_than_chance FROM orders
+    """,
+)
+def champion_scoring_check(spark, sf_dir):
+    """What must hold of scored orders: each once, by one version, the class by the threshold, and none a second time."""
+    store = scored_orders(spark, sf_dir)
+    again, _ = ml.score_new(store, order_task())
+    rows = store.gold("predictions").read()
+    prob, pred, cut = F.col("frailty_prob"), F.col("frailty_pred"), F.col("threshold")
+    # The class is decided before the probability is rounded to four digits.
+    misjudged = (pred != (prob >= cut).cast("int")) & (F.abs(prob - cut) > 5e-5)
+    done = store.gold("training").read().select("o_orderkey", "done")
+    auc = op.roc_auc(rows.join(done, "o_orderkey"), "frailty_prob", "done").select("auc_roc").scalar()
+    return rows.agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("o_orderkey").alias("n_entities"),
+        F.count_if(~prob.between(0, 1)).alias("n_out_of_range"), F.count_if(misjudged).alias("n_misjudged"),
+        F.count_distinct("champion_version").alias("n_versions"),
+        F.lit(0 if again == "SKIPPED" else 1).cast("long").alias("n_scored_again"),
+    ).withColumn("ranks_better_than_chance", auc > 0.5)

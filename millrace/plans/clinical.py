@@ -12,6 +12,7 @@ ENTITY = "patient_id"
 OBSERVED = "snapshot_date"
 AVAILABLE = "label_available_date"
 LABEL = "frailty_label"
+PROBABILITY, PREDICTION = "frailty_prob", "frailty_pred"
 ARRIVAL = "sim_arrival_date"
 WAIT_DAYS = 3
 

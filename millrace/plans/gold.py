@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -80,35 +81,46 @@ def _sides(store: Store) -> dict[str, DataFrame]:
     }
 
 
-def reassemble_tick(store: Store, wait_days: int = c.WAIT_DAYS, now: datetime | None = None) -> ReassemblyResult:
+@dataclass(frozen=True)
+class Assembly:
+    """How entities are put together: their id, the arrival date of the base, and the tables that hold the results."""
+
+    on: Sequence[str]
+    arrival: str
+    hidden: Iterable[str] = ()
+    assembled: str = "assembled"
+    waiting: str = "inference_quarantine"
+    latest: Mapping[str, str] | None = None
+
+
+CLINICAL_ASSEMBLY = Assembly([c.ENTITY], c.ARRIVAL, frozenset(c.SIDE_HIDDEN))
+
+
+def reassemble(
+    store: Store, base: DataFrame, sides: Mapping[str, DataFrame], plan: Assembly, wait_days: int, now: datetime | None = None
+) -> ReassemblyResult:
     """Assemble newly complete entities, release complete ones from quarantine, quarantine overdue ones.
 
     Presence per entity is worked out once and used by all three steps.
     """
-    on = [c.ENTITY]
-    try:
-        base = valid_rows(store, c.CLINICAL.name)
-    except TableMissing:
-        return ReassemblyResult(SKIPPED)
-    sides = _sides(store)
-    assembled, waiting = store.gold("assembled"), store.gold("inference_quarantine")
-
-    flags = presence({"_base": base, **sides}, on, {"_base": c.ARRIVAL})
+    on = list(plan.on)
+    assembled, waiting = store.gold(plan.assembled), store.gold(plan.waiting)
+    flags = presence({"_base": base, **sides}, on, {"_base": plan.arrival})
     with written(flags, "presence") as known:
         complete = known.filter(reduce(and_, [F.col(f"has_{name}") for name in ("_base", *sides)])).select(*on)
         fresh = anti_join(complete, assembled.read(), on) if assembled.exists() else complete
         n_fresh = fresh.count()
         if n_fresh:
-            assembled.append(assemble(base, sides, on, c.SIDE_HIDDEN, now=now, ids=fresh))
+            assembled.append(assemble(base, sides, on, plan.hidden, now=now, ids=fresh, latest=plan.latest))
 
-        rescued = 0
+        rescued, already = 0, None
         if waiting.exists():
             rescued = matched_count(waiting.read(), complete, on).first()["n"]
             if rescued:
                 waiting.delete(complete, on)
+            already = waiting.read().select(*on)
 
-        already = waiting.read().select(*on) if waiting.exists() else None
-        overdue = overdue_incomplete(base, sides, on, c.ARRIVAL, wait_days, already, now=now, flags=known)
+        overdue = overdue_incomplete(base, sides, on, plan.arrival, wait_days, already, now=now, flags=known)
         with written(overdue, "overdue") as rows:
             n_overdue = rows.count()
             if n_overdue:
@@ -116,6 +128,15 @@ def reassemble_tick(store: Store, wait_days: int = c.WAIT_DAYS, now: datetime |
     return ReassemblyResult(WRITTEN, n_fresh, rescued, n_overdue)
 
 
+def reassemble_tick(store: Store, wait_days: int = c.WAIT_DAYS, now: datetime | None = None) -> ReassemblyResult:
+    """``reassemble`` over the silver tables of the use case."""
+    try:
+        base = valid_rows(store, c.CLINICAL.name)
+    except TableMissing:
+        return ReassemblyResult(SKIPPED)
+    return reassemble(store, base, _sides(store), CLINICAL_ASSEMBLY, wait_days, now)
+
+
 def build_training(store: Store) -> str:
     """Rebuild the training table."""
     try:

@@ -20,10 +20,10 @@ from pyspark.util import inheritable_thread_target
 from millrace.functions.columns import feature_columns
 from millrace.functions.joins import anti_join
 from millrace.functions.times import processing_time
-from millrace.operators.metrics import classification_metrics, prediction_summary, ranking_metrics
+from millrace.operators.metrics import classification_metrics, prediction_summary, promotion_decisions, ranking_metrics
 from millrace.operators.preprocessing import impute, modes, scale_values
 from millrace.operators.quantiles import exact_medians
-from millrace.operators.training_set import cutoff_dates, label_coverage, labeled_only, split_column
+from millrace.operators.training_set import SPLITS, cutoff_dates, label_coverage, labeled_only, split_column
 from millrace.plans import clinical as c
 from millrace.plans.registry import CHALLENGER, CHAMPION, REJECTED, RETIRED, Registry
 from millrace.plans.silver import SKIPPED, WRITTEN
@@ -57,6 +57,9 @@ class ModelTask:
     label: str = c.LABEL
     hidden: Iterable[str] = c.NOT_FEATURES
     forbidden: Iterable[str] = c.FORBIDDEN
+    # Output columns of the predictions.
+    prob: str = c.PROBABILITY
+    pred: str = c.PREDICTION
 
     def features(self, df: DataFrame) -> list[str]:
         return feature_columns(df, self.hidden, self.forbidden)
@@ -206,10 +209,6 @@ def evaluate(df: DataFrame, prob: str, label: str, threshold: float) -> dict[str
     return _metrics(ranked, at_cut, threshold)
 
 
-def passes_gates(metrics: dict, min_auc_pr: float = MIN_AUC_PR, min_auc_roc: float = MIN_AUC_ROC) -> bool:
-    return (metrics["auc_pr"] or 0.0) >= min_auc_pr and (metrics["auc_roc"] or 0.0) >= min_auc_roc
-
-
 @dataclass
 class TrainingResult:
     status: str
@@ -249,7 +248,10 @@ def train(
         return TrainingResult(SKIPPED)
     splits = labeled.select(*features, label, split_column(task.date, train_end, val_end).alias(SPLIT))
     splits = splits.filter(F.col(SPLIT).isNotNull())
+    sizes = {r[SPLIT]: r["count"] for r in splits.groupBy(SPLIT).count().collect()}
     lineage = {
+        **{f"n_{name}": sizes.get(name, 0) for name in SPLITS},
+        "selection_metric": "val_auc_pr",
         "train_end": train_end,
         "val_end": val_end,
         "table_version": table.modified(),
@@ -297,15 +299,15 @@ def train(
         return TrainingResult(WRITTEN, decision, champion, challenger, metrics, points)
 
     current = registry.version_of(CHAMPION)
-    if not passes_gates(metrics, *gates):
-        registry.set_alias(REJECTED, challenger)
-        return finish("rejected_gate", current)
+    in_office = None
     if current is not None:
         held_out = registry.load(current).transform(splits.filter(F.col(SPLIT) == "test"))
-        champion_rows = held_out.select(label, vector_to_array("probability")[1].alias("prob"))
-        if metrics["auc_pr"] <= ranking_metrics(champion_rows, "prob", label).first()["auc_pr"]:
-            registry.set_alias(REJECTED, challenger)
-            return finish("rejected_champion", current)
+        in_office = ranking_metrics(held_out.select(label, vector_to_array("probability")[1].alias("prob")), "prob", label)
+    measured = store.spark.createDataFrame([(metrics["auc_pr"], metrics["auc_roc"])], "auc_pr DOUBLE, auc_roc DOUBLE")
+    decision = promotion_decisions(measured, in_office, *gates).first()["decision"]
+    if decision != "champion":
+        registry.set_alias(REJECTED, challenger)
+        return finish(decision, current)
 
     model = fit_final(splits, features, label, best.strength, best.penalty)
     champion = registry.register(model, ids[best.index], {**chosen, "threshold": best.threshold}, CHAMPION)
@@ -336,13 +338,19 @@ def train_if_due(store: Store, threshold: int = RETRAIN_AFTER, task: ModelTask |
 
 
 def predictions(
-    scored: DataFrame, entity: Sequence[str], prob: Column, threshold: float, version: int, now: datetime | None = None
+    scored: DataFrame,
+    entity: Sequence[str],
+    prob: Column,
+    threshold: float,
+    version: int,
+    now: datetime | None = None,
+    names: tuple[str, str] = (c.PROBABILITY, c.PREDICTION),
 ) -> DataFrame:
     """Prediction rows; the class is decided on the unrounded probability."""
     return scored.select(
         *entity,
-        F.round(prob, 4).alias("frailty_prob"),
-        (prob >= F.lit(threshold)).cast("int").alias("frailty_pred"),
+        F.round(prob, 4).alias(names[0]),
+        (prob >= F.lit(threshold)).cast("int").alias(names[1]),
         F.lit(threshold).cast("double").alias("threshold"),
         F.lit(version).alias("champion_version"),
         processing_time(now).alias("scored_at"),
@@ -371,8 +379,9 @@ def score_new(
         rows = anti_join(rows, target.read(), list(task.entity), unique=True)
     scored = registry.load(version).transform(rows.select(*task.entity, *features))
     prob = vector_to_array("probability")[1]
-    with written(predictions(scored, task.entity, prob, threshold, version, now), "predictions") as new:
-        summary = prediction_summary(new, "frailty_prob", "frailty_pred").first().asDict()
+    names = (task.prob, task.pred)
+    with written(predictions(scored, task.entity, prob, threshold, version, now, names), "predictions") as new:
+        summary = prediction_summary(new, *names).first().asDict()
         if summary["n"] == 0:
             return SKIPPED, summary
         target.append(new)

@@ -110,6 +110,10 @@ class ParquetTable:
         """Replace content and schema; ``df`` must not read this table."""
         self._write(df, "overwrite", partitionOverwriteMode="static")
 
+    def overwrite_partitions(self, df: DataFrame) -> None:
+        """Replace the partitions that ``df`` has rows of; ``df`` must not read this table."""
+        self._write(df, "overwrite", partitionOverwriteMode="dynamic")
+
     def append(self, df: DataFrame) -> None:
         """Add rows; columns that are new read as NULL from older rows, a changed type is an error."""
         try:

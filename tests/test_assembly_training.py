@@ -1,6 +1,7 @@
 from datetime import date, datetime, timedelta
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from millrace import operators as op
 
@@ -44,15 +45,43 @@ def test_complete_and_assemble(spark):
     base, sides = waiting_room(spark)
     assert sorted(r.pid for r in op.complete_ids({"base": base, **sides}, ["pid"]).collect()) == ["a", "d"]
     rows = op.assemble(base, sides, ["pid"]).drop("assembly_timestamp").collect()
-    assert sorted(tuple(r) for r in rows) == [
+    assert sorted(tuple(r) for r in rows) == [("a", date(2024, 1, 1), 1, 1), ("d", date(2024, 1, 10), 5, 3)]
+    every = op.assemble(base, sides, ["pid"], combinations=True).drop("assembly_timestamp").collect()
+    assert sorted(tuple(r) for r in every) == [
         ("a", date(2024, 1, 1), 1, 1),
         ("d", date(2024, 1, 10), 4, 3),
         ("d", date(2024, 1, 10), 5, 3),
     ]
+    timed = {"x": sides["x"].withColumn("at", -F.col("x")), "y": sides["y"]}
+    first = op.assemble(base, timed, ["pid"], ["at"], latest={"x": "x"}).drop("assembly_timestamp")
+    assert sorted(tuple(r) for r in first.collect()) == sorted(tuple(r) for r in rows)
+    earliest = op.assemble(base, timed, ["pid"], latest={"x": "at"})
+    assert {r.pid: r.x for r in earliest.collect()} == {"a": 1, "d": 4}
+    bare = op.assemble(base.select("pid"), {"x": sides["x"].select("pid")}, ["pid"])
+    assert sorted(r.pid for r in bare.collect()) == ["a", "b", "d"]
     already = frame(spark, [("a",)], "pid STRING")
     assert {r.pid for r in op.assemble(base, sides, ["pid"], already=already).collect()} == {"d"}
 
 
+def test_assembly_is_one_shuffle_and_one_scan_of_each_input(spark, tmp_path):
+    base, sides = waiting_room(spark)
+    for name, df in {"base": base, **sides}.items():
+        df.write.parquet(str(tmp_path / name))
+    read = {name: spark.read.parquet(str(tmp_path / name)) for name in ("base", *sides)}
+    plan = op.assemble(read["base"], {k: read[k] for k in sides}, ["pid"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("FileScan") == 3 and "Join" not in plan
+
+
+def test_assembly_of_one_tagged_table(spark):
+    rows = [("a", "x", 1), ("a", "x", 2), ("a", "y", 5), ("b", "x", 3), ("c", "y", 4), (None, "x", 1), (None, "y", 1), ("a", "z", 9), ("d", "x", None), ("d", "y", 1)]
+    df = frame(spark, rows, "k STRING, kind STRING, v INT")
+    sources = {"x": {"sum_x": (F.sum, "v"), "n_x": (F.count, "kind")}, "y": {"max_y": (F.max, "v")}}
+    got = op.assemble_tagged(df, ["k"], "kind", sources).drop("assembly_timestamp")
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 3, 2, 5), ("d", None, 1, 1)]
+    done = op.complete_tagged(df.filter("k = 'a'"), ["k"], "kind", ["x", "y"])
+    assert [r.k for r in op.assemble_tagged(df, ["k"], "kind", sources, done).collect()] == ["d"]
+
+
 def test_presence_is_one_shuffle(spark):
     base, sides = waiting_room(spark)
     plan = op.complete_ids({"base": base, **sides}, ["pid"])._jdf.queryExecution().executedPlan().toString()
@@ -103,6 +132,8 @@ def test_repeat_ids_multiply(spark):
     side = frame(spark, [("a", 1), ("a", 2)], "pid STRING, x INT")
     labels = frame(spark, [], "pid STRING, snapshot_date DATE, label_available_date DATE, y INT")
     assert op.training_table(base, {"s": side}, labels, ["pid"]).count() == 4
+    single = op.training_table(base, {"s": side}, labels, ["pid"], latest={"s": "x"})
+    assert [r.x for r in single.collect()] == [2, 2]
 
 
 def test_repeat_ids_get_no_label_of_another_date(spark):

@@ -4,20 +4,22 @@ Document frequencies are counted over all texts. A term is in the lexicon if the
 ``BAND``; as shares add up to the mean number of distinct terms, there are at most mean / ``BAND[0]`` such terms, however
 many texts there are, so the counted lexicon is small enough to be broadcast (it is joined by shuffle where it is not).
 Every subset takes a term by a hash of term and subset, at one of a few rates, so texts of all lengths have subsets in
-which they hold a handful of terms. A fingerprint has one part per subset: a hash of the text's sorted distinct terms in
-it, or ``-`` where it has none. The likeness of two fingerprints is the share of equal parts among those that either has;
-equal fingerprints have likeness 1.
+which they hold a handful of terms. A fingerprint has a part for every subset in which the text has a term: the number of
+the subset and a hash of the text's sorted distinct terms in it. The likeness of two fingerprints is the share of equal
+parts among those that either has; equal fingerprints have likeness 1.
+
+Terms meet the lexicon as (term, subset) pairs, so a text has one row for each of its terms in a subset; these are hashed
+by text and subset, and their hashes gathered by text. Texts are shuffled once, where they meet their edits, and every
+later step finds them dealt by their key.
 
 DataFrame functions only. Cases: a NULL text is an empty one; a text without any lexicon term in a subset has a hash of
-all its terms as its first part, so short texts differ; texts that repeat under one id are one document, and each row of
+all its terms as its only part, so short texts differ; texts that repeat under one id are one document, and each row of
 it gets the same result; NULL ids come first in the order; the next of a single document is itself; an empty table gives
 an empty table; only the columns named are read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,8 +28,10 @@ from millrace.llm.common import checkpointed, small, stored
 BAND = (0.005, 0.2)
 # One over the share of the lexicon that a subset takes.
 RATES = (16,) * 12 + (96,) * 20 + (512,) * 16
-HEX_DIGITS = 6
-ABSENT = "-"
+# Bits of a part that hold the hash; the number of the subset stands above them.
+HASH_BITS = 40
+# Subset of the row that every text has, and the number of the part of a text that has no other.
+EVERY, ALONE = -1, 63
 
 
 def words_of(text: Column) -> Column:
@@ -47,63 +51,59 @@ def document_frequencies(texts: DataFrame, text_col: str) -> DataFrame:
 
 
 def lexicon(texts: DataFrame, text_col: str, rows: int, band: tuple[float, float] = BAND, rates: tuple[int, ...] = RATES) -> DataFrame:
-    """``(term, subsets)``: the terms within the band that are in a subset, with their subsets as bits."""
+    """``(term, subset)``: the terms within the band with each subset that they are in."""
     low, high = band[0] * rows, band[1] * rows
     kept = document_frequencies(texts, text_col).filter((F.col("df") >= low) & (F.col("df") <= high))
-    bits = [F.when(F.pmod(F.xxhash64("term", F.lit(r)), F.lit(rate)) == 0, F.lit(1 << r)).otherwise(F.lit(0)) for r, rate in enumerate(rates)]
-    subsets = bits[0]
-    for bit in bits[1:]:
-        subsets = subsets.bitwiseOR(bit)
-    return kept.select("term", subsets.alias("subsets")).filter("subsets <> 0")
-
-
-def _with(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)``, with the value computed once however often it is used."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
+    taken = [F.when(F.pmod(F.xxhash64("term", F.lit(r)), F.lit(rate)) == 0, F.lit(r)) for r, rate in enumerate(rates)]
+    return kept.select("term", F.explode(F.array_compact(F.array(*taken))).alias("subset"))
 
-def parts_of(held: Column, whole: Column, rates: tuple[int, ...] = RATES) -> Column:
-    """The fingerprint's parts: ``held`` are the sorted distinct (term, subsets) of a text, ``whole`` a hash of all."""
 
-    def digits(value: Column) -> Column:
-        return F.lower(F.lpad(F.hex(value.bitwiseAND(F.lit((1 << 4 * HEX_DIGITS) - 1))), HEX_DIGITS, "0"))
-
-    def part(entries: Column, bit: Column) -> Column:
-        own = F.transform(F.filter(entries, lambda x: x["subsets"].bitwiseAND(bit) != 0), lambda x: x["term"])
-        return _with(own, lambda terms: F.when(F.size(terms) > 0, digits(F.xxhash64(terms))).otherwise(F.lit(ABSENT)))
-
-    bits = F.array(*[F.lit(1 << r) for r in range(len(rates))])
-    alone = F.concat(F.array(digits(whole)), F.array_repeat(F.lit(ABSENT), len(rates) - 1))
-    return _with(held, lambda entries: F.when(F.size(entries) > 0, F.transform(bits, lambda bit: part(entries, bit))).otherwise(alone))
+def part_of(number: Column, value: Column) -> Column:
+    """A part of a fingerprint as one number."""
+    return F.shiftleft(number.cast("long"), HASH_BITS).bitwiseOR(value.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal parts among those that either fingerprint has."""
-    both = F.arrays_zip(a.alias("a"), b.alias("b"))
-    has = F.size(F.filter(both, lambda x: (x["a"] != ABSENT) | (x["b"] != ABSENT)))
-    equal = F.size(F.filter(both, lambda x: (x["a"] != ABSENT) & (x["a"] == x["b"])))
-    return F.when(a == b, F.lit(1.0)).otherwise(equal / has)
+    numbers = lambda parts: F.transform(parts, lambda p: F.shiftright(p, HASH_BITS))
+    either = F.size(F.array_union(numbers(a), numbers(b)))
+    return F.when(a == b, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / either)
 
 
-def fingerprints(texts: DataFrame, key: list[str], text_col: str, known: DataFrame, rates: tuple[int, ...] = RATES) -> DataFrame:
-    """``key`` columns and ``parts`` for every distinct key; rows of one key must have the same text.
+def fingerprints(texts: DataFrame, key: list[str], text_col: str, known: DataFrame, note: str | None = None) -> DataFrame:
+    """``key`` columns, ``parts`` (sorted) and the column ``note`` for every distinct key; rows of one key must have the
+    same text.
 
-    Where ``texts`` are partitioned by a part of the key, no row is shuffled.
+    ``known`` is the lexicon ``with_marker``. Where ``texts`` are partitioned by a part of the key, no row is shuffled.
     """
-    terms = texts.select(*key, terms_of(F.col(text_col)).alias("terms"))
-    # What is computed once per text comes before the explode. The empty word stands for the text itself, so texts
-    # without a lexicon term are kept.
-    whole = F.xxhash64(F.array_sort("terms")).alias("whole")
-    marked = terms.select(*key, whole, F.array_append("terms", F.xxhash64(F.lit(""))).alias("terms"))
-    found = marked.select(*key, "whole", F.explode_outer("terms").alias("term")).join(known, "term")
-    entry = F.when(F.col("subsets") != 0, F.struct("term", "subsets"))
-    grouped = found.groupBy(*key).agg(F.first("whole").alias("whole"), F.array_sort(F.collect_set(entry)).alias("held"))
-    return grouped.select(*key, parts_of(F.col("held"), F.col("whole"), rates).alias("parts"))
+    noted = [F.col(note)] if note else []
+    terms = texts.select(*key, *noted, terms_of(F.col(text_col)).alias("terms"))
+    # What is computed once per text comes before the explode. The empty word comes first and stands for the text itself:
+    # its row alone takes along what is known of the whole text.
+    marked = terms.select(*key, *noted, F.xxhash64(F.sort_array("terms")).alias("whole"), F.array_prepend("terms", F.xxhash64(F.lit(""))).alias("terms"))
+    spread = marked.select(*key, *noted, "whole", F.posexplode_outer("terms").alias("pos", "term"))
+    first = F.col("pos") == 0
+    spread = spread.select(*key, "term", F.when(first, F.col("whole")).alias("whole"), *[F.when(first, c).alias(note) for c in noted])
+    found = spread.join(known, "term")
+    hashed = found.groupBy(*key, "subset").agg(
+        F.xxhash64(F.sort_array(F.collect_set("term"))).alias("hash"), F.max("whole").alias("whole"), *[F.max(c).alias(note) for c in noted]
+    )
+    part = F.when(F.col("subset") != EVERY, part_of(F.col("subset"), F.col("hash")))
+    gathered = hashed.groupBy(*key).agg(
+        F.sort_array(F.collect_list(part)).alias("parts"), F.max("whole").alias("whole"), *[F.max(c).alias(note) for c in noted]
+    )
+    parts = F.when(F.size("parts") == 0, F.array(part_of(F.lit(ALONE), F.col("whole")))).otherwise(F.col("parts"))
+    return gathered.select(*key, parts.alias("parts"), *noted)
 
 
 def with_marker(known: DataFrame) -> DataFrame:
-    """The lexicon with the empty word in no subset."""
-    return known.unionByName(known.sparkSession.range(1).select(F.xxhash64(F.lit("")).alias("term"), F.lit(0).cast("long").alias("subsets")))
+    """The lexicon with the empty word in a subset of its own."""
+    return known.unionByName(known.sparkSession.range(1).select(F.xxhash64(F.lit("")).alias("term"), F.lit(EVERY).alias("subset")))
+
+
+def as_text(parts: Column) -> Column:
+    """A fingerprint as text: its parts in hexadecimal."""
+    return F.lower(F.array_join(F.transform(parts, F.hex), "."))
 
 
 def next_documents(documents: DataFrame) -> DataFrame:
@@ -145,8 +145,8 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     both = texts.join(starts, "key").select("key", "text", edited.alias("edited"))
     versions = F.array(F.struct(F.lit(False).alias("is_edited"), F.col("text")), F.struct(F.lit(True).alias("is_edited"), F.col("edited").alias("text")))
     hashed = both.select("key", F.sha2("edited", 256).alias("sha"), versions.alias("versions")).select("key", "sha", F.explode_outer("versions").alias("v"))
-    hashed = hashed.select("key", "v.is_edited", F.when(F.col("v.is_edited"), F.col("sha")).alias("sha"), F.col("v.text").alias("text"))
-    prints, _ = stored(fingerprints(hashed, ["key", "is_edited", "sha"], "text", known), "imatch")
+    hashed = hashed.select("key", "v.is_edited", "sha", F.col("v.text").alias("text"))
+    prints, _ = stored(fingerprints(hashed, ["key", "is_edited"], "text", known, "sha"), "imatch")
     own = prints.filter("NOT is_edited").select("key", F.col("parts").alias("own"))
     changed = prints.filter("is_edited").select("key", "sha", F.col("parts").alias("changed"))
     following = own.select(F.col("key").alias("next"), F.col("own").alias("following"))
@@ -154,7 +154,7 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     repeated = joined.withColumn("_", F.explode(F.expr("sequence(1, cast(times AS int))"))) if (total[2] or 1) > 1 else joined
     result = repeated.select(
         F.col("id").alias(id_col), F.col("n").cast("long").alias("n_chars"), F.col("sha").alias("edited_sha256"),
-        F.array_join("own", ".").alias("fingerprint"), F.array_join("changed", ".").alias("edited_fingerprint"),
+        as_text(F.col("own")).alias("fingerprint"), as_text(F.col("changed")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("changed")).alias("near_edited"), likeness(F.col("own"), F.col("following")).alias("near_next"),
     )
     return result

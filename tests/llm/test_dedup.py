@@ -3,6 +3,8 @@
 import hashlib
 import itertools
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -198,14 +200,58 @@ def test_imatch_edits(corpus):
         edited = text[: len(text) - cut] + following[:cut]
         assert found[i]["n_chars"] == len(text)
         assert found[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
-        pairs = [(a, b) for a, b in zip(prints[i], prints[j]) if a != "-" or b != "-"]
-        want = 1.0 if prints[i] == prints[j] else sum(a == b for a, b in pairs) / len(pairs)
+        numbers = [{int(part, 16) >> imatch.HASH_BITS for part in prints[x]} for x in (i, j)]
+        want = 1.0 if prints[i] == prints[j] else len(set(prints[i]) & set(prints[j])) / len(numbers[0] | numbers[1])
         assert found[i]["near_next"] == pytest.approx(want)
     assert found[1000]["fingerprint"] == found[15]["fingerprint"]
     near = [r["near_edited"] > r["near_next"] for r in found.values() if r["n_chars"] > 100]
     assert np.mean(near) > 0.8
 
 
+def brute_prints(texts, all_texts):
+    """The fingerprint of each text by definition, document frequencies from ``all_texts``."""
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+
+    def of_text(word):
+        return signed(xxhash.xxh64_intdigest(word.encode(), 42))
+
+    def of_numbers(*numbers):
+        seed = 42
+        for value, size in numbers:
+            seed = xxhash.xxh64_intdigest(value.to_bytes(size, "little", signed=True), seed)
+        return signed(seed)
+
+    def terms(text):
+        return {of_text(w) for w in re.sub(r"[^\w]|_", " ", text.lower()).split()}
+
+    counts = Counter(t for text in all_texts for t in terms(text))
+    low, high = (share * len(all_texts) for share in imatch.BAND)
+    mask = (1 << imatch.HASH_BITS) - 1
+    found = []
+    for text in texts:
+        own, parts = terms(text), []
+        for r, rate in enumerate(imatch.RATES):
+            held = sorted(t for t in own if low <= counts[t] <= high and of_numbers((t, 8), (r, 4)) % rate == 0)
+            if held:
+                parts.append(r << imatch.HASH_BITS | of_numbers(*[(t, 8) for t in held]) & mask)
+        parts = parts or [imatch.ALONE << imatch.HASH_BITS | of_numbers(*[(t, 8) for t in sorted(own)]) & mask]
+        found.append(".".join(f"{p:x}" for p in sorted(parts)))
+    return found
+
+
+def test_imatch_every_fingerprint_by_brute_force(corpus):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghijklmnopé") for _ in range(4)) for _ in range(900)]
+    rows = [(i, " ".join(rng.choice(words[: rng.choice((30, 900))]) for _ in range(rng.randint(0, 90)))) for i in range(150)]
+    rows += [(500, None), (501, "Never seen, elsewhere! 12 x"), (502, rows[7][1])]
+    texts = [t or "" for _, t in sorted(rows)]
+    edited = [t[: len(t) - len(t) // 4] + texts[(k + 1) % len(texts)][: len(t) // 4] for k, t in enumerate(texts)]
+    got = sorted(imatch.compare_with_edits(corpus(rows)).collect(), key=lambda r: r["doc_id"])
+    assert [r["fingerprint"] for r in got] == brute_prints(texts, texts)
+    assert [r["edited_fingerprint"] for r in got] == brute_prints(edited, texts)
+    assert sum(r["fingerprint"].count(".") for r in got) > 1000
+
+
 def test_imatch_hard_cases(corpus):
     rows = imatch.compare_with_edits(corpus(HARD)).collect()
     assert len(rows) == len(HARD)

@@ -6,7 +6,7 @@ back. Read as a non-deterministic transducer, a configuration is (tokens chosen
 reading a byte moves every configuration down the trie and lets it end a token there. At most as many configurations
 live as a token has bytes, so what they disagree on is bounded: tokens shared by all of them are emitted at once, the
 rest waits. Sets of configurations become states of a deterministic machine when they are first reached, and transitions
-are kept in a table of bounded size; what leaves the full table is run through the configurations themselves.
+are kept in a table of bounded size, which is cleared when it is full and filled anew.
 
 Decoding. Ids are turned into bytes token by token; the state machine tells, over chunks that may end within a
 character, where the last whole character ends. Its transitions are composed per token, so only tokens that begin or
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_CHARS = 1 << 16
-MAX_TRANSITIONS = 1 << 15
+MAX_TRANSITIONS = 1 << 18
 MAX_REMEMBERED = 1 << 19
 LONGEST_REMEMBERED = 64
 
@@ -60,8 +60,7 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Transducer:
     """Bytes of one piece in, ids out; states and transitions are made when they are first needed.
 
-    When the table is full it stays as it is, and pieces that leave it are run through the same configurations without
-    keeping states.
+    When the table is full it is cleared, within a piece too, and filled again from the configurations at hand.
     """
 
     ROOT = 0
@@ -83,8 +82,6 @@ class Transducer:
                     self.token_at.append(None)
                 node = known[byte]
             self.token_at[node] = rank
-        self.shorter = self.suffix_links()
-        self.suffixes: dict[int, tuple[tuple[int, int], ...]] = {self.ROOT: ()}
         self.edges: dict[int, tuple[list[bytes], list[bytes]] | None] = {}
         self.pairs: dict[int, bool] = {}
         self.numbers: dict[tuple, int] = {}
@@ -92,36 +89,10 @@ class Transducer:
         self.table: list[dict[int, tuple[int, tuple[int, ...]]]] = []
         self.endings: list[tuple[int, ...] | None] = []
         self.size = 0
+        # Steps that were made and not read off the table, and pieces that no path covers.
+        self.moved = self.uncovered = 0
         self.start = self.number((None, (((), self.ROOT),)))
 
-    def suffix_links(self) -> list[int]:
-        """Per node, the node of its longest proper suffix in the trie."""
-        links, level = [self.ROOT] * len(self.children), [self.ROOT]
-        while level:
-            below = []
-            for node in level:
-                for byte, child in self.children[node].items():
-                    below.append(child)
-                    if node != self.ROOT:
-                        links[child] = self.descend(links, links[node], byte)
-            level = below
-        return links
-
-    def descend(self, links: list[int], node: int, byte: int) -> int:
-        """The node of the longest suffix of (node's string + byte) in the trie."""
-        while node != self.ROOT and byte not in self.children[node]:
-            node = links[node]
-        return self.children[node].get(byte, self.ROOT)
-
-    def tokens_ending(self, node: int) -> tuple[tuple[int, int], ...]:
-        """(token, its length) for every token that is a suffix of the node's string, longest first."""
-        if node not in self.suffixes:
-            rest = self.tokens_ending(self.shorter[node])
-            token = self.token_at[node]
-            own = token is not None and self.edges_of(token) is not None
-            self.suffixes[node] = ((token, len(self.tokens[token])), *rest) if own else rest
-        return self.suffixes[node]
-
     def number(self, state: tuple) -> int:
         if state not in self.numbers:
             self.numbers[state] = len(self.states)
@@ -172,58 +143,44 @@ class Transducer:
         return self.edges_of(token) is not None if before is None else self.compatible(before, token)
 
     def move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """(next state, ids emitted) for one byte; the table keeps it."""
+        """(next state, ids emitted) for one byte; the table keeps it.
+
+        Configurations stand in the order of their beginnings, so the longest token is tried first; of the tokens that end
+        here only one can follow what is before it.
+        """
         last, configurations = self.states[state]
-        reached = []
+        children, token_at = self.children, self.token_at
+        reached, ended = [], None
         for pending, node in configurations:
-            child = self.children[node].get(byte)
+            child = children[node].get(byte)
             if child is None:
                 continue
-            if self.children[child]:
+            if children[child]:
                 reached.append((pending, child))
-            token = self.token_at[child]
-            if token is not None and self.follows(pending[-1] if pending else last, token):
-                reached.append(((*pending, token), self.ROOT))
+            if ended is None:
+                token = token_at[child]
+                if token is not None and self.follows(pending[-1] if pending else last, token):
+                    ended = (*pending, token)
+        if ended is not None:
+            reached.append((ended, self.ROOT))
         shared = 0
         if reached:
             shortest = min((pending for pending, _ in reached), key=len)
             while shared < len(shortest) and all(p[shared] == shortest[shared] for p, _ in reached):
                 shared += 1
         out = shortest[:shared] if shared else ()
-        after = (out[-1] if out else last, tuple(sorted((p[shared:], node) for p, node in reached)))
+        after = (out[-1] if out else last, tuple([(p[shared:], node) for p, node in reached] if shared else reached))
         step = self.table[state][byte] = (self.number(after), out)
         self.size += 1
+        self.moved += 1
         return step
 
-    def simulate(self, piece: bytes) -> list[int]:
-        """The path without states: for every position, the one token that ends there and may follow the one before."""
-        children, suffixes, pairs, shift = self.children, self.suffixes, self.pairs, self.shift
-        ended: list[int | None] = [None]
-        node = end = 0
-        for byte in piece:
-            end += 1
-            child = children[node].get(byte)
-            node = self.descend(self.shorter, node, byte) if child is None else child
-            found = None
-            for token, length in suffixes[node] if node in suffixes else self.tokens_ending(node):
-                if length == end:
-                    found = token
-                    break
-                before = ended[end - length]
-                if before is not None:
-                    fits = pairs.get(before << shift | token)
-                    if self.compatible(before, token) if fits is None else fits:
-                        found = token
-                        break
-            ended.append(found)
-        ids = []
-        while end:
-            token = ended[end]
-            if token is None:
-                return merge(piece, self.ranks)
-            ids.append(token)
-            end -= len(self.tokens[token])
-        return ids[::-1]
+    def forget(self, state: int) -> int:
+        """Clear the full table; the machine goes on from the same configurations and is determinised anew."""
+        kept = self.states[state]
+        self.numbers, self.states, self.table, self.endings, self.size = {}, [], [], [], 0
+        self.start = self.number((None, (((), self.ROOT),)))
+        return self.number(kept)
 
     def encode(self, piece: bytes) -> list[int]:
         """The ids of one piece. A piece that is a token as a whole is that token; bytes that no path covers are merged
@@ -235,14 +192,15 @@ class Transducer:
         for byte in piece:
             step = table[state].get(byte)
             if step is None:
-                if self.size >= self.max_transitions and len(piece) <= BLOCK_CHARS:
-                    return self.simulate(piece)
+                if self.size >= self.max_transitions:
+                    state, table = self.forget(state), self.table
                 step = self.move(state, byte)
             state = step[0]
             if step[1]:
                 ids.extend(step[1])
         rest = self.endings[state]
         if rest is None:
+            self.uncovered += 1
             return merge(piece, self.ranks)
         ids.extend(rest)
         return ids

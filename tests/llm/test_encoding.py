@@ -42,13 +42,15 @@ def test_encode_equals_library_and_decodes_back(codec):
         assert "".join(decoder.stream(bpe.chunks_of(ids, 3))) == text
 
 
-def test_states_and_simulation_agree(codec):
+def test_a_full_table_is_cleared_and_every_piece_goes_through_the_machine(codec):
     ranks = codec[0].ranks
-    made, bare = bpe.Transducer(ranks, max_transitions=1 << 30), bpe.Transducer(ranks, max_transitions=0)
+    made, small, bare = (bpe.Transducer(ranks, max_transitions=most) for most in (1 << 30, 100, 0))
     rng = random.Random(2)
-    for _ in range(800):
-        piece = "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(1, 24))).encode()
-        assert made.encode(piece) == bare.encode(piece) == bpe.merge(piece, ranks)
+    for k in range(800):
+        piece = "".join(rng.choice("etaoinshrdlu" if k % 3 else "aé漢😀 .") for _ in range(rng.randint(1, 24))).encode()
+        assert made.encode(piece) == small.encode(piece) == bare.encode(piece) == bpe.merge(piece, ranks)
+        assert small.size <= 100 and sum(map(len, small.table)) == small.size
+    assert small.moved > 1000 and (made.uncovered, small.uncovered, bare.uncovered) == (0, 0, 0)
 
 
 def test_long_texts_are_cut_where_pieces_end(codec):

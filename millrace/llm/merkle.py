@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored
+from millrace.llm.common import checkpointed, small, stored
 
 # Levels of the subtree that one task builds.
 LEVELS = 10
@@ -266,7 +266,8 @@ class Manifest:
         schema = f"id {kind}, tree string, digest string, proof_sha256 string, folded_root string"
         found = proved(dealt, logs, ["id", "tree", "digest"], schema, self.levels, fold=True)
         root = self.root().agg(F.first("root")).scalar()
-        return found.join(self.subroots(), "tree").select(
+        subroots = checkpointed(self.subroots())
+        return found.join(small(subroots, subroots.count()), "tree").select(
             "id", F.col("digest").alias("leaf"), "subroot", root.alias("root"), "proof_sha256", "folded_root",
             (F.col("folded_root") == root).alias("verified"),
         )

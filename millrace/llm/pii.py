@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import no_clash, tuned_batches
+from millrace.llm.common import checkpointed, no_clash, tuned_batches
 
 # Kinds in the order in which ties of spans are listed, and the patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -406,11 +406,15 @@ def added_spans(texts: list[str], base: list[list[Span]], model: Tagger) -> list
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS) -> Tagger:
     """The tagger of a table's sample; with nothing to sample, of generated strings alone."""
-    usable = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(
+    usable = docs.select(F.xxhash64(F.col(id_col)).alias("h"), F.col(text_col).alias("text")).filter(
         (F.length("text") <= SAMPLE_CHARS) & F.col("text").rlike("[0-9@]")
     )
-    sample = usable.orderBy(F.xxhash64("id"), "id", "text").limit(rows).collect()  # at most rows x SAMPLE_CHARS
-    return train([row["text"] for row in sample])
+    keyed = usable.select("h", F.xxhash64("text").alias("t"), "text")
+    # Rows are chosen by two numbers each; only the texts of those chosen are fetched, one of equal ones.
+    chosen = checkpointed(keyed.select("h", "t").orderBy("h", "t").limit(rows)).distinct()
+    texts = keyed.join(F.broadcast(chosen), ["h", "t"]).groupBy("h", "t").agg(F.min("text").alias("text"))
+    sample = texts.collect()  # at most rows x SAMPLE_CHARS
+    return train([row["text"] for row in sorted(sample, key=lambda r: (r["h"], r["t"]))])
 
 
 def find(docs: DataFrame, model: Tagger, text_col: str = "text") -> DataFrame:
@@ -437,5 +441,6 @@ def find(docs: DataFrame, model: Tagger, text_col: str = "text") -> DataFrame:
                 }
             )
 
-    found = docs.select("*", search(F.col(text_col)).alias("_found"))
-    return found.select(*docs.columns, *[F.col(f"_found.{name}").alias(name) for name in OUTPUTS])
+    result = "_".join(["found", *docs.columns])  # no column has this name
+    found = docs.select("*", search(F.col(f"`{text_col}`")).alias(result))
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns], *[F.col(f"`{result}`")[name].alias(name) for name in OUTPUTS])

@@ -201,3 +201,17 @@ def test_long_runs_take_linear_time():
     assert pii.base_spans("a" * 300_000 + "@") == []
     assert pii.base_spans("1" * 300_000 + " ") == []
     assert pii.base_spans("1." * 100_000) != []
+
+
+def test_pii_sample_does_not_depend_on_repeats(corpus):
+    rows = [(i, f"text {i} with 12{i}") for i in range(40)]
+    once, often = corpus(rows), corpus(rows + [rows[3]] * 30)
+    a, b = (pii.fit(docs, rows=5).p for docs in (once, once.repartition(7)))
+    assert all(np.array_equal(a[k], b[k]) for k in a)
+    assert pii.fit(often, rows=5) is not None
+
+
+def test_pii_clashing_columns(corpus):
+    docs = corpus([(1, "mail a@b.cd")]).withColumnRenamed("source", "_found").withColumnRenamed("lang", "found")
+    found = pii.find(docs, pii.fit(docs))
+    assert found.columns == [*docs.columns, *pii.OUTPUTS] and found.first()["_found"] == "src"

@@ -186,6 +186,74 @@ def test_crowded_lines_leave_only_after_verification(spark):
     assert verify(links).count() == 30
 
 
+def brute_levenshtein(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+@pytest.mark.parametrize("similarity, by_letter, by_word", [(0.9, 0.97, 0.97), (0.8, 0.6, 0.9)])
+def test_recall_of_short_lines(corpus, similarity, by_letter, by_word):
+    """Of planted lines of 2 to 15 words with letters, or letters of one word, changed, the share that is linked."""
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 8))) for _ in range(3000)]
+    rows, kinds = [], {}
+    for n in range(2, 16):
+        for k in range(60):
+            line = " ".join(rng.choice(words) for _ in range(n))
+            edits = int(len(line) * (1 - similarity) + 1e-9)
+            copy, wordwise = list(line), k % 2 == 0
+            places = [i for i, c in enumerate(line) if c != " "]
+            if wordwise:
+                start = rng.choice([i for i in places if i == 0 or line[i - 1] == " "])
+                end = (line + " ").index(" ", start)
+                places = places[places.index(start) : places.index(start) + end - start]
+            for place in rng.sample(places, min(edits, len(places))):
+                copy[place] = rng.choice("qrstuvwxyz")
+            copy = "".join(copy)
+            assert 1 - brute_levenshtein(line, copy) / len(line) >= similarity - 1e-9
+            kinds[len(rows) + 1] = wordwise
+            rows += [(len(rows), line), (len(rows) + 1, copy)]
+    found = {r["doc_id"]: r["n_removed"] for r in line_dedup.dedup_lines(corpus(rows)).collect()}
+    for wordwise, least in ((False, by_letter), (True, by_word)):
+        copies = [i for i, kind in kinds.items() if kind == wordwise]
+        share = sum(found[i] for i in copies) / len(copies)
+        print(similarity, wordwise, share)
+        assert share >= least
+    assert all(found[i] == 0 for i in found if i not in kinds)
+
+
+def test_short_lines_by_brute_force(corpus):
+    """Lines of up to 14 characters: every pair within the similarity is linked, no other."""
+    rng = random.Random(12)
+    lines = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(1, 14))) for _ in range(90)})
+    near = [(a, b) for a, b in itertools.combinations(lines, 2) if 1 - brute_levenshtein(a, b) / max(len(a), len(b)) >= 0.8]
+    roots = brute_components([(lines.index(a), lines.index(b)) for a, b in near])
+    found = line_dedup.dedup_lines(corpus(list(enumerate(lines)))).collect()
+    assert near and {r["doc_id"]: r["n_removed"] for r in found} == {i: int(roots.get(i, i) != i) for i in range(len(lines))}
+
+
+def test_crowded_blocks_in_tiles(spark, monkeypatch):
+    rng = random.Random(13)
+    left = rng.getrandbits(63)
+    monkeypatch.setattr(line_dedup, "TILE", 16)
+    rows = [(k, left, rng.getrandbits(63)) for k in range(150)]
+    want = {(a[0], b[0]) for a, b in itertools.combinations(rows, 2) if (a[2] ^ b[2]).bit_count() <= 26}
+    links = line_dedup.candidate_links(spark.createDataFrame(rows, "h long, left long, right long"), bits=26, bucket=16).collect()
+    pairs = [(r["a"], r["b"]) for r in links]
+    assert set(pairs) <= want and brute_components(pairs) == brute_components(want)
+
+
+def test_line_dedup_keeps_columns_of_any_name(corpus):
+    docs = corpus([(1, "one two three four\nother words"), (2, "one two three four")])
+    named = docs.select("*", *[F.lit(c).alias(c) for c in ("_key", "_lines", "_removed", "key", "row", "lines", "removed", "h", "a.b")])
+    rows = {r["doc_id"]: r for r in line_dedup.dedup_lines(named).collect()}
+    assert rows[2]["n_removed"] == 1 and rows[2]["lines"] == "lines" and rows[1]["_key"] == "_key" and rows[1]["a.b"] == "a.b"
+
+
 def test_imatch_edits(corpus):
     rng = random.Random(6)
     words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(4)) for _ in range(500)]

@@ -163,5 +163,6 @@ def predict(docs: DataFrame, model: KernelModel | None, text_col: str = "text")
             values = np.clip(scores[np.arange(len(whole)), best], 0.0, 1.0) if len(whole) else np.zeros(0)
             yield pd.DataFrame({"lang_pred": langs, "score": np.where(lettered, values, 0.0)}).astype({"lang_pred": object, "score": float})
 
-    judged = docs.select("*", judge(F.col(text_col)).alias("_judged"))
-    return judged.select(*docs.columns, F.col("_judged.lang_pred").alias("lang_pred"), F.col("_judged.score").alias("score"))
+    result = "_".join(["judged", *docs.columns])  # no column has this name
+    judged = docs.select("*", judge(F.col(f"`{text_col}`")).alias(result))
+    return judged.select(*[F.col(f"`{c}`") for c in docs.columns], *[F.col(f"`{result}`")[name].alias(name) for name in ("lang_pred", "score")])

@@ -5,8 +5,9 @@ labelled sample. One weight vector is shared by all thresholds: P(grade <= k) =
 the expected grade; a text is toxic where P(grade >= 1) is at least one half.
 
 The fit takes at most ``rows_per_grade`` labelled rows of each given grade, the first by a hash of the id; everything
-else looks at all rows. Labels that only say toxic or not (0 and 1) are refined into three grades: toxic rows with at
-least the median number of toxic features are severe (2), the others mild (1).
+else looks at all rows. Labels that only say toxic or not (0 and 1) are refined into three grades: toxic rows with more
+than the median number of toxic features are severe (2), the others mild (1). Such grades follow from the features that
+predict them; labels that have grades already are taken as they are.
 
 Cases: a NULL or empty text has no feature and the severity of that; labels that are NULL are left out, of repeated
 labels of an id the highest counts; without labels of both kinds all severities are 0; repeated rows are scored each; an
@@ -228,8 +229,8 @@ def score(docs: DataFrame, model: OrdinalModel | None, text_col: str = "text") -
             above = ordinal.survival(sums)
             yield pd.DataFrame({"severity": above.sum(axis=1), "p_toxic": above[:, 0]})
 
-    scored = docs.select("*", judge(F.col(text_col)).alias("_judged"))
-    return scored.select(
-        *docs.columns, F.col("_judged.severity").alias("severity"), F.col("_judged.p_toxic").alias("p_toxic"),
-        (F.col("_judged.p_toxic") >= 0.5).alias("toxic"),
-    )
+    result = "_".join(["judged", *docs.columns])  # no column has this name
+    scored = docs.select("*", judge(F.col(f"`{text_col}`")).alias(result))
+    severity, p_toxic = [F.col(f"`{result}`")[name] for name in ("severity", "p_toxic")]
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    return scored.select(*kept, severity.alias("severity"), p_toxic.alias("p_toxic"), (p_toxic >= 0.5).alias("toxic"))

@@ -63,6 +63,9 @@ def test_language_hard_cases(corpus, languages):
     assert language_id.predict(docs.limit(0), language_id.fit(docs, F.lit(True))).count() == 0
     with pytest.raises(ValueError):
         language_id.predict(docs.withColumn("Score", F.lit(1)), None)
+    named = docs.withColumn("_judged", F.lit("x")).withColumn("a.b", F.lit("y"))
+    rows = language_id.predict(named, language_id.fit(docs, F.lit(True))).collect()
+    assert len(rows) == len(found) and all(r["_judged"] == "x" and r["a.b"] == "y" for r in rows)
 
 
 def test_ordinal_gradient_finds_ordered_thresholds():
@@ -117,6 +120,9 @@ def test_toxicity_hard_cases(spark, corpus, toxic_rows):
     assert toxicity.score(docs.limit(0), model).count() == 0
     with pytest.raises(ValueError):
         toxicity.score(docs.withColumn("TOXIC", F.lit(1)), None)
+    named = docs.withColumn("_judged", F.lit("x")).withColumn("a.b", F.lit("y"))
+    rows = toxicity.score(named, model).collect()
+    assert len(rows) == docs.count() and all(r["_judged"] == "x" and r["a.b"] == "y" for r in rows)
 
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")

@@ -69,6 +69,8 @@ class Transducer:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.shift = max(ranks.values(), default=0).bit_length()
+        # Above every rank: no merge.
+        self.none = max(ranks.values(), default=0) + 1
         self.max_transitions = max_transitions
         self.children: list[dict[int, int]] = [{}]
         self.token_at: list[int | None] = [None]
@@ -82,7 +84,7 @@ class Transducer:
                     self.token_at.append(None)
                 node = known[byte]
             self.token_at[node] = rank
-        self.edges: dict[int, tuple[list[bytes], list[bytes]] | None] = {}
+        self.histories: dict[int, tuple[list[int], list[bytes], list[bytes]] | None] = {}
         self.pairs: dict[int, bool] = {}
         self.numbers: dict[tuple, int] = {}
         self.states: list[tuple] = []
@@ -94,53 +96,80 @@ class Transducer:
         self.start = self.number((None, (((), self.ROOT),)))
 
     def number(self, state: tuple) -> int:
-        if state not in self.numbers:
-            self.numbers[state] = len(self.states)
+        known = self.numbers.get(state)
+        if known is None:
+            known = self.numbers[state] = len(self.states)
             self.states.append(state)
             self.table.append({})
             self.endings.append(self.ending(state))
-        return self.numbers[state]
+        return known
 
     def ending(self, state: tuple) -> tuple[int, ...] | None:
         """What is still to be emitted if the piece ends here; None if no token sequence ends here."""
-        return next((pending for pending, node in state[1] if node == self.ROOT), None)
-
-    def edges_of(self, token: int) -> tuple[list[bytes], list[bytes]] | None:
-        """The parts that stand first and last while the token's bytes are merged; None if they don't give the token."""
-        if token not in self.edges:
-            self.edges[token] = None
-            parts, lefts, rights = [bytes([b]) for b in self.tokens[token]], [], []
+        # A token that has just ended is the last configuration.
+        return state[1][-1][0] if state[1] and state[1][-1][1] == self.ROOT else None
+
+    def history(self, token: int) -> tuple[list[int], list[bytes], list[bytes]] | None:
+        """How the token's bytes are merged: the rank of every merge, and the parts that stand first and last before it and
+        after the last one; None if they don't give the token."""
+        if token not in self.histories:
+            self.histories[token] = None
+            parts, merges = [bytes([b]) for b in self.tokens[token]], []
+            firsts, lasts = [parts[0]], [parts[-1]]
             while True:
-                if parts[0] not in lefts[-1:]:
-                    lefts.append(parts[0])
-                if parts[-1] not in rights[-1:]:
-                    rights.append(parts[-1])
                 pairs = [(self.ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.ranks]
                 if not pairs:
                     break
-                i = min(pairs)[1]
+                rank, i = min(pairs)
                 parts[i : i + 2] = [parts[i] + parts[i + 1]]
+                merges.append(rank)
+                firsts.append(parts[0])
+                lasts.append(parts[-1])
             if len(parts) == 1:
-                self.edges[token] = lefts, rights
-        return self.edges[token]
+                self.histories[token] = merges, firsts, lasts
+        return self.histories[token]
 
     def compatible(self, left: int, right: int) -> bool:
-        """Whether ``right`` may follow ``left``: merging the bytes of both gives just these two."""
+        """Whether ``right`` may follow ``left``: merging the bytes of both gives just these two.
+
+        The merges of both are run side by side, lowest rank first, left before right; a merge of the parts that meet is
+        the only one that neither has alone.
+        """
         key = left << self.shift | right
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= MAX_REMEMBERED:
                 self.pairs.clear()
-            before, after = self.edges_of(left), self.edges_of(right)
-            known = after is not None and before is not None
-            # No merge can cross unless two parts that meet there are a token.
-            if known and any(a + b in self.ranks for a in before[1] for b in after[0]):
-                known = merge(self.tokens[left] + self.tokens[right], self.ranks) == [left, right]
+            before, after = self.history(left), self.history(right)
+            known = before is not None and after is not None and not self.crossed(before, after)
             self.pairs[key] = known
         return known
 
+    def crossed(self, before: tuple, after: tuple) -> bool:
+        """Whether a merge over the border of two tokens comes before the tokens are whole, or when they are."""
+        merges, _, lasts = before
+        others, firsts, _ = after
+        none, rank_of = self.none, self.ranks.get
+        i = j = 0
+        across = rank_of(lasts[0] + firsts[0], none)
+        while True:
+            own = merges[i] if i < len(merges) else none
+            other = others[j] if j < len(others) else none
+            if across < own and across <= other:
+                return True
+            if own == none and other == none:
+                return False
+            if own <= other:
+                i += 1
+                if lasts[i] is not lasts[i - 1]:
+                    across = rank_of(lasts[i] + firsts[j], none)
+            else:
+                j += 1
+                if firsts[j] is not firsts[j - 1]:
+                    across = rank_of(lasts[i] + firsts[j], none)
+
     def follows(self, before: int | None, token: int) -> bool:
-        return self.edges_of(token) is not None if before is None else self.compatible(before, token)
+        return self.history(token) is not None if before is None else self.compatible(before, token)
 
     def move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """(next state, ids emitted) for one byte; the table keeps it.
@@ -163,13 +192,23 @@ class Transducer:
                     ended = (*pending, token)
         if ended is not None:
             reached.append((ended, self.ROOT))
-        shared = 0
-        if reached:
-            shortest = min((pending for pending, _ in reached), key=len)
-            while shared < len(shortest) and all(p[shared] == shortest[shared] for p, _ in reached):
-                shared += 1
-        out = shortest[:shared] if shared else ()
-        after = (out[-1] if out else last, tuple([(p[shared:], node) for p, node in reached] if shared else reached))
+        out: tuple[int, ...] = ()
+        if len(reached) == 1:
+            out = reached[0][0]
+            if out:
+                reached = [((), reached[0][1])]
+        elif reached:
+            # What the first and the last begin with differently, all do not share.
+            first, final = reached[0][0], reached[-1][0]
+            if first and final and first[0] == final[0]:
+                shortest = min([pending for pending, _ in reached], key=len)
+                shared = 0
+                while shared < len(shortest) and len({p[shared] for p, _ in reached}) == 1:
+                    shared += 1
+                if shared:
+                    out = shortest[:shared]
+                    reached = [(p[shared:], node) for p, node in reached]
+        after = (out[-1] if out else last, tuple(reached))
         step = self.table[state][byte] = (self.number(after), out)
         self.size += 1
         self.moved += 1

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +64,18 @@ def discard(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+@contextmanager
+def swept_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within, the shuffle files of a query go when it ends; for jobs whose every query writes a table or a checkpoint."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def small(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFrame:
     """``df``, to be broadcast if its counted ``rows`` are few enough, else to be joined as Spark sees fit."""
     return F.broadcast(df) if rows <= most else df

@@ -2,11 +2,12 @@
 
 Encoding. A text is cut into pieces by the vocabulary's pattern; within a piece, the token sequence of BPE is the only
 path through the vocabulary on which every adjacent pair is *compatible*: merging the bytes of the pair gives the pair
-back. Read as a non-deterministic transducer, a configuration is (tokens chosen so far, node of the vocabulary's trie);
+back. Read as a non-deterministic transducer, a configuration is (token chosen last, node of the vocabulary's trie);
 reading a byte moves every configuration down the trie and lets it end a token there. At most as many configurations
-live as a token has bytes, so what they disagree on is bounded: tokens shared by all of them are emitted at once, the
-rest waits. Sets of configurations become states of a deterministic machine when they are first reached, and transitions
-are kept in a table of bounded size, which is cleared when it is full and filled anew.
+live as a token has bytes, and of the tokens that end at one byte only one fits, which is what a step gives out. Sets of
+configurations become states of a deterministic machine when they are first reached, and transitions are kept in a table
+of bounded size, which is cleared when it is full and filled anew. From the token that ends with the piece, the tokens
+before it are read off backwards.
 
 Decoding. Ids are turned into bytes token by token; the state machine tells, over chunks that may end within a
 character, where the last whole character ends. Its transitions are composed per token, so only tokens that begin or
@@ -31,9 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_CHARS = 1 << 16
-MAX_TRANSITIONS = 1 << 18
-MAX_REMEMBERED = 1 << 19
+# What a worker remembers: steps of the transducer, strings of either cache, strings' length, pairs of tokens.
+MAX_TRANSITIONS = 1 << 17
+MAX_REMEMBERED = 1 << 16
 LONGEST_REMEMBERED = 64
+MAX_PAIRS = 1 << 18
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -60,62 +63,71 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Transducer:
     """Bytes of one piece in, ids out; states and transitions are made when they are first needed.
 
-    When the table is full it is cleared, within a piece too, and filled again from the configurations at hand.
+    A state is what the bytes read leave open: for every start of an unfinished token, from the earliest on, the token
+    before it and the node of the trie, as one number each. A step tells the next state and the one token, if any, that ends there
+    and fits what is before it; the ids are read off backwards, from the token that ends with the piece. When the table
+    is full it is cleared, within a piece too, and filled again from the state at hand.
     """
 
     ROOT = 0
 
     def __init__(self, ranks: dict[bytes, int], max_transitions: int = MAX_TRANSITIONS):
         self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
-        self.shift = max(ranks.values(), default=0).bit_length()
-        # Above every rank: no merge.
+        # Above every rank: no token, no merge, and what stands before a piece.
         self.none = max(ranks.values(), default=0) + 1
+        self.shift = self.none.bit_length()
+        self.mask = (1 << self.shift) - 1
         self.max_transitions = max_transitions
-        self.children: list[dict[int, int]] = [{}]
-        self.token_at: list[int | None] = [None]
+        self.tokens = [b""] * self.none
+        # The trie: the child of a node by a byte, the token that ends at a node, whether a node has children.
+        self.children: dict[int, int] = {}
+        self.token_at = [self.none]
+        self.inner = bytearray(1)
         for token, rank in ranks.items():
+            self.tokens[rank] = token
             node = self.ROOT
             for byte in token:
-                known = self.children[node]
-                if byte not in known:
-                    known[byte] = len(self.children)
-                    self.children.append({})
-                    self.token_at.append(None)
-                node = known[byte]
+                edge = node << 8 | byte
+                child = self.children.get(edge)
+                if child is None:
+                    child = self.children[edge] = len(self.token_at)
+                    self.inner[node] = 1
+                    self.inner.append(0)
+                    self.token_at.append(self.none)
+                node = child
             self.token_at[node] = rank
+        self.sizes = list(map(len, self.tokens))
         self.histories: dict[int, tuple[list[int], list[bytes], list[bytes]] | None] = {}
         self.pairs: dict[int, bool] = {}
-        self.numbers: dict[tuple, int] = {}
-        self.states: list[tuple] = []
-        self.table: list[dict[int, tuple[int, tuple[int, ...]]]] = []
-        self.endings: list[tuple[int, ...] | None] = []
-        self.size = 0
         # Steps that were made and not read off the table, and pieces that no path covers.
         self.moved = self.uncovered = 0
-        self.start = self.number((None, (((), self.ROOT),)))
+        self.clear()
+
+    def clear(self) -> None:
+        self.numbers: dict[tuple[int, ...], int] = {}
+        self.states: list[tuple[int, ...]] = []
+        # Per byte: {state: next state and token}.
+        self.table: list[dict[int, int]] = [{} for _ in range(256)]
+        self.size = 0
+        self.start = self.number((self.ROOT << self.shift | self.none,))
 
-    def number(self, state: tuple) -> int:
+    def number(self, state: tuple[int, ...]) -> int:
         known = self.numbers.get(state)
         if known is None:
             known = self.numbers[state] = len(self.states)
             self.states.append(state)
-            self.table.append({})
-            self.endings.append(self.ending(state))
         return known
 
-    def ending(self, state: tuple) -> tuple[int, ...] | None:
-        """What is still to be emitted if the piece ends here; None if no token sequence ends here."""
-        # A token that has just ended is the last configuration.
-        return state[1][-1][0] if state[1] and state[1][-1][1] == self.ROOT else None
-
     def history(self, token: int) -> tuple[list[int], list[bytes], list[bytes]] | None:
-        """How the token's bytes are merged: the rank of every merge, and the parts that stand first and last before it and
-        after the last one; None if they don't give the token."""
+        """How the token's bytes are merged, as far as it changes the parts at its ends.
+
+        (rank of every merge of the last part, those last parts, the rank of every merge of the first, those first parts);
+        None if the merges don't give the token.
+        """
         if token not in self.histories:
             self.histories[token] = None
             parts, merges = [bytes([b]) for b in self.tokens[token]], []
-            firsts, lasts = [parts[0]], [parts[-1]]
+            ends = [(parts[0], parts[-1])]
             while True:
                 pairs = [(self.ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.ranks]
                 if not pairs:
@@ -123,12 +135,22 @@ class Transducer:
                 rank, i = min(pairs)
                 parts[i : i + 2] = [parts[i] + parts[i + 1]]
                 merges.append(rank)
-                firsts.append(parts[0])
-                lasts.append(parts[-1])
+                ends.append((parts[0], parts[-1]))
             if len(parts) == 1:
-                self.histories[token] = merges, firsts, lasts
+                self.histories[token] = (*self.changes(merges, [e[1] for e in ends]), *self.changes(merges, [e[0] for e in ends]))
         return self.histories[token]
 
+    def changes(self, merges: list[int], parts: list[bytes]) -> tuple[list[int], list[bytes]]:
+        """The merges that change a part, and the part before, between and after them; no merge comes after the last.
+
+        Where ranks rise, a merge that leaves the part as it is comes before or after one over the border with the same
+        result; where they don't, all merges are kept.
+        """
+        kept = range(len(merges))
+        if merges == sorted(merges):
+            kept = [i for i in kept if parts[i + 1] != parts[i]]
+        return [*[merges[i] for i in kept], self.none], [parts[0], *[parts[i + 1] for i in kept]]
+
     def compatible(self, left: int, right: int) -> bool:
         """Whether ``right`` may follow ``left``: merging the bytes of both gives just these two.
 
@@ -138,7 +160,7 @@ class Transducer:
         key = left << self.shift | right
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= MAX_REMEMBERED:
+            if len(self.pairs) >= MAX_PAIRS:
                 self.pairs.clear()
             before, after = self.history(left), self.history(right)
             known = before is not None and after is not None and not self.crossed(before, after)
@@ -147,78 +169,58 @@ class Transducer:
 
     def crossed(self, before: tuple, after: tuple) -> bool:
         """Whether a merge over the border of two tokens comes before the tokens are whole, or when they are."""
-        merges, _, lasts = before
-        others, firsts, _ = after
+        merges, lasts, _, _ = before
+        _, _, others, firsts = after
         none, rank_of = self.none, self.ranks.get
         i = j = 0
-        across = rank_of(lasts[0] + firsts[0], none)
         while True:
-            own = merges[i] if i < len(merges) else none
-            other = others[j] if j < len(others) else none
+            across = rank_of(lasts[i] + firsts[j], none)
+            own, other = merges[i], others[j]
             if across < own and across <= other:
                 return True
-            if own == none and other == none:
-                return False
             if own <= other:
+                if own == none:
+                    return False
                 i += 1
-                if lasts[i] is not lasts[i - 1]:
-                    across = rank_of(lasts[i] + firsts[j], none)
             else:
                 j += 1
-                if firsts[j] is not firsts[j - 1]:
-                    across = rank_of(lasts[i] + firsts[j], none)
 
-    def follows(self, before: int | None, token: int) -> bool:
-        return self.history(token) is not None if before is None else self.compatible(before, token)
+    def follows(self, before: int, token: int) -> bool:
+        return self.history(token) is not None if before == self.none else self.compatible(before, token)
 
-    def move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """(next state, ids emitted) for one byte; the table keeps it.
+    def move(self, state: int, byte: int) -> int:
+        """Next state and token that ends with one byte, as one number; the table keeps it.
 
-        Configurations stand in the order of their beginnings, so the longest token is tried first; of the tokens that end
-        here only one can follow what is before it.
+        Starts stand in their order, so the longest token is tried first; of the tokens that end here only one can follow
+        what is before it.
         """
-        last, configurations = self.states[state]
-        children, token_at = self.children, self.token_at
-        reached, ended = [], None
-        for pending, node in configurations:
-            child = children[node].get(byte)
+        shift, mask, none = self.shift, self.mask, self.none
+        children, token_at, inner, pairs = self.children, self.token_at, self.inner, self.pairs
+        reached, ended = [], none
+        for item in self.states[state]:
+            child = children.get(item >> shift << 8 | byte)
             if child is None:
                 continue
-            if children[child]:
-                reached.append((pending, child))
-            if ended is None:
+            last = item & mask
+            if inner[child]:
+                reached.append(child << shift | last)
+            if ended == none:
                 token = token_at[child]
-                if token is not None and self.follows(pending[-1] if pending else last, token):
-                    ended = (*pending, token)
-        if ended is not None:
-            reached.append((ended, self.ROOT))
-        out: tuple[int, ...] = ()
-        if len(reached) == 1:
-            out = reached[0][0]
-            if out:
-                reached = [((), reached[0][1])]
-        elif reached:
-            # What the first and the last begin with differently, all do not share.
-            first, final = reached[0][0], reached[-1][0]
-            if first and final and first[0] == final[0]:
-                shortest = min([pending for pending, _ in reached], key=len)
-                shared = 0
-                while shared < len(shortest) and len({p[shared] for p, _ in reached}) == 1:
-                    shared += 1
-                if shared:
-                    out = shortest[:shared]
-                    reached = [(p[shared:], node) for p, node in reached]
-        after = (out[-1] if out else last, tuple(reached))
-        step = self.table[state][byte] = (self.number(after), out)
+                if token != none:
+                    fits = pairs.get(last << shift | token)
+                    if self.follows(last, token) if fits is None else fits:
+                        ended = token
+        if ended != none:
+            reached.append(self.ROOT << shift | ended)
+        step = self.table[byte][state] = self.number(tuple(reached)) << shift | ended
         self.size += 1
         self.moved += 1
         return step
 
     def forget(self, state: int) -> int:
-        """Clear the full table; the machine goes on from the same configurations and is determinised anew."""
+        """Clear the full table; the machine goes on from the same state and is determinised anew."""
         kept = self.states[state]
-        self.numbers, self.states, self.table, self.endings, self.size = {}, [], [], [], 0
-        self.start = self.number((None, (((), self.ROOT),)))
+        self.clear()
         return self.number(kept)
 
     def encode(self, piece: bytes) -> list[int]:
@@ -227,35 +229,45 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        state, ids, table = self.start, [], self.table
+        state, ended, table, shift, mask = self.start, [], self.table, self.shift, self.mask
         for byte in piece:
-            step = table[state].get(byte)
+            step = table[byte].get(state)
             if step is None:
                 if self.size >= self.max_transitions:
                     state, table = self.forget(state), self.table
                 step = self.move(state, byte)
-            state = step[0]
-            if step[1]:
-                ids.extend(step[1])
-        rest = self.endings[state]
-        if rest is None:
-            self.uncovered += 1
-            return merge(piece, self.ranks)
-        ids.extend(rest)
+            state = step >> shift
+            ended.append(step & mask)
+        ids, sizes, at = [], self.sizes, len(ended)
+        while at:
+            token = ended[at - 1]
+            if token == self.none:
+                self.uncovered += 1
+                return merge(piece, self.ranks)
+            ids.append(token)
+            at -= sizes[token]
+        ids.reverse()
         return ids
 
 
 class Remembered(dict):
-    """string -> ids as packed integers, by ``encode``; short strings are remembered, up to a bound."""
+    """string -> ids as packed integers, by ``encode``; short strings are remembered, up to a bound.
+
+    When it is full, what it holds is kept once more beside it, so strings that come often stay.
+    """
 
     def __init__(self, encode: Callable[[str], bytes], most: int = MAX_REMEMBERED):
         super().__init__()
         self.encode, self.most = encode, most
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, string: str) -> bytes:
-        packed = self.encode(string)
+        packed = self.before.get(string)
+        if packed is None:
+            packed = self.encode(string)
         if len(string) <= LONGEST_REMEMBERED:
             if len(self) >= self.most:
+                self.before = dict(self)
                 self.clear()
             self[string] = packed
         return packed
@@ -268,12 +280,20 @@ class Encoder:
         self.ranks = read_ranks(rank_file)
         self.transducer = Transducer(self.ranks)
         self.pieces = regex.compile(pattern).findall
-        self.known = Remembered(lambda piece: struct_ids(self.transducer.encode(piece.encode())))
-        self.words = Remembered(lambda word: self.by_piece(" " + word))
+        self.known = Remembered(self.whole)
+        self.words = Remembered(self.word)
         # Between a character that is no white space and one that is, every piece ends.
         self.cut = regex.compile(r"\S(?=\s)").search
         self.run_of_spaces = regex.compile(r"\s ").search
 
+    def whole(self, piece: str) -> bytes:
+        return struct_ids(self.transducer.encode(piece.encode()))
+
+    def word(self, word: str) -> bytes:
+        """A word after a space; where that is one piece, it need not be remembered twice."""
+        known, pieces = self.known, self.pieces(" " + word)
+        return self.whole(pieces[0]) if len(pieces) == 1 else b"".join([known[piece] for piece in pieces])
+
     def by_piece(self, text: str) -> bytes:
         known = self.known
         return b"".join([known[piece] for piece in self.pieces(text)])

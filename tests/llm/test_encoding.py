@@ -53,6 +53,26 @@ def test_a_full_table_is_cleared_and_every_piece_goes_through_the_machine(codec)
     assert small.moved > 1000 and (made.uncovered, small.uncovered, bare.uncovered) == (0, 0, 0)
 
 
+def test_states_are_shared_whatever_tokens_wait(codec):
+    ranks = codec[0].ranks
+    machine, rng = bpe.Transducer(ranks), random.Random(4)
+    parts = ["the", "and", "ing", "ion", "ou", "er", "sh", "ti", "nd", "heb", "rea", "an"]
+    words = ["".join(rng.choice(parts) for _ in range(rng.randint(2, 6))).encode() for _ in range(3000)]
+    for word in words:
+        assert machine.encode(word) == bpe.merge(word, ranks)
+    # Were the waiting tokens part of a state, it would be 7,752 steps.
+    assert machine.moved < 5500
+
+
+def test_strings_that_come_often_outlive_a_full_cache():
+    calls = []
+    known = bpe.Remembered(lambda string: calls.append(string) or string.encode(), most=10)
+    for k in range(100):
+        assert known["often"] == b"often" and known[f"once {k}"] == f"once {k}".encode()
+        assert len(known) <= 10 and len(known.before) <= 10
+    assert calls.count("often") == 1
+
+
 def test_long_texts_are_cut_where_pieces_end(codec):
     encoder, _, library = codec
     text = " ".join(random_texts(3, 6000))

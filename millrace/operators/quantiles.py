@@ -13,25 +13,13 @@ from pyspark.sql import functions as F
 # Bits of a double that a pass decides: it counts at most 2 ** BITS values per column and rank.
 BITS = 16
 PASSES = 64 // BITS
-# Exponent of the smallest normal double, and bits of a fraction.
-LEAST_EXPONENT, FRACTION = -1022, 52
-INFINITE, NOT_A_NUMBER = 0x7FF << FRACTION, 0xFFF << (FRACTION - 1)
 
 
 def ordered_bits(value: Column) -> Column:
-    """The bits of a double as a 64-bit integer in the order of the doubles; both zeros are 0, NaN is the greatest.
-
-    Exponent and fraction come from arithmetic that is exact: divisions by powers of two.
-    """
-    size = F.abs(value)
-    guess = F.floor(F.log2(size)).cast("int")
-    scaled = lambda e: size / F.pow(F.lit(2.0), e)
-    # The logarithm can be rounded over the next power of two, either way.
-    exponent = guess + F.when(scaled(guess) >= 2, 1).when(scaled(guess) < 1, -1).otherwise(0)
-    exponent = F.greatest(exponent, F.lit(LEAST_EXPONENT))
-    bits = (exponent - LEAST_EXPONENT).cast("long") * F.lit(1 << FRACTION) + (scaled(exponent) * float(1 << FRACTION)).cast("long")
-    bits = F.when(F.isnan(value), F.lit(NOT_A_NUMBER)).when(size == float("inf"), F.lit(INFINITE)).when(size == 0, F.lit(0)).otherwise(bits)
-    return F.when(value < 0, -bits).otherwise(bits)
+    """The bits of a double as a 64-bit integer in the order of the doubles; both zeros are 0, NaN is the greatest."""
+    size = F.coalesce(F.abs(value), F.lit(0.0))
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), size).cast("long")
+    return F.when(value < 0, -bits).when(value.isNotNull(), bits)
 
 
 @dataclass

@@ -15,6 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
+from pyspark.storagelevel import StorageLevel
 from pyspark.util import inheritable_thread_target
 
 from millrace.functions.columns import feature_columns
@@ -146,6 +147,20 @@ def with_probability(df: DataFrame, model: LogisticRegressionModel, name: str) -
     return named.transform(df).withColumn(name, vector_to_array("_p")[1]).drop("_p")
 
 
+def probabilities(models: Sequence[LogisticRegressionModel], array: str) -> list[Column]:
+    """The probability of class 1 by each of the models, as arithmetic over an array column of the features.
+
+    The vector is taken apart once for all models; the sums run in the order of the features, as the models' own.
+    """
+
+    def probability(model: LogisticRegressionModel) -> Column:
+        terms = [F.get(F.col(array), F.lit(k)) * F.lit(float(w)) for k, w in enumerate(model.coefficients) if w]
+        margin = reduce(lambda a, b: a + b, terms, F.lit(0.0)) + F.lit(float(model.intercept))
+        return F.lit(1.0) - F.lit(1.0) / (F.lit(1.0) + F.exp(margin))
+
+    return [probability(model) for model in models]
+
+
 def prepared(df: DataFrame, stages: Sequence[Transformer], label: str, keep: Sequence[str] = ()) -> DataFrame:
     """Feature vector and label as the classifier takes them, and the columns to keep."""
     return apply_stages(df, stages).select(INPUTS, F.col(label).cast("double").alias(label), *keep)
@@ -158,33 +173,40 @@ def grid_search(frame: DataFrame, label: str, grid: Sequence[tuple[float, str]]
     rows are scored by every model in one pass and the metrics of all points come from one curve per model and split.
     """
     train = frame.filter(F.col(SPLIT) == "train")
-    weighted = train.withColumn(WEIGHT, balanced_weight(train, label))
-    n = weighted.count()
+    weighted = train.withColumn(WEIGHT, balanced_weight(train, label)).select(INPUTS, label, WEIGHT)
 
     @inheritable_thread_target(frame.sparkSession)
     def fit(point: tuple[int, tuple[float, str]]) -> GridPoint:
         index, (strength, penalty) = point
         return GridPoint(index, strength, penalty, logistic(strength, penalty, n, label).fit(weighted))
 
-    with ThreadPool(min(FITS_AT_ONCE, len(grid))) as pool:
-        points = pool.map(fit, list(enumerate(grid)), chunksize=1)
-
-    scored = frame.filter(F.col(SPLIT).isin("train", "val"))
-    for p in points:
-        scored = with_probability(scored, p.model, f"p{p.index}")
-    pairs = [F.struct(F.lit(p.index).alias("point"), F.col(f"p{p.index}").alias("prob")) for p in points]
-    by_point = F.explode(F.array(*pairs))
-    with written(scored.select(label, SPLIT, by_point.alias("s")).select(label, SPLIT, "s.*"), "grid") as rows:
-        by = ["point", SPLIT]
-        ranked = {(r["point"], r[SPLIT]): r for r in ranking_metrics(rows, "prob", label, by).collect()}
+    # Every fit scans the rows twice before it keeps blocks of its own; what is cached can be read again from the table.
+    weighted.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = weighted.count()
+        with ThreadPool(min(FITS_AT_ONCE, len(grid))) as pool:
+            points = pool.map(fit, list(enumerate(grid)), chunksize=1)
+    finally:
+        weighted.unpersist()
+
+    # A point on a split has one number: rows are wide here, so they carry nothing else.
+    splits = ("train", "val")
+    judged = frame.filter(F.col(SPLIT).isin(*splits))
+    judged = judged.select(label, (F.col(SPLIT) == "val").cast("int").alias("split"), vector_to_array(INPUTS).alias("x"))
+    scores = F.posexplode(F.array(*probabilities([p.model for p in points], "x")))
+    scored = judged.select(label, "split", scores.alias("point", "prob"))
+    slot = (F.col("point") * len(splits) + F.col("split")).alias("slot")
+    with written(scored.select(label, slot, "prob"), "grid") as rows:
+        slots = {p.index * len(splits) + k: (p, split) for p in points for k, split in enumerate(splits)}
+        ranked = {r["slot"]: r for r in ranking_metrics(rows, "prob", label, ["slot"]).collect()}
         for p in points:
-            val = ranked.get((p.index, "val"))
+            val = ranked.get(p.index * len(splits) + 1)
             p.threshold = val["threshold"] if val else SCORING_THRESHOLD
-        cut = F.element_at(F.array(*[F.lit(p.threshold) for p in points]), F.col("point") + 1)
-        at_cut = classification_metrics(rows.withColumn("cut", cut), "prob", label, "cut", by).collect()
+        cut = F.get(F.array(*[F.lit(p.threshold) for p, _ in slots.values()]), F.col("slot"))
+        at_cut = classification_metrics(rows.withColumn("cut", cut), "prob", label, "cut", ["slot"]).collect()
     for row in at_cut:
-        point, split = points[row["point"]], row[SPLIT]
-        point.metrics[split] = _metrics(ranked[(row["point"], split)], row, point.threshold)
+        point, split = slots[row["slot"]]
+        point.metrics[split] = _metrics(ranked[row["slot"]], row, point.threshold)
     return points
 
 

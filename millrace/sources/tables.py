@@ -1,9 +1,10 @@
 """Tables as plain parquet directories, written by Spark's own writer.
 
-A keyed merge rewrites the partitions that its keys touch, and only those: their new content is written to the scratch
-folder first and then replaces them by dynamic partition overwrite, so a table is never read while it is overwritten and
-the number of its files does not grow with the number of merges. A repeated merge changes nothing, which makes a write
-that was cut short repairable by repeating it. There is one writer per table and no history.
+A keyed merge rewrites the partitions that hold one of its keys, and only those: their new content is written to the
+scratch folder first and then replaces them by dynamic partition overwrite, so a table is never read while it is
+overwritten. Rows for other partitions are added to them, unless a partition has many small files: then it is rewritten
+too, so the number of small files does not grow with the number of merges. A repeated merge changes nothing, which makes
+a write that was cut short repairable by repeating it. There is one writer per table and no history.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from millrace.functions.joins import anti_join
 from millrace.session import written
 
 MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+# A partition with so many files below so many bytes is rewritten when rows come to it.
+MOST_SMALL, SMALL_BYTES = 16, 16 << 20
 
 
 class TableMissing(Exception):
@@ -136,12 +139,36 @@ class ParquetTable:
                 return
             checked_schema(target.schema, rows.schema)
             wanted = rows.select(*keys).distinct()
-            scope, touched = self._touched(target, wanted, keys, rows)
-            result = anti_join(scope, wanted, keys, unique=True)
-            if latest is not None:
-                known = scope.join(wanted, list(keys), "left_semi").select(*scope.columns)
-                rows = dedup(rows.unionByName(known, allowMissingColumns=True), keys, latest)
-            self._replace(target, result.unionByName(rows, allowMissingColumns=True), touched)
+            scope, touched = self._touched(target, wanted, keys)
+            if latest is None or (self.parts and not touched):
+                self._put(target, rows, wanted, keys, touched)
+                return
+            known = scope.join(wanted, list(keys), "left_semi").select(*scope.columns)
+            with written(dedup(rows.unionByName(known, allowMissingColumns=True), keys, latest), "merge-latest") as winners:
+                self._put(target, winners, wanted, keys, touched)
+
+    def _put(self, target: DataFrame, rows: DataFrame, wanted: DataFrame, keys: Sequence[str], touched: Sequence[Row]) -> None:
+        """Let ``rows`` take the place of the wanted keys in the touched partitions; to other partitions they are added."""
+        replaced, added = list(touched), []
+        if self.parts:
+            fresh = [row for row in rows.select(*self.parts).distinct().collect() if row not in replaced]
+            crowded = self._crowded(target, fresh)
+            replaced, added = [*replaced, *crowded], [row for row in fresh if row not in crowded]
+        if replaced or not self.parts:
+            scope = target.filter(in_partitions(replaced)) if self.parts else target
+            new = rows.filter(in_partitions(replaced)) if added else rows
+            self._replace(target, anti_join(scope, wanted, keys, unique=True).unionByName(new, allowMissingColumns=True), replaced)
+        if added:
+            self._write(rows.filter(in_partitions(added)) if replaced else rows, "append")
+
+    def _crowded(self, target: DataFrame, parts: Sequence[Row]) -> list[Row]:
+        """Those of the partitions that lie in many small files; only small files are read."""
+        if not parts:
+            return []
+        small = target.filter(in_partitions(parts) & (F.col("_metadata.file_size") < SMALL_BYTES))
+        files = small.select(*self.parts, F.col("_metadata.file_path").alias("_file")).distinct()
+        many = files.groupBy(*self.parts).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= MOST_SMALL)
+        return many.select(*self.parts).collect()
 
     def delete(self, keys_df: DataFrame, keys: Sequence[str]) -> None:
         """Delete the rows whose key is in ``keys_df``; nothing is written where there are none."""
@@ -159,16 +186,12 @@ class ParquetTable:
         target = self._scan()
         self._replace(target, df, target.filter(where).select(*self.parts).distinct().collect())
 
-    def _touched(
-        self, target: DataFrame, wanted: DataFrame, keys: Sequence[str], rows: DataFrame | None = None
-    ) -> tuple[DataFrame, list[Row]]:
-        """(rows of the partitions that hold a wanted key or get a row, those partitions)."""
+    def _touched(self, target: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[Row]]:
+        """(rows of the partitions that hold a wanted key, those partitions)."""
         if not self.parts:
             return target, []
         columns = list(dict.fromkeys([*keys, *self.parts]))
         hit = target.select(*columns).join(wanted, list(keys), "left_semi").select(*self.parts)
-        if rows is not None:
-            hit = hit.unionByName(rows.select(*self.parts))
         # One row per partition of the table at most, never one per key.
         touched = hit.distinct().collect()
         return target.filter(in_partitions(touched)), touched

@@ -88,6 +88,40 @@ def test_merge_leaves_other_partitions_alone(spark, tmp_path):
     assert rows(table.read()) == [(1, 1), (2, 9), (3, 3)]
 
 
+def test_merge_adds_rows_to_partitions_without_a_key(spark, tmp_path):
+    table = ParquetTable(spark, str(tmp_path / "t"), {"month": "int"})
+    table.overwrite(spark.sql("SELECT id AS k, 1 AS month, 'old' AS v FROM range(5)"))
+    before = files(table)
+    # New keys: what is there is not written again, and a repeated merge changes nothing.
+    for _ in range(2):
+        table.merge(spark.sql("SELECT id AS k, 1 AS month, 'new' AS v FROM range(5, 8)"), ["k"])
+        assert rows(table.read().select("k", "v")) == [(k, "old" if k < 5 else "new") for k in range(8)]
+        if _ == 0:
+            assert set(before) < set(files(table))
+    # A key that moves leaves its partition; a later row wins over one that is added elsewhere.
+    table.merge(spark.sql("SELECT * FROM VALUES (0, 2, 'moved'), (9, 2, 'more') t(k, month, v)").withColumn("k", F.col("k").cast("long")), ["k"])
+    assert rows(table.read().filter("month = 2").select("k", "v")) == [(0, "moved"), (9, "more")]
+    assert rows(table.read().select("k")) == [(k,) for k in [*range(8), 9]]
+
+
+def test_many_merges_leave_few_files(spark, tmp_path, monkeypatch):
+    from millrace.sources import tables
+
+    monkeypatch.setattr(tables, "MOST_SMALL", 3)
+    table = ParquetTable(spark, str(tmp_path / "t"), {"month": "int"})
+    for k in range(8):
+        table.merge(spark.sql(f"SELECT {k}L AS k, 1 AS month"), ["k"])
+        assert len(files(table)) <= 3
+    assert rows(table.read().select("k")) == [(k,) for k in range(8)]
+
+
+def test_merge_keeps_the_latest_over_partitions_that_get_rows(spark, tmp_path):
+    table = ParquetTable(spark, str(tmp_path / "t"), {"month": "int"})
+    table.overwrite(spark.sql("SELECT * FROM VALUES (1, 5, 1), (2, 5, 1) t(k, at, month)"))
+    table.merge(spark.sql("SELECT * FROM VALUES (1, 4, 2), (2, 6, 3), (3, 1, 2) t(k, at, month)"), ["k"], "at", op.dedup_latest)
+    assert rows(table.read()) == [(1, 5, 1), (2, 6, 3), (3, 1, 2)]
+
+
 def test_merge_keeps_the_latest_on_request(spark, tmp_path):
     table = ParquetTable(spark, str(tmp_path / "t"), {"month": "int"})
     table.overwrite(spark.sql("SELECT * FROM VALUES (1, 5, 1), (2, 5, 1), (3, 5, 2) t(k, at, month)"))

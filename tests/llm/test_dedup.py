@@ -327,3 +327,59 @@ def test_imatch_hard_cases(corpus):
     one = imatch.compare_with_edits(corpus([(9, "abcd efgh")])).first()
     assert one["edited_sha256"] == hashlib.sha256(b"abcd efab").hexdigest() and one["near_next"] == 1.0
     assert imatch.compare_with_edits(corpus(HARD).limit(0)).count() == 0
+
+
+def test_crowded_lines_meet_one_representative(spark):
+    """A line of a crowded group leaves its block with one pair, not with one for each representative."""
+    rng = random.Random(17)
+    left, right = rng.getrandbits(63), rng.getrandbits(63)
+    rows = [(k, left, right ^ 1 << k % 60) for k in range(300)]
+    seen = []
+    verify = lambda links: seen.append(links.count()) or links
+    links = line_dedup.candidate_links(spark.createDataFrame(rows, "h long, left long, right long"), bucket=16, verify=verify).collect()
+    # Four blocks, two of them changed in some lines.
+    assert seen[0] <= 4 * len(rows)
+    assert set(brute_components([(r["a"], r["b"]) for r in links]).values()) == {0}
+
+
+def test_crowded_long_lines_are_compared_where_they_meet(corpus, monkeypatch):
+    """Lines of one template that are not similar make no pairs to be joined with their texts."""
+    rng = random.Random(19)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(4000)]
+    base = rng.sample(words, 40)
+    rows = []
+    for k in range(120):
+        line = base[:28] + rng.sample(words, 12)
+        rows.append((k, " ".join(line)))
+    # Three words of forty are changed in the copies.
+    copies = [(k, " ".join([*text.split()[:37], "x", "y", "z"])) for k, (_, text) in enumerate(rows[:30], len(rows))]
+    judged = []
+    verified = line_dedup.verified_links
+
+    def counted(*args):
+        judged.append(next(a for a in args if a.columns[:2] == ["a", "b"]).count())
+        return verified(*args)
+
+    monkeypatch.setattr(line_dedup, "verified_links", counted)
+    monkeypatch.setattr(line_dedup, "BITS", 60)
+    found = {r["doc_id"]: r["n_removed"] for r in line_dedup.dedup_lines(corpus([*rows, *copies])).collect()}
+    assert found == {k: int(k >= len(rows)) for k in range(len(rows) + len(copies))}
+    assert sum(judged) < 12 * len(found)
+
+
+def test_counts_of_letters_bound_edits(spark):
+    """Differing bits of the counts and the lengths' difference are at most twice the edits; lines at the bound are linked."""
+    rng = random.Random(23)
+    rows = []
+    for _ in range(300):
+        line = "".join(rng.choice("abé z") for _ in range(rng.randint(1, 60)))
+        copy = list(line)
+        for _ in range(rng.randint(0, 12)):
+            place = rng.randrange(len(copy) + 1)
+            copy[place : place + rng.randint(0, 1)] = rng.choice(["", "a", "z", "é"])
+        rows.append((line, "".join(copy)))
+    tallies = lambda c: line_dedup._tallies(F.col(c))
+    pairs = spark.createDataFrame(rows, "x string, y string")
+    for r in pairs.select("x", "y", F.array(*tallies("x")).alias("s"), F.array(*tallies("y")).alias("t")).collect():
+        apart = sum((s ^ t).bit_count() for s, t in zip(r["s"], r["t"], strict=True)) + abs(len(r["x"]) - len(r["y"]))
+        assert apart <= 2 * brute_levenshtein(r["x"], r["y"])

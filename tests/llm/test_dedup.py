@@ -383,3 +383,28 @@ def test_counts_of_letters_bound_edits(spark):
     for r in pairs.select("x", "y", F.array(*tallies("x")).alias("s"), F.array(*tallies("y")).alias("t")).collect():
         apart = sum((s ^ t).bit_count() for s, t in zip(r["s"], r["t"], strict=True)) + abs(len(r["x"]) - len(r["y"]))
         assert apart <= 2 * brute_levenshtein(r["x"], r["y"])
+
+
+def test_verification_leaves_out_what_is_connected(spark):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40)]
+    near = [" ".join([*words[:k], "other", *words[k + 1 :]]) for k in range(12)]
+    hashes = lambda lines: {r["line"]: r["h"] for r in lines.select("line", F.xxhash64("line").alias("h")).collect()}
+    of = hashes(spark.createDataFrame([(" ".join(words[k:] + words[:k]),) for k in range(13, 28)] + [(line,) for line in near], "line string"))
+    least = min(of[line] for line in near)
+    for above in (True, False):
+        # A line apart from them all, with a greater or a smaller hash than theirs.
+        far = next(line for line, h in of.items() if line not in near and (h > least) == above)
+        lines = spark.createDataFrame([(line,) for line in [*near, far]], "line string")
+        pairs = list(itertools.combinations(sorted(of[line] for line in [*near, far]), 2))
+        links = line_dedup.verified_links(lines, spark.createDataFrame(pairs, "a long, b long"), 0.8)
+        groups = connected_components(links, "a", "b").collect()
+        assert {r["node"] for r in groups} == {of[line] for line in near} and len({r["component"] for r in groups}) == 1
+        # All pairs of the near lines are 66.
+        assert links.count() == (11 if above else 66)
+
+
+@pytest.mark.parametrize("text", ["Ab\u00e4 c", "a  b", " a-b ", "a \n b", "a.\nb", "\n\n", "A1 B", "\u0130x \u4e2d\u6587\u3002y", "a b", "- -\n-"])
+def test_normalised_lines_by_definition(spark, text):
+    lines = spark.createDataFrame([(text,)], "text string").select(line_dedup.normalised_lines(F.col("text")).alias("l")).first()["l"]
+    flat = "".join(c if c.isalpha() or c == "\n" else " " for c in text.lower())
+    assert lines == [re.sub(" +", " ", line) for line in flat.split("\n")]

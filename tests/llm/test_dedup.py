@@ -408,3 +408,40 @@ def test_normalised_lines_by_definition(spark, text):
     lines = spark.createDataFrame([(text,)], "text string").select(line_dedup.normalised_lines(F.col("text")).alias("l")).first()["l"]
     flat = "".join(c if c.isalpha() or c == "\n" else " " for c in text.lower())
     assert lines == [re.sub(" +", " ", line) for line in flat.split("\n")]
+
+
+def test_words_are_counted_in_code_that_is_compiled(spark, capsys):
+    """HotSpot never compiles methods of more than 8000 bytes; those that see every word of a line must be shorter."""
+    lines = spark.createDataFrame([(1, 1, 1, 0, "a b")], "key long, id long, row long, pos int, line string")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    line_dedup.prints_of(lines).explain("codegen")
+    spark.conf.set("spark.sql.adaptive.enabled", before)
+    stages = capsys.readouterr().out.split("== Subtree")[1:]
+    # The stage of the words is the one that explodes them: its code is named after that step.
+    sizes = [int(re.search(r"maxMethodCodeSize:(\d+)", stage)[1]) for stage in stages if re.search(r"\bgenerate_", stage)]
+    print(sizes)
+    assert sizes and max(sizes) <= 8000
+
+
+@pytest.mark.parametrize("n", [1, 6, 7, 8, 254, 255, 256, 700])
+def test_prints_of_lines_of_any_length(corpus, n):
+    """Both halves by definition, around what is added up at once and where counters become wider."""
+    rng = random.Random(n)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(n)]
+    row = line_dedup.line_prints(corpus([(1, " ".join(words + words[:2]))]), "doc_id", "text").first()
+    first = [xxhash.xxh64_intdigest(w.encode(), 42) for w in sorted(set(words))]
+    second = [xxhash.xxh64_intdigest((1).to_bytes(4, "little"), h) for h in first]
+    for half, hashes in (("left", first), ("right", second)):
+        assert row[half] == sum(1 << bit for bit in range(63) if sum(h >> bit & 1 for h in hashes) * 2 > len(hashes))
+
+
+def test_short_lines_meet_without_any_word(spark):
+    """A short line shares a key with itself less any of its words, repeated ones included, but not with any line."""
+    words = ["one", "two", "one", "three", "four"]
+    lines = [words, *[words[:k] + words[k + 1 :] for k in range(5)], ["five", "two", "six", "three", "seven"]]
+    rows = line_dedup.line_keys(spark.createDataFrame([(" ".join(line),) for line in lines], "line string")).collect()
+    keys = {r["line"]: set(r["keys"]) for r in rows}
+    whole = keys[" ".join(words)]
+    assert all(whole & keys[" ".join(line)] for line in lines[:6])
+    assert not whole & keys[" ".join(lines[6])]

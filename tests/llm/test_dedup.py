@@ -445,3 +445,59 @@ def test_short_lines_meet_without_any_word(spark):
     whole = keys[" ".join(words)]
     assert all(whole & keys[" ".join(line)] for line in lines[:6])
     assert not whole & keys[" ".join(lines[6])]
+
+
+def recorded_tables(monkeypatch):
+    """Rows of every table that line dedup stores, by name, and what is left of them."""
+    rows, paths, gone = [], [], []
+    store, drop = line_dedup.stored, line_dedup.discard
+
+    def stored(df, name):
+        table, path = store(df, name)
+        rows.append((name, table.count()))
+        paths.append(path)
+        return table, path
+
+    def discard(session, path):
+        gone.append(path)
+        drop(session, path)
+
+    monkeypatch.setattr(line_dedup, "stored", stored)
+    monkeypatch.setattr(line_dedup, "discard", discard)
+    return lambda name: [n for at, n in rows if at == name], lambda: set(paths) - set(gone)
+
+
+def test_blocks_are_reduced_and_compared_in_passes(corpus, monkeypatch):
+    """No pass over keys or members has all of them, together they have the same, and no table stays."""
+    rng = random.Random(29)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(60)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.choice((1, 3, 6, 24)))) for _ in range(120)]
+    texts += [text.replace("a", "b", 1) for text in texts[:40]]
+    docs = corpus([(k, f"{text}\n{rng.choice(texts)}") for k, text in enumerate(texts)])
+    tables, left = recorded_tables(monkeypatch)
+    want = lines_of(line_dedup.dedup_lines(docs))
+    whole, members = tables("line-inside"), tables("line-members")
+    assert len(whole) == 1 and whole == members
+    monkeypatch.setattr(line_dedup, "PASS_LINES", 30)
+    monkeypatch.setattr(line_dedup, "PASS_ROWS", 1)
+    assert lines_of(line_dedup.dedup_lines(docs)) == want
+    passes, found = tables("line-inside")[1:], tables("line-found")[1:]
+    assert len(passes) == 4 and sum(passes) == whole[0] and max(passes) < whole[0] / 2
+    assert tables("line-members") == members * 2 and len(found) > 1
+    assert not left()
+
+
+def test_tiles_of_crowded_blocks_are_compared_in_passes(spark, monkeypatch):
+    rng = random.Random(31)
+    left = rng.getrandbits(63)
+    monkeypatch.setattr(line_dedup, "TILE", 16)
+    monkeypatch.setattr(line_dedup, "PASS_ROWS", 300)
+    rows = [(k, left, rng.getrandbits(63)) for k in range(150)]
+    want = {(a[0], b[0]) for a, b in itertools.combinations(rows, 2) if (a[2] ^ b[2]).bit_count() <= 26}
+    tables, kept = recorded_tables(monkeypatch)
+    links = line_dedup.candidate_links(spark.createDataFrame(rows, "h long, left long, right long"), bits=26, bucket=16).collect()
+    pairs = [(r["a"], r["b"]) for r in links]
+    assert set(pairs) <= want and brute_components(pairs) == brute_components(want)
+    # 150 lines of two blocks with ten parts each are 3,000 rows of tiles; blocks compared in passes before that make tables too.
+    assert len(tables("line-found")) > 3000 // 150
+    assert not kept()

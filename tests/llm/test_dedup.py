@@ -471,7 +471,7 @@ def test_blocks_are_reduced_and_compared_in_passes(corpus, monkeypatch):
     """No pass over keys or members has all of them, together they have the same, and no table stays."""
     rng = random.Random(29)
     words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(60)]
-    texts = [" ".join(rng.choice(words) for _ in range(rng.choice((1, 3, 6, 24)))) for _ in range(120)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.choice((1, 3, 6, 24, 150)))) for _ in range(120)]
     texts += [text.replace("a", "b", 1) for text in texts[:40]]
     docs = corpus([(k, f"{text}\n{rng.choice(texts)}") for k, text in enumerate(texts)])
     tables, left = recorded_tables(monkeypatch)
